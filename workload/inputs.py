@@ -111,6 +111,8 @@ def with_inputs(names: list[str] | str, body: str) -> str:
     need += [n for n in names if n in PX_SQL]
     ctes = ", ".join(f"{n} as ({_duck(n)})" for n in need)
     body = body.strip()
+    if not ctes:
+        return body
     if body.lower().startswith("with recursive "):
         return f"with recursive {ctes}, {body[15:]}"
     if body.lower().startswith("with "):

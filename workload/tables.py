@@ -1 +1,988 @@
-"""Queries."""
+"""Scans, projections, predicates, aggregations, rankings and reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from reliefgrid.functions import names
+from reliefgrid.functions import polygon as pg
+from reliefgrid.functions.nodata import FORMAT_CODES, normalise, saturating_cast
+from reliefgrid.operators import footprints as fp
+from reliefgrid.operators import lattice as lt
+from reliefgrid.operators import points as pt
+from reliefgrid.operators import resample as rs
+from reliefgrid.operators import select as sel
+from reliefgrid.operators import solve
+from reliefgrid.sources import inventory as inv
+from reliefgrid.sources import points as sp
+from reliefgrid.sources import rasters as sr
+from reliefgrid.sources import reports as rp
+
+from .inputs import Inputs, q, qc, with_inputs
+from .registry import query
+
+
+def get(spark, sf, name):
+    return Inputs(spark, sf).get(name)
+
+
+# ---- points -----------------------------------------------------------------
+
+
+@query(
+    "s1_timed_points",
+    with_inputs("gcp", """select x, y, z, strftime(t, '%Y-%m-%d') as t, i_gmc from (select *, x/16e0 as i_gmc,
+      row_number() over (partition by x, y order by t, x/16e0, z) as k from gcp) where k = 1"""),
+)
+def _s1(spark, sf):
+    g = get(spark, sf, "gcp")
+    line = F.concat_ws(",", "x", "y", "z", F.date_format("t", "yyyy-MM-dd HH:mm:ss.SSS"), (F.col("x") / 16).cast("string"))
+    lines = g.select(line.alias("line"))
+    # ties by t, i_gmc, z: z is kept beside the location for the last key
+    opts = {"timestampFormat": "yyyy-MM-dd HH:mm:ss.SSS"}
+    rows = lines.select(F.from_csv("line", sp.TIMED, opts).alias("r")).select("r.*")
+    d = sp.distinct_points(rows, [F.col("t"), F.col("i_gmc"), F.col("z")])
+    return d.select("x", "y", "z", F.date_format("t", "yyyy-MM-dd").alias("t"), "i_gmc")
+
+
+@query(
+    "s2_plain_points",
+    with_inputs("gcp", "select x, y, min(z) as z, 'gcp' as dataset from gcp group by x, y"),
+)
+def _s2(spark, sf):
+    g = get(spark, sf, "gcp").select(F.concat_ws(",", "x", "y", "z").alias("line"))
+    return sp.parse_points(g, "line", sp.PLAIN).withColumn("dataset", F.lit("gcp")).select("x", "y", "z", "dataset")
+
+
+@query("a11_distinct_points", with_inputs("control", "select x, y, min(z) as z from control group by x, y"))
+def _a11(spark, sf):
+    return sp.distinct_points(get(spark, sf, "control").select("x", "y", "z"))
+
+
+# ---- rasters ----------------------------------------------------------------
+
+
+@query("s3_pixel_window", with_inputs("px", "select strip_id, row, col, z from px where row between 30 and 190 and col between 8 and 47"))
+def _s3p(spark, sf):
+    return sr.pixel_window(get(spark, sf, "px").select("strip_id", "row", "col", "z"), 30, 190, 8, 47)
+
+
+@query(
+    "s3_map_window",
+    with_inputs("px", """with e as (select strip_id, min(row)*-8e0 as mapy, 100 as n_rows, 64 as n_cols from px group by 1),
+      b as (select strip_id, greatest(0, least(63, round((100e0-0e0)/8e0))) as c0, greatest(0, least(63, round((400e0-0e0)/8e0))) as c1,
+        greatest(0, least(99, round((mapy-(-500e0))/8e0))) as r0, greatest(0, least(99, round((mapy-(-1700e0))/8e0))) as r1 from e)
+      select strip_id, i as row, col, z from px join b using (strip_id) where i between r0 and r1 and col between c0 and c1"""),
+)
+def _s3m(spark, sf):
+    p = get(spark, sf, "px")
+    e = p.groupBy("strip_id").agg((F.min("row") * -8.0).alias("mapy"), (F.max("i") + 1).alias("n_rows"), (F.max("col") + 1).alias("n_cols"))
+    e = e.withColumns({"mapx": F.lit(0.0), "dx": F.lit(8.0), "dy": F.lit(8.0)})
+    local = p.select("strip_id", F.col("i").alias("row"), "col", "z")
+    return sr.map_window(local, "strip_id", e, F.lit(100.0), F.lit(400.0), F.lit(-1700.0), F.lit(-500.0))
+
+
+@query(
+    "s3_extent_only",
+    with_inputs("px", """select strip_id, min(col)*8e0 as xmin, max(col)*8e0 as xmax, -max(row)*8e0 as ymin, -min(row)*8e0 as ymax,
+      max(row)-min(row)+1 as n_rows, max(col)-min(col)+1 as n_cols from px group by 1"""),
+)
+def _s3e(spark, sf):
+    return sr.extents_only(get(spark, sf, "px"), ["strip_id"], 8.0)
+
+
+# scenes for assembly: matchtag covers part of the cells, ortho and masks exist for some scenes
+@query(
+    "s16_scene_assembly",
+    with_inputs("px", """select strip_id as scene_id, row, col, case when z < 97 then null else z end as z,
+       coalesce(case when col >= 4 then mt end, false) as mt, case when strip_no % 2 = 0 then ortho else 0 end as ortho,
+       case when strip_no % 3 = 0 then ortho > 20 else true end as edge_ok, case when strip_no % 2 = 1 then col < 60 else true end as data_ok
+      from px where strip_id <> 's1'"""),
+)
+def _s16(spark, sf):
+    return _assembled(spark, sf).select("scene_id", "row", "col", "z", "mt", "ortho", "edge_ok", "data_ok")
+
+
+def _assembled(spark, sf):
+    p = get(spark, sf, "px").withColumnRenamed("strip_id", "scene_id")
+    k = ["scene_id", "row", "col"]
+    dem = p.select(*k, F.when(F.col("z") < 97, -9999.0).otherwise(F.coalesce("z", F.lit(0.0))).alias("z"))
+    mt = p.filter("col >= 4 and scene_id <> 's1'").select(*k, F.col("mt").alias("v"))
+    ortho = p.filter("strip_no % 2 = 0").select(*k, F.col("ortho").alias("v"))
+    edge = p.filter("strip_no % 3 = 0").select(*k, (F.col("ortho") > 20).alias("v"))
+    data = p.filter("strip_no % 2 = 1").select(*k, (F.col("col") < 60).alias("v"))
+    return sr.assemble_scenes(dem, mt, ortho, edge, data)
+
+
+@query(
+    "p2_apply_masks",
+    with_inputs("px", """select strip_id as scene_id, row, col,
+       case when strip_no % 2 = 1 and col >= 60 then null when z < 97 then null else z end as z,
+       coalesce(case when col >= 4 then mt end, false) and not (strip_no % 2 = 1 and col >= 60) as mt,
+       case when strip_no % 3 = 0 and ortho <= 20 then 0 when strip_no % 2 = 0 then ortho else 0 end as ortho
+      from px where strip_id <> 's1'"""),
+)
+def _p2(spark, sf):
+    return sr.apply_masks(_assembled(spark, sf)).select("scene_id", "row", "col", "z", "mt", "ortho")
+
+
+@query(
+    "s17_strip_in_tile",
+    with_inputs("px", """with t as (select distinct concat('t', cast(cast(floor(strip_no/2) as int) as string)) as tile_id, 40e0 as x0, 400e0 as x1,
+          -floor(strip_no/2)*960e0-1200e0 as y0, -floor(strip_no/2)*960e0-16e0 as y1 from px),
+        d as (select tile_id, strip_id, cast(round((y1+row*8e0)/8e0) as int) as row, cast(round((col*8e0-x0)/8e0) as int) as col,
+            case when z >= -100 and z <> 0 and not (col*8e0 >= 104 and col*8e0 < 168 and -row*8e0 >= -1500 and -row*8e0 < -700) then z end as z, mt, ortho
+          from px join t on col*8e0 between x0 and x1 and -row*8e0 between y0 and y1),
+        e as (select tile_id, strip_id, min(row) r0, max(row) r1, min(col) c0, max(col) c1 from d where z is not null group by 1,2)
+      select tile_id, strip_id, row, col, z, mt, ortho from d join e using (tile_id, strip_id) where row between r0 and r1 and col between c0 and c1"""),
+)
+def _s17(spark, sf):
+    p = get(spark, sf, "px")
+    n = F.floor(F.col("strip_no") / 2)
+    t = p.select(n.alias("n")).distinct().select(
+        F.concat(F.lit("t"), F.col("n").cast("string")).alias("tile_id"), F.lit(40.0).alias("x0"), F.lit(400.0).alias("x1"),
+        (-F.col("n") * 960.0 - 1200.0).alias("y0"), (-F.col("n") * 960.0 - 16.0).alias("y1"),
+    )
+    strips = p.select("strip_id", (F.col("col") * 8.0).alias("x"), (-F.col("row") * 8.0).alias("y"), "z", "mt", "ortho")
+    m = p.select("strip_id").distinct().withColumn("poly", pg.box_ring(F.lit(104.0), F.lit(168.0), F.lit(-1500.0), F.lit(-700.0)))
+    return sr.strips_in_tiles(strips, t, m, 8.0)
+
+
+def _cast_sql(code: int) -> str:
+    kind, lo, hi = FORMAT_CODES[code]
+    v = "coalesce(v, -9999e0)"
+    if lo is None:
+        return f"cast({v} as {kind})"
+    if code in (14, 15):
+        return f"cast(greatest(round({v}), {'0' if code == 15 else '-9e18'}) as bigint)"
+    return f"cast(greatest({lo}, least({hi}, round({v}))) as bigint)"
+
+
+_V = "(o_totalprice-2.5e5)/2e0"
+
+
+@query(
+    "s10_typed_sink",
+    with_inputs("footprint", f"with v as (select o_orderkey, case when o_orderstatus <> 'P' then floor({_V})/2e0 end as v from orders) select o_orderkey, "
+                + ", ".join(f"{_cast_sql(c)} as c{c}" for c in FORMAT_CODES) + " from v"),
+)
+def _s10(spark, sf):
+    o = Inputs(spark, sf).table("orders")
+    v = F.when(F.col("o_orderstatus") != "P", F.floor((F.col("o_totalprice") - 2.5e5) / 2.0) / 2.0)
+    d = o.select("o_orderkey", *[v.alias(f"c{c}") for c in FORMAT_CODES])
+    d = sr.typed(d, {f"c{c}": c for c in FORMAT_CODES}, {f"c{c}": -9999.0 for c in FORMAT_CODES})
+    return d.select("o_orderkey", *[F.col(f"c{c}") if c in (4, 5) else F.col(f"c{c}").cast("long").alias(f"c{c}") for c in FORMAT_CODES])
+
+
+@query(
+    "p7_saturating_cast",
+    "select o_orderkey, cast(greatest(-32768, least(32767, round(floor(o_totalprice/4e0 - 6e4)/2e0))) as int) as v16, "
+    "coalesce(cast(greatest(0, least(255, round(case when o_orderstatus='F' then floor(o_totalprice/1e3)/2e0 end))) as int),0) as v8 from orders",
+)
+def _p7(spark, sf):
+    o = Inputs(spark, sf).table("orders")
+    a = F.floor(F.col("o_totalprice") / 4.0 - 6e4) / 2.0
+    b = F.when(F.col("o_orderstatus") == "F", F.floor(F.col("o_totalprice") / 1e3) / 2.0)
+    return o.select("o_orderkey", saturating_cast(a, 2).cast("int").alias("v16"), saturating_cast(b, 1).cast("int").alias("v8"))
+
+
+@query(
+    "p1_nodata_rules",
+    """with v as (select c_custkey, case when c_mktsegment='MACHINERY' then -9999e0 when c_mktsegment='BUILDING' then 0e0
+        when c_mktsegment='HOUSEHOLD' then -100e0 else c_acctbal end as v from customer)
+      select c_custkey, case when v <> -9999 then v end as scene, case when not (v < -100 or v = 0) then v end as strip,
+        case when v > -100 then v end as control from v""",
+)
+def _p1(spark, sf):
+    c = Inputs(spark, sf).table("customer")
+    s = F.col("c_mktsegment")
+    v = F.when(s == "MACHINERY", -9999.0).when(s == "BUILDING", 0.0).when(s == "HOUSEHOLD", -100.0).otherwise(F.col("c_acctbal"))
+    c = c.select("c_custkey", v.alias("v"))
+    return c.select("c_custkey", *[normalise(F.col("v"), r).alias(r) for r in ("scene", "strip", "control")])
+
+
+TILE_EXPORT = """with reg as (select tile_row, tile_col, tile_id, row, col, z+1 as z, mt, ortho, dy from tile_px where tile_col = 1),
+   src as (select tile_id, row, col, z, mt, ortho, dy, 'dem' as source from tile_px where tile_col = 0
+           union all select tile_id, row, col, z, mt, ortho, dy, 'reg_dem' from reg),
+   e as (select tile_id, min(row) r0, max(row) r1, min(col) c0, max(col) c1 from src group by 1)
+   select tile_id, row, col, cast(coalesce(z, -9999) as float) as z, cast(mt as int) as mt, ortho, dy, source from src join e using (tile_id)
+   where row between r0+10 and r1-10 and col between c0+10 and c1-10"""
+
+
+@query("s11_tile_export", with_inputs("tile_px", TILE_EXPORT))
+def _s11(spark, sf):
+    t = get(spark, sf, "tile_px").select("tile_id", "tile_col", "row", "col", "z", "mt", "ortho", "dy")
+    reg = t.filter("tile_col = 1").withColumn("z", F.col("z") + 1).drop("tile_col")
+    d = sr.export_tiles(t.drop("tile_col"), reg, 10)
+    return d.select("tile_id", "row", "col", "z", *[F.col(c).cast("int").alias(c) for c in ("mt", "ortho", "dy")], "source")
+
+
+# ---- lattice ----------------------------------------------------------------
+
+
+@query(
+    "p3_crop_to_data",
+    with_inputs("px", """with d as (select *, case when col >= 5 + strip_no and i > 10 and col < 60 then z end as zz from px),
+      e as (select strip_id, min(row) r0, max(row) r1, min(col) c0, max(col) c1 from d where zz is not null group by 1)
+      select strip_id, row, col, zz as z from d join e using (strip_id) where row between r0-3 and r1+3 and col between c0-3 and c1+3"""),
+)
+def _p3(spark, sf):
+    p = get(spark, sf, "px").withColumn("z", F.when((F.col("col") >= 5 + F.col("strip_no")) & (F.col("i") > 10) & (F.col("col") < 60), F.col("z")))
+    return lt.crop_to_data(p.select("strip_id", "row", "col", "z"), ["strip_id"], 3)
+
+
+@query(
+    "p4_tile_lattice",
+    with_inputs("tiles", """select tile_id, cast(r as int) as row, cast(c as int) as col, x0-2e4+c*2e3 as x, y1+2e4-r*2e3 as y
+      from tiles, range(61) a(r), range(71) b(c)"""),
+)
+def _p4(spark, sf):
+    return lt.tile_lattice(get(spark, sf, "tiles"), 2000.0, 10)
+
+
+@query(
+    "p5_nearest_index",
+    with_inputs("control", """select x, y, z, cast(least(4199, greatest(0, round(x/1e2))) as int) as col,
+      cast(least(2999, greatest(0, round((y-3e5)/-1e2))) as int) as row from control"""),
+)
+def _p5(spark, sf):
+    c = get(spark, sf, "control")
+    return c.select(
+        "x", "y", "z",
+        lt.nearest_index(F.col("x"), F.lit(0.0), F.lit(100.0), F.lit(4200)).alias("col"),
+        lt.nearest_index(F.col("y"), F.lit(3e5), F.lit(-100.0), F.lit(3000)).alias("row"),
+    )
+
+
+@query(
+    "k21_edge_ramp",
+    with_inputs("tile_px", """with o as (select a.tile_id as tile_a, b.tile_id as tile_b, a.row, a.col from tile_px a join tile_px b
+        on a.tile_row=b.tile_row and a.tile_col=0 and b.tile_col=1 and a.row=b.row and a.col=b.col)
+      select tile_a, tile_b, row, col, (max(col) over (partition by tile_a, tile_b) - col)/cast(max(col) over (partition by tile_a, tile_b) - min(col) over (partition by tile_a, tile_b) as double) as w from o"""),
+)
+def _k21(spark, sf):
+    t = get(spark, sf, "tile_px")
+    pairs = t.filter("tile_col = 0").select(F.col("tile_id").alias("tile_a"), F.concat(F.substring("tile_id", 1, 4), F.lit("1")).alias("tile_b")).distinct()
+    ov = fp.tile_pair_overlap(t.select("tile_id", "row", "col"), pairs)
+    return lt.edge_ramp(ov, ["tile_a", "tile_b"], "col")
+
+
+@query(
+    "p15_vertical_shift",
+    with_inputs("px", "select strip_id, row, col, z - strip_no/8e0 as z from px where strip_no % 2 = 0"),
+)
+def _p15(spark, sf):
+    p = get(spark, sf, "px")
+    s = p.select("strip_id", (F.col("strip_no") / 8.0).alias("dz"), (F.col("strip_no") % 2).cast("double").alias("dx"), F.lit(0.0).alias("dy")).distinct()
+    return rs.vertical_shift(p.select("strip_id", "row", "col", "z"), ["strip_id"], s)
+
+
+# ---- names and predicates -----------------------------------------------------
+
+_NAME_SQL = "concat('WV0', cast(1+o_custkey%3 as string), '_', strftime(cast(o_orderdate as date), '%Y%m%d'), '_', upper(to_hex(1000000+o_custkey)), '_', upper(to_hex(2000000+o_orderkey%97)), '_seg', cast(o_orderkey%5 as string), '_8m_dem.tif')"
+
+
+def _scene_names(spark, sf):
+    o = Inputs(spark, sf).table("orders")
+    name = F.concat(
+        F.lit("WV0"), (1 + F.col("o_custkey") % 3).cast("string"), F.lit("_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_"),
+        F.hex(1000000 + F.col("o_custkey")), F.lit("_"), F.hex(2000000 + F.col("o_orderkey") % 97), F.lit("_seg"),
+        (F.col("o_orderkey") % 5).cast("string"), F.lit("_8m_dem.tif"),
+    )
+    return o.select("o_orderkey", "o_orderstatus", "o_orderpriority", name.alias("name"))
+
+
+@query(
+    "s7_name_inventory",
+    f"""with n as (select o_orderkey, {_NAME_SQL} as name from orders)
+      select o_orderkey, name, concat(split_part(name,'_',3),'_',split_part(name,'_',4)) as pair_id,
+        strptime(substr(name,6,8),'%Y%m%d')::date as strip_date, replace(name,'dem.tif','matchtag.tif') as matchtag from n""",
+)
+def _s7(spark, sf):
+    d = inv.name_parts(_scene_names(spark, sf))
+    return d.select("o_orderkey", "name", "pair_id", "strip_date", names.sibling(F.col("name"), "matchtag.tif").alias("matchtag"))
+
+
+@query(
+    "s7_tile_names",
+    with_inputs("tiles", "select tile_id, cast(split_part(tile_id,'_',1) as int) as tile_row, cast(split_part(tile_id,'_',2) as int) as tile_col, concat(lpad(cast(tile_row as string),2,'0'),'_',lpad(cast(tile_col as string),2,'0')) as built from tiles"),
+)
+def _s7t(spark, sf):
+    t = get(spark, sf, "tiles")
+    return t.select("tile_id", names.tile_row(F.col("tile_id")).alias("tile_row"), names.tile_col(F.col("tile_id")).alias("tile_col"),
+                    names.tile_name(F.col("tile_row"), F.col("tile_col")).alias("built"))
+
+
+@query(
+    "a16_strip_groups",
+    f"""with n as (select {_NAME_SQL} as name from orders) select concat(split_part(name,'_',3),'_',split_part(name,'_',4)) as pair_id,
+      count(*) as scenes, min(name) as first_scene, max(name) as last_scene from n group by 1""",
+)
+def _a16(spark, sf):
+    return inv.strip_groups(inv.name_parts(_scene_names(spark, sf)))
+
+
+@query(
+    "j14_complete_strips",
+    f"""with n as (select o_orderkey, {_NAME_SQL} as name, o_orderstatus <> 'P' as has_matchtag, o_orderpriority <> '5-LOW' as has_ortho from orders),
+      p as (select *, concat(split_part(name,'_',3),'_',split_part(name,'_',4)) as pair_id from n)
+      select o_orderkey, pair_id from p where pair_id in (select pair_id from p group by 1 having bool_and(has_matchtag and has_ortho))""",
+)
+def _j14(spark, sf):
+    d = inv.name_parts(_scene_names(spark, sf))
+    d = d.withColumn("has_matchtag", F.col("o_orderstatus") != "P").withColumn("has_ortho", F.col("o_orderpriority") != "5-LOW")
+    return inv.complete_strips(d).select("o_orderkey", "pair_id")
+
+
+@query(
+    "p8_path_rewrite",
+    "select c_custkey, replace(concat('/data4/', c_mktsegment, '/', c_name), '/data4', '/mnt/dem') as path from customer",
+)
+def _p8(spark, sf):
+    c = Inputs(spark, sf).table("customer")
+    p = F.concat(F.lit("/data4/"), "c_mktsegment", F.lit("/"), "c_name")
+    return c.select("c_custkey", names.rebase(p, "/data4", "/mnt/dem").alias("path"))
+
+
+@query(
+    "p10_projection_label",
+    """with v as (select c_custkey, case when c_nationkey < 15 then c_acctbal end as p,
+        concat('WGS 84 / UTM Zone ', cast(c_nationkey as string), case when c_mktsegment = 'BUILDING' then ', Southern Hemisphere|' else ', Northern Hemisphere|' end) as a from customer)
+      select c_custkey, case when p > 0 then 'polar stereo north' when p is not null then 'polar stereo south'
+        else concat(regexp_extract(a, 'Zone([^,]*),', 1), case when contains(a, 'Northern Hemisphere') then ' North' else ' South' end) end as label from v""",
+)
+def _p10(spark, sf):
+    c = Inputs(spark, sf).table("customer")
+    p = F.when(F.col("c_nationkey") < 15, F.col("c_acctbal"))
+    a = F.concat(F.lit("WGS 84 / UTM Zone "), F.col("c_nationkey").cast("string"),
+                 F.when(F.col("c_mktsegment") == "BUILDING", ", Southern Hemisphere|").otherwise(", Northern Hemisphere|"))
+    return c.select("c_custkey", names.projection_label(p, a).alias("label"))
+
+
+@query(
+    "p11_version_params",
+    """with v as (select p_partkey, p_size/16e0 as version, 1e0+p_partkey%8 as dx from part)
+      select p_partkey, cast(case when version < 2.01292016 then floor(42/dx) else floor(202/dx) end as int) as edge_n,
+        case when version < 2.01292016 then 0.8e0 else 0.99e0 end as edge_pmin, 2000/dx as edge_amin,
+        cast(case when version <= 2 then floor(42/dx) else floor(202/dx) end as int) as data_n,
+        case when version <= 2 then 0.3e0 else 0.9e0 end as data_pmin, case when version <= 2 then 10000 else 1000 end as data_amax from v""",
+)
+def _p11(spark, sf):
+    p = Inputs(spark, sf).table("part").select("p_partkey", (F.col("p_size") / 16.0).alias("v"), (1.0 + F.col("p_partkey") % 8).alias("dx"))
+    e, d = names.edge_mask_params(F.col("v"), F.col("dx")), names.data_mask_params(F.col("v"), F.col("dx"))
+    return p.select("p_partkey", e["n"].alias("edge_n"), e["pmin"].alias("edge_pmin"), e["amin"].alias("edge_amin"),
+                    d["n"].alias("data_n"), d["pmin"].alias("data_pmin"), d["amax"].alias("data_amax"))
+
+
+@query(
+    "p12_day_number",
+    "select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when l_returnflag <> 'N' then date_diff('day', date '2000-01-01', cast(l_shipdate as date)) else 0 end as dy from lineitem",
+)
+def _p12(spark, sf):
+    l = Inputs(spark, sf).table("lineitem")
+    dy = names.day_number(F.to_date("l_shipdate"), F.col("l_returnflag") != "N")
+    return l.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", dy.cast("int").alias("dy"))
+
+
+_SCRUB = """select strip_id, case when least(coalesce(sa, s1), coalesce(s1, sa)) <= 1 then least(coalesce(sa, s1), coalesce(s1, sa)) end as sigma,
+   nullif(avg_rmse, 0) as avg_rmse from (select strip_id, case when qc <> 2 then rmse/4e0 end as sa, case when qc <> 3 then rmse/2e0 end as s1,
+   case when qc = 5 then 0e0 else rmse end as avg_rmse from footprint)"""
+
+
+@query("p6_scrub_quality", with_inputs("footprint", _SCRUB))
+def _p6(spark, sf):
+    f = get(spark, sf, "footprint").withColumns({
+        "sigma_all": F.when(F.col("qc") != 2, F.col("rmse") / 4), "sigma_1yr": F.when(F.col("qc") != 3, F.col("rmse") / 2),
+        "avg_rmse": F.when(F.col("qc") == 5, 0.0).otherwise(F.col("rmse")),
+    })
+    return sel.scrub_quality(sel.with_defaults(f)).select("strip_id", "sigma", "avg_rmse")
+
+
+@query(
+    "p6_scrub_registration",
+    with_inputs("registration", "select strip_no, case when p75 <= 4 then p75 end as p75, case when p75 <= 4 then dz end as dz, case when p75 <= 4 then dx end as dx, case when p75 <= 4 then dy end as dy from registration"),
+)
+def _p6r(spark, sf):
+    return sel.scrub_registration(get(spark, sf, "registration")).select("strip_no", "p75", "dz", "dx", "dy")
+
+
+@query(
+    "p13_minimum_area",
+    with_inputs("footprint", "select strip_id, (xmax-xmin)*0.75e0*2e4/1e6 as area_km2 from footprint where (xmax-xmin)*0.75e0*2e4/1e6 >= 150e0"),
+)
+def _p13(spark, sf):
+    return sel.large_enough(get(spark, sf, "footprint"), 150.0).select("strip_id", "area_km2")
+
+
+@query(
+    "a7_area_perimeter",
+    with_inputs("footprint", f"""select strip_id, (xmax-xmin)*0.75e0*2e4 as area,
+       {q('2*0.75e0*(xmax-xmin) + 2*sqrt((xmax-xmin)/4*((xmax-xmin)/4) + 2e4*2e4)', 64)} as perimeter,
+       {q('least(0.75e0*(xmax-xmin), sqrt((xmax-xmin)/4*((xmax-xmin)/4) + 2e4*2e4))', 64)} as shortest from footprint"""),
+)
+def _a7(spark, sf):
+    f = get(spark, sf, "footprint")
+    return f.select("strip_id", pg.area(F.col("poly")).alias("area"), qc(pg.perimeter(F.col("poly")), 64).alias("perimeter"),
+                    qc(pg.shortest_edge(F.col("poly")), 64).alias("shortest"))
+
+
+# ---- QC ----------------------------------------------------------------------
+
+_QC_SQL = """qcs as (select concat('/strips/', region, '/', strip_id, '_dem_browse.tif') as browse_path, region, qc as flag, strip_no,
+    strip_date from footprint where region <> 'P')"""
+
+
+def _qc(spark, sf, suffix="_dem_browse.tif"):
+    f = get(spark, sf, "footprint").filter("region <> 'P'")
+    ring = F.array(F.col("poly"))
+    return f.select(
+        F.concat(F.lit("/strips/"), "region", F.lit("/"), "strip_id", F.lit(suffix)).alias("browse_path"), "region",
+        F.col("qc").alias("flag"), "strip_no", "strip_date", F.when(F.col("qc") >= 3, ring).otherwise(F.array().cast(
+            "array<array<struct<x:double,y:double>>>")).alias("masks"),
+    )
+
+
+@query(
+    "s8_qc_store",
+    with_inputs("footprint", "select region, strip_no, qc, case when qc <= 2 then 0 else 1 end as polygons, case when qc > 2 then 5 else 0 end as vertices from footprint"),
+)
+def _s8(spark, sf):
+    f = get(spark, sf, "footprint")
+    stores = [
+        f.filter(F.col("region") == r).select("region", "strip_no", "qc", F.when(F.col("qc") > 2, F.col("poly")).alias("mask"),
+                                               F.when(F.col("qc") > 3, F.array("poly")).alias("masks"))
+        for r in ("F", "O", "P")
+    ]
+    d = inv.wrap_masks(inv.stack_stores(*stores))
+    return d.select("region", "strip_no", "qc", F.size("masks").alias("polygons"),
+                    F.when(F.size("masks") > 0, F.size(F.get("masks", F.lit(0)))).otherwise(0).alias("vertices"))
+
+
+@query(
+    "u1_stack_stores",
+    with_inputs("footprint", "select region, count(*) as n, cast(sum(qc) as bigint) as flags from footprint group by 1"),
+)
+def _u1(spark, sf):
+    f = get(spark, sf, "footprint")
+    d = inv.stack_stores(*[f.filter(F.col("region") == r).select("region", "qc") for r in ("F", "O", "P")])
+    return d.groupBy("region").agg(F.count("*").alias("n"), F.sum("qc").alias("flags"))
+
+
+def _j9_sql(has_mask: str = "coalesce(q.flag, 0) >= 3") -> str:
+    return with_inputs("footprint", f"""with {_QC_SQL} select f.strip_id, coalesce(q.flag, 0) as qc, case when {has_mask} then 1 else 0 end as n_masks
+      from footprint f left join qcs q on q.browse_path = concat('/strips/', f.region, '/', f.strip_id, '_dem_browse.tif')""")
+
+
+@query("j9_qc_attach", _j9_sql())
+def _j9(spark, sf):
+    return _attach(spark, sf, "_dem_browse.tif")
+
+
+@query("j9_qc_attach_fallback", _j9_sql())
+def _j9b(spark, sf):
+    """No browse suffix matches, so the elevation suffix is used."""
+    return _attach(spark, sf, "_dem.tif")
+
+
+def _attach(spark, sf, suffix):
+    f = get(spark, sf, "footprint")
+    strips = f.select("strip_id", F.concat(F.lit("/strips/"), "region", F.lit("/"), "strip_id", F.lit("_meta.txt")).alias("path"))
+    d = fp.qc_attach(strips, _qc(spark, sf, suffix))
+    return d.select("strip_id", "qc", F.size("masks").alias("n_masks"))
+
+
+@query(
+    "j18_qc_carry_over",
+    with_inputs("footprint", f"""with {_QC_SQL} select concat('/strips/', f.region, '/', f.strip_id, '_dem_browse.tif') as browse_path, coalesce(q.flag, 0) as flag
+      from footprint f left join qcs q on q.browse_path = concat('/strips/', f.region, '/', f.strip_id, '_dem_browse.tif')"""),
+)
+def _j18(spark, sf):
+    f = get(spark, sf, "footprint").select(F.concat(F.lit("/strips/"), "region", F.lit("/"), "strip_id", F.lit("_dem_browse.tif")).alias("browse_path"))
+    return fp.qc_carry_over(f, _qc(spark, sf).select("browse_path", "flag")).select("browse_path", "flag")
+
+
+@query(
+    "o5_reset_last_reviewed",
+    with_inputs("footprint", f"""with {_QC_SQL}, f0 as (select *, case when flag = 5 then 0 else flag end as fl from qcs)
+      select browse_path, region, case when strip_no = max(case when fl <> 0 then strip_no end) over (partition by region) then 0 else fl end as flag from f0"""),
+)
+def _o5(spark, sf):
+    d = _qc(spark, sf).withColumn("flag", F.when(F.col("flag") == 5, 0).otherwise(F.col("flag")))
+    return sel.reset_last_reviewed(d, "region", "strip_no").select("browse_path", "region", "flag")
+
+
+# ---- tiles and inventories -----------------------------------------------------
+
+_REGIONS = """reg as (select tile_id as tile_name, (tile_row*4+tile_col)%3 as region_num, 1 as ord from tiles
+    union all select tile_id, 2-tile_col%3, 2 from tiles where tile_row >= 1)"""
+
+
+def _regions(spark, sf):
+    t = get(spark, sf, "tiles")
+    a = t.select(F.col("tile_id").alias("tile_name"), ((F.col("tile_row") * 4 + F.col("tile_col")) % 3).alias("region_num"), F.lit(1).alias("ord"))
+    b = t.filter("tile_row >= 1").select(F.col("tile_id").alias("tile_name"), (2 - F.col("tile_col") % 3).alias("region_num"), F.lit(2).alias("ord"))
+    return a.unionByName(b)
+
+
+@query("s9_tile_region", with_inputs("tiles", f"with {_REGIONS} select tile_name, min_by(region_num, ord) as region_num from reg group by 1"))
+def _s9(spark, sf):
+    return fp.first_tile_entry(_regions(spark, sf), "ord")
+
+
+@query(
+    "j10_tiles_of_region",
+    with_inputs("tiles", f"with {_REGIONS} select t.* from tiles t join (select tile_name, min_by(region_num, ord) as r from reg group by 1) on tile_name = tile_id where r = 1"),
+)
+def _j10(spark, sf):
+    return fp.tiles_of_region(get(spark, sf, "tiles"), _regions(spark, sf), 1, "ord")
+
+
+@query(
+    "j11_tile_neighbours",
+    with_inputs("tiles", """select a.tile_id, b.tile_id as other_id, b.tile_row-a.tile_row as d_row, b.tile_col-a.tile_col as d_col from tiles a join tiles b
+      on abs(a.tile_row-b.tile_row)+abs(a.tile_col-b.tile_col) = 1"""),
+)
+def _j11(spark, sf):
+    t = get(spark, sf, "tiles")
+    return fp.tile_neighbours(t, t)
+
+
+@query(
+    "u2_unordered_pairs",
+    with_inputs("tiles", """select a.tile_id as tile_a, b.tile_id as tile_b from tiles a join tiles b
+      on abs(a.tile_row-b.tile_row)+abs(a.tile_col-b.tile_col) = 1 and a.tile_id < b.tile_id"""),
+)
+def _u2(spark, sf):
+    t = get(spark, sf, "tiles")
+    return fp.unordered_pairs(fp.tile_neighbours(t, t))
+
+
+@query(
+    "j13_stale_products",
+    with_inputs("inventory", """with i as (select scene_no, max(modified) m from inventory where kind='view' group by 1),
+      p as (select scene_no, max(modified) m from inventory where kind='click' group by 1)
+      select scene_no from i left join p using (scene_no) where p.m is null or epoch_us(i.m) - epoch_us(p.m) > 60000000"""),
+)
+def _j13(spark, sf):
+    d = get(spark, sf, "inventory")
+    return inv.stale_products(d.filter("kind = 'view'"), d.filter("kind = 'click'"), "scene_no")
+
+
+@query(
+    "j13_strips_to_redo",
+    with_inputs("inventory", """with m as (select scene_no, max(modified) m from inventory where kind='purchase' group by 1),
+      s as (select scene_no, min(modified) m from inventory where kind='signup' group by 1)
+      select scene_no from m left join s using (scene_no) where s.m is null or m.m >= s.m"""),
+)
+def _j13b(spark, sf):
+    d = get(spark, sf, "inventory")
+    return inv.strips_to_redo(d.filter("kind = 'purchase'"), d.filter("kind = 'signup'"), "scene_no")
+
+
+@query(
+    "j12_not_done",
+    with_inputs("inventory", "select event_id, scene_no from inventory where kind='view' and scene_no not in (select scene_no from inventory where kind='error')"),
+)
+def _j12(spark, sf):
+    d = get(spark, sf, "inventory")
+    return inv.not_done(d.filter("kind = 'view'"), d.filter("kind = 'error'"), "scene_no").select("event_id", "scene_no")
+
+
+@query(
+    "j12_trim_restart",
+    with_inputs("strip_scene", """with m as (select strip_id as tile_id, max(seq) - case when strip_id % 2 = 0 then 1 else 0 end as last from strip_scene group by strip_id)
+      select s.strip_id as tile_id, s.seq, s.scene_id from strip_scene s join m on m.tile_id=s.strip_id where s.seq <= m.last"""),
+)
+def _j12b(spark, sf):
+    s = get(spark, sf, "strip_scene").withColumnRenamed("strip_id", "tile_id")
+    last = s.groupBy("tile_id").agg(F.max("seq").alias("n")).select("tile_id", (F.col("n") - F.when(F.col("tile_id") % 2 == 0, 1).otherwise(0)).alias("seq"))
+    return inv.trim_restart(s, last).select("tile_id", "seq", "scene_id")
+
+
+@query(
+    "j16_registration_lookup",
+    with_inputs("tiles registration", """with f as (select tile_id, concat(tile_id, '_2m_dem.mat') as file from tiles),
+       r as (select t.tile_id as tile_name, r.dz, r.dx, r.dy, r.p75 from tiles t join registration r on r.strip_no = t.tile_row*4+t.tile_col)
+       select file, dz, dx, dy from f join r on r.tile_name = substr(f.file, 1, 5) where r.p75 is not null"""),
+)
+def _j16(spark, sf):
+    t, r = get(spark, sf, "tiles"), get(spark, sf, "registration")
+    files = t.select(F.concat("tile_id", F.lit("_2m_dem.mat")).alias("file"))
+    reg = t.join(r, F.col("strip_no") == F.col("tile_row") * 4 + F.col("tile_col")).select(F.col("tile_id").alias("tile_name"), "dz", "dx", "dy", "p75")
+    return files.join(reg.filter("p75 is not null"), F.substring("file", 1, 5) == F.col("tile_name")).select("file", "dz", "dx", "dy")
+
+
+@query(
+    "u3_name_sets",
+    with_inputs("inventory", "select distinct scene_no, scene_no in (select scene_no from inventory where kind='error') as both_ from inventory where kind='view'"),
+)
+def _u3(spark, sf):
+    d = get(spark, sf, "inventory")
+    a, b = d.filter("kind = 'view'").select("scene_no"), d.filter("kind = 'error'").select("scene_no")
+    both = a.intersect(b).withColumn("both_", F.lit(True))
+    only = inv.not_done(a.distinct(), b, "scene_no").withColumn("both_", F.lit(False))
+    return both.unionByName(only)
+
+
+# ---- statistics ----------------------------------------------------------------
+
+
+@query(
+    "a1_strip_stats",
+    with_inputs("strip_scene", f"""with s as (select distinct strip_id from strip_scene), a as (select strip_id, avg(rmse) as avg_rmse, median(rmse) as med_rmse, max(rmse) as max_rmse, count(*) as n
+        from strip_scene where seq > 1 group by 1)
+      select strip_id, {q('avg_rmse')} as avg_rmse, med_rmse, max_rmse, cast(coalesce(n,0)+1 as bigint) as n_scenes from s left join a using (strip_id)"""),
+)
+def _a1(spark, sf):
+    s = get(spark, sf, "strip_scene")
+    d = sel.strip_alignment_stats(s, s.select("strip_id").distinct())
+    return d.withColumn("avg_rmse", qc(F.col("avg_rmse")))
+
+
+# residuals: every lineitem price spread, grouped by supplier
+_RES = "res as (select l_suppkey as strip_id, floor(l_extendedprice/64e0)/64e0 - l_quantity/2e0 as dz from lineitem)"
+
+
+def _residuals(spark, sf):
+    return Inputs(spark, sf).table("lineitem").select(F.col("l_suppkey").alias("strip_id"), (F.floor(F.col("l_extendedprice") / 64.0) / 64.0 - F.col("l_quantity") / 2.0).alias("dz"))
+
+
+def _pct_sql(p: int) -> str:
+    pos = f"greatest(1, least(n, n*{p}/1e2+0.5e0))"
+    lo, hi = f"a[cast(floor({pos}) as int)]", f"a[cast(ceil({pos}) as int)]"
+    return f"floor(({lo} + ({hi}-{lo})*({pos}-floor({pos})))*1024e0+0.5e0)/1024e0 as p{p}"
+
+
+@query(
+    "a2_residual_stats",
+    with_inputs([], f"""with {_RES}, m as (select strip_id, median(dz) as md, stddev_samp(dz) as sd from res group by 1),
+      good as (select strip_id, dz from res join m using (strip_id) where abs(dz-md) < sd),
+      g as (select strip_id, count(*) as n_gcps, {q('avg(dz)')} as mean_dz, median(dz) as median_dz from good group by 1),
+      l as (select strip_id, list_sort(list(abs(dz))) as a, cast(count(*) as double) as n from res group by 1)
+      select strip_id, n_gcps, mean_dz, median_dz, {', '.join(_pct_sql(p) for p in range(50, 101, 5))} from l left join g using (strip_id)"""),
+)
+def _a2(spark, sf):
+    d = sel.residual_stats(_residuals(spark, sf), ["strip_id"])
+    return d.withColumns({c: qc(F.col(c)) for c in ["mean_dz", *[f"p{p}" for p in sel.PERCENTILES]]})
+
+
+@query(
+    "a9_inlier_filter",
+    with_inputs([], f"""with {_RES}, m as (select strip_id, median(dz) as md, stddev_samp(dz) as sd from res group by 1)
+      select strip_id, count(*) as n, count(*) filter (where abs(dz-md) <= sd) as kept, {q('sqrt(avg(dz*dz) filter (where abs(dz-md) <= sd))')} as rmse
+      from res join m using (strip_id) group by 1"""),
+)
+def _a9(spark, sf):
+    r = _residuals(spark, sf)
+    n = r.groupBy("strip_id").agg(F.count("*").alias("n"))
+    k = solve.inliers(r, ["strip_id"]).groupBy("strip_id").agg(F.count("*").alias("kept"), qc(solve.rmse(F.col("dz"))).alias("rmse"))
+    return n.join(k, "strip_id")
+
+
+@query(
+    "a17_rmse",
+    with_inputs([], f"""with {_RES}, m as (select strip_id, median(dz) as md from res group by 1)
+      select strip_id, {q('sqrt(avg(dz*dz))')} as rmse, {q('sqrt(avg((dz-md)*(dz-md)))')} as rmse_about_median from res join m using (strip_id) group by 1"""),
+)
+def _a17(spark, sf):
+    from reliefgrid.functions.quantiles import group_median
+
+    r = _residuals(spark, sf)
+    d = r.join(group_median(r, ["strip_id"], F.col("dz"), "md"), "strip_id")
+    return d.groupBy("strip_id").agg(qc(solve.rmse(F.col("dz"))).alias("rmse"), qc(solve.rmse(F.col("dz") - F.col("md"))).alias("rmse_about_median"))
+
+
+@query(
+    "a8_least_squares",
+    f"""with s as (select l_suppkey as k, l_linenumber-4e0 as sx, l_quantity/8e0-3e0 as sy, floor(l_extendedprice/64e0)/64e0 as dz from lineitem),
+      t as (select k, count(*) as n, sum(sx) sx, sum(sy) sy, sum(sx*sx) sxx, sum(sx*sy) sxy, sum(sy*sy) syy, sum(dz) sz, sum(sx*dz) sxz, sum(sy*dz) syz from s group by 1),
+      u as (select *, n*(sxx*syy-sxy*sxy) - sx*(sx*syy-sxy*sy) + sy*(sx*sxy-sxx*sy) as det from t)
+      select k, n, {q('(sz*(sxx*syy-sxy*sxy) - sx*(sxz*syy-sxy*syz) + sy*(sxz*sxy-sxx*syz))/det')} as qz,
+        {q('(n*(sxz*syy-sxy*syz) - sz*(sx*syy-sxy*sy) + sy*(sx*syz-sxz*sy))/det')} as qx,
+        {q('(n*(sxx*syz-sxz*sxy) - sx*(sx*syz-sxz*sy) + sz*(sx*sxy-sxx*sy))/det')} as qy from u""",
+)
+def _a8(spark, sf):
+    l = Inputs(spark, sf).table("lineitem")
+    d = l.select(F.col("l_suppkey").alias("k"), (F.col("l_linenumber") - 4.0).alias("sx"), (F.col("l_quantity") / 8.0 - 3.0).alias("sy"),
+                 (F.floor(F.col("l_extendedprice") / 64.0) / 64.0).alias("dz"))
+    return solve.least_squares(d, ["k"]).withColumns({c: qc(F.col(c)) for c in ("qz", "qx", "qy")})
+
+
+@query(
+    "a10_mean_offset",
+    with_inputs("tiles registration", f"""with n as (select a.tile_id, r.dz, r.dx, r.dy, r.p75 as rmse from tiles a join tiles b on abs(a.tile_row-b.tile_row)+abs(a.tile_col-b.tile_col) = 1
+        join registration r on r.strip_no % 16 = b.tile_row*4+b.tile_col)
+      select tile_id, {q('avg(dz)')} as dz, {q('avg(dx)')} as dx, {q('avg(dy)')} as dy, {q('avg(rmse)')} as rmse from n group by 1"""),
+)
+def _a10(spark, sf):
+    from reliefgrid.plans.registration import mean_offsets
+
+    t, r = get(spark, sf, "tiles"), get(spark, sf, "registration")
+    n = fp.tile_neighbours(t, t).join(t.select(F.col("tile_id").alias("other_id"), (F.col("tile_row") * 4 + F.col("tile_col")).alias("k")), "other_id")
+    d = n.join(r, F.col("k") == F.col("strip_no") % 16).select("tile_id", "dz", "dx", "dy", F.col("p75").alias("rmse"))
+    return mean_offsets(d, ["tile_id"]).withColumns({c: qc(F.col(c)) for c in ("dz", "dx", "dy", "rmse")})
+
+
+@query(
+    "a13_cluster_count",
+    with_inputs("strip_scene", "select strip_id as tile_id, count(*) filter (where dz=0 and dx=0 and dy=0) as clusters from strip_scene group by 1"),
+)
+def _a13(spark, sf):
+    return sel.cluster_starts(get(spark, sf, "strip_scene").withColumnRenamed("strip_id", "tile_id"))
+
+
+@query(
+    "a6_box_overlap",
+    with_inputs("footprint", """with n as (select *, lead(strip_no) over w as other, lead(xmin) over w as bx0, lead(xmax) over w as bx1, lead(ymin) over w as by0, lead(ymax) over w as by1
+        from footprint window w as (partition by strip_date order by strip_no))
+      select strip_no, other, greatest(0, least(xmax,bx1)-greatest(xmin,bx0))*greatest(0, least(ymax,by1)-greatest(ymin,by0)) as area from n where other is not null"""),
+)
+def _a6(spark, sf):
+    from pyspark.sql import Window
+
+    f = get(spark, sf, "footprint")
+    w = Window.partitionBy("strip_date").orderBy("strip_no")
+    box = ["xmin", "xmax", "ymin", "ymax"]
+    d = f.select("strip_no", *box, F.lead("strip_no").over(w).alias("other"), *[F.lead(c).over(w).alias(f"o_{c}") for c in box]).filter("other is not null")
+    return d.select("strip_no", "other", pg.box_overlap(*[F.col(c) for c in box], *[F.col(f"o_{c}") for c in box]).alias("area"))
+
+
+@query(
+    "a6_union_box",
+    with_inputs("footprint", "select region, qc, min(xmin) as xmin, max(xmax) as xmax, min(ymin) as ymin, max(ymax) as ymax from footprint group by 1,2"),
+)
+def _a6u(spark, sf):
+    return get(spark, sf, "footprint").groupBy("region", "qc").agg(
+        F.min("xmin").alias("xmin"), F.max("xmax").alias("xmax"), F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax"))
+
+
+@query(
+    "p9_thin_points",
+    "with g as (select l_returnflag as k, l_orderkey*100000000 + l_partkey*1000 + l_suppkey*8 + l_linenumber as id from lineitem), "
+    "n as (select k, id, row_number() over (partition by k order by id) as r, count(*) over (partition by k) as n from (select distinct k, id from g)) "
+    "select k, id from n where n <= 1000 or (r-1) % cast(floor(n/1000) as bigint) = 0",
+)
+def _p9(spark, sf):
+    l = Inputs(spark, sf).table("lineitem")
+    d = l.select(F.col("l_returnflag").alias("k"), (F.col("l_orderkey") * 100000000 + F.col("l_partkey") * 1000 + F.col("l_suppkey") * 8 + F.col("l_linenumber")).alias("id")).distinct()
+    return pt.thin(d, ["k"], "id").select("k", "id")
+
+
+# ---- ranks ---------------------------------------------------------------------
+
+_CAND = """cand as (select concat('t', cast(o_custkey%50 as string)) as tile_id, o_orderkey as idx, case when o_orderstatus <> 'P' then floor(o_totalprice/5e4)/8e0 end as rmse,
+    cast(substring(o_orderpriority,1,1) as int) as qc, o_orderkey%7 as new_px, o_orderkey%11 as overlap from orders)"""
+
+
+def _cand(spark, sf):
+    o = Inputs(spark, sf).table("orders")
+    return o.select(F.concat(F.lit("t"), (F.col("o_custkey") % 50).cast("string")).alias("tile_id"), F.col("o_orderkey").alias("idx"),
+                    F.when(F.col("o_orderstatus") != "P", F.floor(F.col("o_totalprice") / 5e4) / 8.0).alias("rmse"),
+                    F.substring("o_orderpriority", 1, 1).cast("int").alias("qc"), (F.col("o_orderkey") % 7).alias("new_px"), (F.col("o_orderkey") % 11).alias("overlap"))
+
+
+@query("o2_selection_rank", f"with {_CAND} select *, row_number() over (partition by tile_id order by rmse asc nulls last, qc, new_px desc, overlap, idx) as rank from cand")
+def _o2(spark, sf):
+    return sel.selection_rank(_cand(spark, sf)).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("o2_best_per_tile", f"with {_CAND} select * exclude (r) from (select *, row_number() over (partition by tile_id order by rmse asc nulls last, qc, new_px desc, overlap, idx) as r from cand) where r = 1")
+def _o2b(spark, sf):
+    return sel.best_per_tile(_cand(spark, sf))
+
+
+@query(
+    "o3_review_rank",
+    f"with {_CAND}, s as (select tile_id, idx, coalesce(1e2*new_px/64, 0) + coalesce(1/(r*r), 0) as sc from (select *, nullif(rmse, 0) as r from cand)) select tile_id, idx, {q('sc')} as score, rank from (select *, row_number() over (partition by tile_id order by sc desc, idx) as rank from s) where rank > 2",
+)
+def _o3(spark, sf):
+    d = _cand(spark, sf).withColumn("avg_rmse", F.nullif(F.col("rmse"), F.lit(0.0))).withColumn("cells", F.lit(64))
+    return sel.review_rank(d, 2).select("tile_id", "idx", qc(F.col("score")).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("o4_anchor_order", f"with {_CAND} select tile_id, idx, rmse as p75, row_number() over (partition by tile_id order by rmse, idx) as seq from cand where rmse is not null")
+def _o4(spark, sf):
+    d = sel.anchor_order(_cand(spark, sf).withColumnRenamed("rmse", "p75"))
+    return d.select("tile_id", "idx", "p75", F.col("seq").cast("long").alias("seq"))
+
+
+@query(
+    "p14_redundancy",
+    f"with {_CAND} select tile_id, idx, case when new_px >= 2 then rmse end as rmse, new_px >= 2 as kept from cand",
+)
+def _p14(spark, sf):
+    kept, gone = sel.split_redundant(_cand(spark, sf), 2)
+    return kept.select("tile_id", "idx", "rmse", F.lit(True).alias("kept")).unionByName(gone.select("tile_id", "idx", "rmse", F.lit(False).alias("kept")))
+
+
+@query(
+    "b8_cluster_labels",
+    with_inputs("strip_scene", """select strip_id as tile_id, seq, case when seq = 1 and strip_id % 3 = 0 then 1 else
+      1 + sum(case when nullif(rmse, 1e0) is null and not (seq = 1 and strip_id % 3 = 0) then 1 else 0 end) over (partition by strip_id order by seq) end::int as cluster from strip_scene"""),
+)
+def _b8(spark, sf):
+    s = get(spark, sf, "strip_scene").select(F.col("strip_id").alias("tile_id"), "seq", F.nullif(F.col("rmse"), F.lit(1.0)).alias("rmse"),
+                                             ((F.col("seq") == 1) & (F.col("strip_id") % 3 == 0)).alias("anchored"))
+    return sel.cluster_of_merges(s).select("tile_id", "seq", "cluster")
+
+
+# ---- reports --------------------------------------------------------------------
+
+def _strip_meta(spark, sf):
+    f = get(spark, sf, "footprint").select(
+        F.col("strip_no").alias("strip_id"), F.date_format("strip_date", "dd-MMM-yyyy").alias("created"), F.lit("+proj=stere").alias("projection"), "poly")
+    s = get(spark, sf, "strip_scene")
+    have = s.filter("dx > 0").select("scene_id", F.concat(F.lit("Version=2.0"), (F.col("seq") % 4).cast("string")).alias("value")).groupBy("scene_id").agg(F.min("value").alias("value"))
+    return f, s, have
+
+
+def _fmt(c: str, d: int) -> str:
+    return f"format('{{:.{d}f}}', {c})"
+
+
+@query(
+    "s12_strip_report",
+    with_inputs("footprint strip_scene", f"""with have as (select scene_id, min(concat('Version=2.0', cast(seq%4 as string))) as value from strip_scene where dx > 0 group by 1),
+      body as (select strip_id, string_agg(concat(scene_id, ' ', {_fmt('floor(rmse*4)/4',2)}, ' ', {_fmt('dz',4)}, ' ', {_fmt('dx',4)}, ' ', {_fmt('dy',4)}), chr(10) order by seq) as b,
+         string_agg(concat('scene ', cast(seq as string), ' name=', scene_id, chr(10), coalesce(h.value, concat(replace(scene_id,'dem.tif','meta.txt'), ' not found')), chr(10), ' '), chr(10) order by seq) as m
+         from strip_scene left join have h using (scene_id) group by 1),
+      v as (select * from footprint)
+      select strip_no as strip_id, md5(concat_ws(chr(10), 'Strip Metadata ', concat('Strip creation date: ', strftime(strip_date, '%d-%b-%Y')), 'Strip projection (proj4): +proj=stere', 'Strip Footprint Vertices ',
+        concat('X: ', concat_ws(' ', cast(xmin as bigint), cast(floor(xmax-(xmax-xmin)/4) as bigint), cast(xmax as bigint), cast(floor(xmin+(xmax-xmin)/4) as bigint), cast(xmin as bigint)), ' '),
+        concat('Y: ', concat_ws(' ', cast(ymin as bigint), cast(ymin as bigint), cast(ymax as bigint), cast(ymax as bigint), cast(ymin as bigint)), ' '),
+        '', 'Mosaicking Alignment Statistics (meters) ', 'scene, rmse, dz, dx, dy', coalesce(b, ''), '', 'Scene Metadata ', '', coalesce(m, ''))) as digest
+      from v left join body on body.strip_id = v.strip_no"""),
+)
+def _s12(spark, sf):
+    f, s, have = _strip_meta(spark, sf)
+    # printed to two places, so rmse is put on quarters: formatted ties differ between engines
+    d = rp.write_strip_meta(f, s.withColumn("rmse", F.floor(F.col("rmse") * 4) / 4), have)
+    return d.select("strip_id", F.md5("value").alias("digest"))
+
+
+@query(
+    "s4_strip_meta",
+    with_inputs("footprint", "select strip_no as strip_id, strip_date, strftime(strip_date, '%d-%b-%Y') as created, xmin, xmax, ymin, ymax, 5 as vertices from footprint"),
+)
+def _s4(spark, sf):
+    f, s, _ = _strip_meta(spark, sf)
+    text = rp.write_strip_meta(f, s)
+    day = get(spark, sf, "footprint").select(F.col("strip_no").alias("strip_id"), "strip_date")
+    text = text.join(day, "strip_id").select(
+        F.concat(F.lit("/strips/WV01_"), F.date_format("strip_date", "yyyyMMdd"), F.lit("_"), F.col("strip_id").cast("string"), F.lit("_meta.txt")).alias("path"), "value")
+    d = rp.parse_strip_meta(text)
+    xs, ys = F.transform("poly", lambda v: v.x), F.transform("poly", lambda v: v.y)
+    return d.select(F.regexp_extract("name", r"_(\d+)_meta", 1).cast("long").alias("strip_id"), "strip_date", "created",
+                    F.array_min(xs).alias("xmin"), F.array_max(xs).alias("xmax"), F.array_min(ys).alias("ymin"), F.array_max(ys).alias("ymax"), F.size("poly").alias("vertices"))
+
+
+@query(
+    "s4_strip_scenes",
+    with_inputs("footprint strip_scene", "select s.strip_id, s.seq, s.scene_id, floor(s.rmse*4)/4e0 as rmse, s.dz, s.dx, s.dy from strip_scene s join footprint f on f.strip_no = s.strip_id"),
+)
+def _s4s(spark, sf):
+    f, s, _ = _strip_meta(spark, sf)
+    text = rp.write_strip_meta(f, s.withColumn("rmse", F.floor(F.col("rmse") * 4) / 4)).select(F.col("strip_id").cast("string").alias("path"), "value")
+    d = rp.parse_strip_scenes(text)
+    return d.select(F.col("path").cast("long").alias("strip_id"), F.col("seq").cast("long").alias("seq"), "scene_id", "rmse", "dz", "dx", "dy")
+
+
+@query(
+    "s6_scene_settings",
+    """select p_partkey as scene_id, case when p_size < 10 then 3.0e0 when p_size < 20 then 2.03082016e0 else p_size/16e0 end as version,
+       p_size >= 30 and p_partkey % 2 = 1 as wv_correct from part""",
+)
+def _s6(spark, sf):
+    p = Inputs(spark, sf).table("part")
+    text = F.concat_ws("\n", F.lit("scene report"), F.when(F.col("p_size") >= 20, F.concat(F.lit("Generator Version="), (F.col("p_size") / 16.0).cast("string"), F.lit("  "))),
+                       F.when(F.col("p_size") >= 30, F.concat(F.lit("Image 1 wv_correct="), (F.col("p_partkey") % 2).cast("string"))))
+    reports = p.filter("p_size >= 10").select(F.col("p_partkey").alias("scene_id"), text.alias("value"))
+    return rp.scene_settings(p.select(F.col("p_partkey").alias("scene_id")), reports)
+
+
+_STATS = """st as (select strip_no as strip_id, ngcps as n_gcps, coalesce(p75, 0e0)/2e0 as mean_dz, coalesce(p75, 0e0)/4e0 as median_dz, dz, dx, dy, ngcps%6+1 as month_range from registration)"""
+
+
+def _stats(spark, sf):
+    r = get(spark, sf, "registration")
+    p = F.coalesce("p75", F.lit(0.0))
+    d = r.select(F.col("strip_no").alias("strip_id"), F.col("ngcps").alias("n_gcps"), (p / 2).alias("mean_dz"), (p / 4).alias("median_dz"), "dz", "dx", "dy",
+                 (F.col("ngcps") % 6 + 1).alias("month_range"), F.concat(F.lit("strip_"), F.col("strip_no").cast("string"), F.lit("_dem.tif")).alias("file"))
+    return d.withColumns({f"p{x}": F.col("n_gcps") + x / 8.0 for x in sel.PERCENTILES})
+
+
+@query(
+    "s15_strip_registration_report",
+    with_inputs("registration", f"""with {_STATS} select strip_id, concat_ws(chr(10), concat('DEM Filename: strip_', cast(strip_id as string), '_dem.tif'), 'Registration Dataset 1 Name: icesat',
+      concat('GCP Month Range (+/- months)=', cast(month_range as string)), concat('# GCPs=', cast(n_gcps as string)), concat('Translation Vector (dz,dx,dy)(m)= ', {_fmt('floor(dz)',3)}, ', ', {_fmt('dx',3)}, ', ', {_fmt('dy',3)}, ' '),
+      {', '.join(f"concat('{p}th percentile=', {_fmt(f'n_gcps+{p}/8e0', 3)}, ' ')" for p in range(50, 101, 5))}) as value from st"""),
+)
+def _s15(spark, sf):
+    d = rp.write_strip_registration(_stats(spark, sf).withColumn("dz", F.floor("dz").cast("double")), ["icesat"])
+    # mean, median and section title lines are compared numerically by s5
+    kept = F.filter(F.split("value", "\n"), lambda s: ~s.contains("Vertical Residual") & ~s.contains("Deviation"))
+    return d.select("strip_id", F.array_join(kept, "\n").alias("value"))
+
+
+@query(
+    "s5_registration_report",
+    with_inputs("registration", f"""with {_STATS} select strip_id, cast(n_gcps as double) as n_gcps, floor(mean_dz*8)/8e0 as mean_dz, floor(median_dz*8)/8e0 as median_dz, floor(dz*8)/8e0 as dz, dx, dy, n_gcps+50/8e0 as p50, n_gcps+75/8e0 as p75, n_gcps+100/8e0 as p100 from st"""),
+)
+def _s5(spark, sf):
+    s = _stats(spark, sf).withColumns({c: F.floor(F.col(c) * 8) / 8.0 for c in ("mean_dz", "median_dz", "dz")})
+    text = rp.write_strip_registration(s, ["icesat"]).select(F.col("strip_id").cast("string").alias("path"), "value")
+    d = rp.parse_registration(text)
+    return d.select(F.col("path").cast("long").alias("strip_id"), "n_gcps", "mean_dz", "median_dz", "dz", "dx", "dy", "p50", "p75", "p100")
+
+
+@query(
+    "s5_registration_report_wide",
+    with_inputs("registration", f"""with {_STATS} select strip_id, cast(n_gcps as double) as n_gcps, floor(dz*8)/8e0 as dz, dx, dy, cast(n_gcps%5 as double) as n_rock, dx as med_dz, dy as std_dz_ice, case when n_gcps >= 12 then n_gcps/4e0 end as pc_first from st"""),
+)
+def _s5w(spark, sf):
+    s = _stats(spark, sf)
+    text = s.select(F.col("strip_id").cast("string").alias("path"), F.concat_ws(
+        "\n", F.lit("Registration Dataset 1 Name: icesat"), F.concat(F.lit("# GCPs="), F.col("n_gcps").cast("string")), F.concat(F.lit("# Rock GCPs="), (F.col("n_gcps") % 5).cast("string")),
+        F.concat(F.lit("Translation vector (dz,dx,dy)(meters)="), F.concat_ws(", ", (F.floor(F.col("dz") * 8) / 8.0).cast("string"), "dx", "dy")),
+        F.concat(F.lit("All GCP DZ MED="), "dx"), F.concat(F.lit("Ice GCP DZ STD="), "dy"),
+        F.when(F.col("n_gcps") >= 12, F.concat(F.lit("Rock="), (F.col("n_gcps") / 4.0).cast("string"), F.lit(" 2 3")))).alias("value"))
+    d = rp.parse_registration_wide(text)
+    return d.select(F.col("path").cast("long").alias("strip_id"), "n_gcps", "dz", "dx", "dy", "n_rock", "med_dz", "std_dz_ice", F.get("pc_rock", F.lit(0)).alias("pc_first"))
+
+
+@query(
+    "s13_tile_report",
+    with_inputs("strip_scene", f"""select strip_id as tile_id, md5(concat_ws(chr(10), 'Mosaic Tile Metadata ', 'Creation Date: fixed', 'Version: 1.0', '', 'Mosaicking Alignment Statistics (meters) in rank order', 'strip, rmse, dz, dx, dy',
+        string_agg(concat(replace(scene_id, '_dem.tif', ''), ' ', {_fmt('floor(rmse*4)/4', 2)}, ' ', {_fmt('dz',4)}, ' ', {_fmt('dx',4)}, ' ', {_fmt('dy',4)}), chr(10) order by seq))) as digest
+      from strip_scene where dz <> 0 group by 1"""),
+)
+def _s13(spark, sf):
+    s = get(spark, sf, "strip_scene").withColumn("used", F.col("dz") != 0)
+    m = s.select(F.col("strip_id").alias("tile_id"), "seq", F.concat(F.lit("/strips/"), F.replace("scene_id", F.lit("_dem.tif"), F.lit("_meta.txt"))).alias("path"),
+                 (F.floor(F.col("rmse") * 4) / 4).alias("rmse"), *[F.when(F.col("used"), F.col(c)).alias(c) for c in ("dz", "dx", "dy")])
+    return rp.write_tile_meta(m, "1.0", F.lit("fixed")).select("tile_id", F.md5("value").alias("digest"))
+
+
+@query(
+    "s14_tile_registration_report",
+    with_inputs("registration", f"""select concat('t', cast(strip_no%10 as string)) as tile_id, md5(concat_ws(chr(10), concat('DEM Filename: t', cast(strip_no%10 as string), '_reg_dem.mat'), 'Registration Dataset 1 Name: Neighbor Align',
+       string_agg(concat_ws(chr(10), concat('Statistics for Coregistration Cluster ', cast(strip_no//10 as string), ':'), '# GCPs=NaN', concat('Mean Vertical Residual (m)=', {_fmt('strip_no/8e0',3)}), 'Median Vertical Residual (m)=NaN',
+         concat('Translation Vector (dz,dx,dy)(m)= ', {_fmt('floor(dz)',3)}, ', ', {_fmt('dx',3)}, ', ', {_fmt('dy',3)}, ' '), 'Vertical Deviation Percentiles(m):', 'NaN', ''), chr(10) order by strip_no))) as digest
+      from registration group by strip_no%10"""),
+)
+def _s14(spark, sf):
+    r = get(spark, sf, "registration").select(
+        F.concat(F.lit("t"), (F.col("strip_no") % 10).cast("string")).alias("tile_id"), F.floor(F.col("strip_no") / 10).alias("cluster"),
+        (F.col("strip_no") / 8.0).alias("rmse"), F.floor("dz").cast("double").alias("dz"), "dx", "dy")
+    return rp.write_tile_registration(r, ["Neighbor Align"]).select("tile_id", F.md5("value").alias("digest"))
+
+
+@query(
+    "j19_scene_metadata",
+    with_inputs("strip_scene", """with have as (select scene_id, min(concat('Version=2.0', cast(seq%4 as string))) as value from strip_scene where dx > 0 group by 1)
+      select strip_id, seq, concat('scene ', cast(seq as string), ' name=', scene_id, chr(10), coalesce(value, concat(replace(scene_id,'dem.tif','meta.txt'),' not found')), chr(10), ' ') as line
+      from strip_scene left join have using (scene_id)"""),
+)
+def _j19(spark, sf):
+    _, s, have = _strip_meta(spark, sf)
+    return rp.scene_meta_lines(s, have).withColumn("seq", F.col("seq").cast("long"))
