@@ -64,6 +64,8 @@ def group_quantiles(
         ),
         lambda i: i.isNotNull(),
     )
+    # a small group is its own bracket for every rank, so it is listed once
+    inside = F.when(F.col("_n") <= SMALL_GROUP, F.array(F.lit(0))).otherwise(inside)
     candidates = (
         placed.select(*keys, "_v", F.explode(inside).alias("_i"))
         .groupBy(*keys, "_i", "_v")
@@ -75,7 +77,8 @@ def group_quantiles(
 
     def pick(i: int, rank: Column) -> Column:
         end = F.col(f"_below{i}") + F.col("_upto")
-        here = (F.col("_i") == i) & (rank <= end) & (rank > end - F.col("_c"))
+        mine = (F.col("_i") == i) | (F.col("_n") <= SMALL_GROUP)
+        here = mine & (rank <= end) & (rank > end - F.col("_c"))
         return F.max(F.when(here, F.col("_v")))
 
     outs, frac = [], {}

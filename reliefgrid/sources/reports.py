@@ -65,6 +65,24 @@ def parse_strip_scenes(reports: DataFrame) -> DataFrame:
     )
 
 
+def fixed(v: Column | str, digits: int) -> Column:
+    """Fixed-point text, ties to even."""
+    v = F.col(v) if isinstance(v, str) else v
+    return F.format_string(f"%.{digits}f", F.bround(v, digits))
+
+
+def _alignment(*names_: str) -> Column:
+    """``name rmse dz dx dy`` with two and four decimals."""
+    name, r, *d = names_
+    return F.concat_ws(" ", F.col(name), fixed(r, 2), *[fixed(c, 4) for c in d])
+
+
+def _vector() -> Column:
+    return F.concat(
+        F.lit("Translation Vector (dz,dx,dy)(m)= "), F.concat_ws(", ", *[fixed(c, 3) for c in ("dz", "dx", "dy")]), F.lit(" ")
+    )
+
+
 def _gather(lines: DataFrame, key: str, order: str, line: str) -> DataFrame:
     """Printed lines of a report in order, newline-joined."""
     return lines.groupBy(key).agg(
@@ -89,7 +107,7 @@ def write_strip_meta(footprints: DataFrame, scenes: DataFrame, scene_meta: DataF
     """
     rows = scenes.select(
         "strip_id", "seq",
-        F.format_string("%s %.2f %.4f %.4f %.4f", "scene_id", "rmse", "dz", "dx", "dy").alias("line"),
+        _alignment("scene_id", "rmse", "dz", "dx", "dy").alias("line"),
     )
     table = _gather(rows, "strip_id", "seq", "line")
     verts = lambda axis: F.array_join(F.transform("poly", lambda v: F.format_string("%d", v[axis].cast("long"))), " ")
@@ -184,12 +202,12 @@ def parse_registration_wide(reports: DataFrame) -> DataFrame:
 
 
 def _stat_lines() -> list[Column]:
-    f3 = lambda c: F.format_string("%.3f", c)
+    f3 = lambda c: fixed(c, 3)
     return [
         F.concat(F.lit("# GCPs="), F.col("n_gcps").cast("string")),
         F.concat(F.lit("Mean Vertical Residual (m)="), f3("mean_dz")),
         F.concat(F.lit("Median Vertical Residual (m)="), f3("median_dz")),
-        F.format_string("Translation Vector (dz,dx,dy)(m)= %.3f, %.3f, %.3f ", "dz", "dx", "dy"),
+        _vector(),
         F.lit("Vertical Deviation Percentiles(m):"),
         *[F.concat(F.lit(f"{p}th percentile="), f3(f"p{p}"), F.lit(" ")) for p in PERCENTILES],
     ]
@@ -213,9 +231,9 @@ def write_tile_registration(stats: DataFrame, datasets: list[str]) -> DataFrame:
     if short:
         body = [
             F.lit("# GCPs=NaN"),
-            F.concat(F.lit("Mean Vertical Residual (m)="), F.format_string("%.3f", "rmse")),
+            F.concat(F.lit("Mean Vertical Residual (m)="), fixed("rmse", 3)),
             F.lit("Median Vertical Residual (m)=NaN"),
-            F.format_string("Translation Vector (dz,dx,dy)(m)= %.3f, %.3f, %.3f ", "dz", "dx", "dy"),
+            _vector(),
             F.lit("Vertical Deviation Percentiles(m):"),
             F.lit("NaN"),
         ]
@@ -238,7 +256,7 @@ def tile_report_rows(merges: DataFrame) -> DataFrame:
 def write_tile_meta(merges: DataFrame, version: str = "1.0", created: Column | None = None) -> DataFrame:
     """tile_id, value: alignment statistics of used strips in rank order."""
     rows = tile_report_rows(merges).select(
-        "tile_id", "seq", F.format_string("%s %.2f %.4f %.4f %.4f", "strip", "rmse", "dz", "dx", "dy").alias("line")
+        "tile_id", "seq", _alignment("strip", "rmse", "dz", "dx", "dy").alias("line")
     )
     body = _gather(rows, "tile_id", "seq", "line")
     date = F.date_format(F.current_timestamp(), "dd-MMM-yyyy HH:mm:ss") if created is None else created

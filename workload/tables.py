@@ -843,7 +843,7 @@ def _fmt(c: str, d: int) -> str:
 @query(
     "s12_strip_report",
     with_inputs("footprint strip_scene", f"""with have as (select scene_id, min(concat('Version=2.0', cast(seq%4 as string))) as value from strip_scene where dx > 0 group by 1),
-      body as (select strip_id, string_agg(concat(scene_id, ' ', {_fmt('floor(rmse*4)/4',2)}, ' ', {_fmt('dz',4)}, ' ', {_fmt('dx',4)}, ' ', {_fmt('dy',4)}), chr(10) order by seq) as b,
+      body as (select strip_id, string_agg(concat(scene_id, ' ', {_fmt('rmse',2)}, ' ', {_fmt('dz',4)}, ' ', {_fmt('dx',4)}, ' ', {_fmt('dy',4)}), chr(10) order by seq) as b,
          string_agg(concat('scene ', cast(seq as string), ' name=', scene_id, chr(10), coalesce(h.value, concat(replace(scene_id,'dem.tif','meta.txt'), ' not found')), chr(10), ' '), chr(10) order by seq) as m
          from strip_scene left join have h using (scene_id) group by 1),
       v as (select * from footprint)
@@ -855,8 +855,7 @@ def _fmt(c: str, d: int) -> str:
 )
 def _s12(spark, sf):
     f, s, have = _strip_meta(spark, sf)
-    # printed to two places, so rmse is put on quarters: formatted ties differ between engines
-    d = rp.write_strip_meta(f, s.withColumn("rmse", F.floor(F.col("rmse") * 4) / 4), have)
+    d = rp.write_strip_meta(f, s, have)
     return d.select("strip_id", F.md5("value").alias("digest"))
 
 
@@ -878,7 +877,7 @@ def _s4(spark, sf):
 
 @query(
     "s4_strip_scenes",
-    with_inputs("footprint strip_scene", "select s.strip_id, s.seq, s.scene_id, floor(s.rmse*4)/4e0 as rmse, s.dz, s.dx, s.dy from strip_scene s join footprint f on f.strip_no = s.strip_id"),
+    with_inputs("footprint strip_scene", "select s.strip_id, s.seq, s.scene_id, floor(s.rmse*4)/4e0 as rmse, round_even(s.dz,4) as dz, round_even(s.dx,4) as dx, s.dy from strip_scene s join footprint f on f.strip_no = s.strip_id"),
 )
 def _s4s(spark, sf):
     f, s, _ = _strip_meta(spark, sf)
@@ -953,13 +952,13 @@ def _s5w(spark, sf):
 @query(
     "s13_tile_report",
     with_inputs("strip_scene", f"""select strip_id as tile_id, md5(concat_ws(chr(10), 'Mosaic Tile Metadata ', 'Creation Date: fixed', 'Version: 1.0', '', 'Mosaicking Alignment Statistics (meters) in rank order', 'strip, rmse, dz, dx, dy',
-        string_agg(concat(replace(scene_id, '_dem.tif', ''), ' ', {_fmt('floor(rmse*4)/4', 2)}, ' ', {_fmt('dz',4)}, ' ', {_fmt('dx',4)}, ' ', {_fmt('dy',4)}), chr(10) order by seq))) as digest
+        string_agg(concat(replace(scene_id, '_dem.tif', ''), ' ', {_fmt('rmse', 2)}, ' ', {_fmt('dz',4)}, ' ', {_fmt('dx',4)}, ' ', {_fmt('dy',4)}), chr(10) order by seq))) as digest
       from strip_scene where dz <> 0 group by 1"""),
 )
 def _s13(spark, sf):
     s = get(spark, sf, "strip_scene").withColumn("used", F.col("dz") != 0)
     m = s.select(F.col("strip_id").alias("tile_id"), "seq", F.concat(F.lit("/strips/"), F.replace("scene_id", F.lit("_dem.tif"), F.lit("_meta.txt"))).alias("path"),
-                 (F.floor(F.col("rmse") * 4) / 4).alias("rmse"), *[F.when(F.col("used"), F.col(c)).alias(c) for c in ("dz", "dx", "dy")])
+                 "rmse", *[F.when(F.col("used"), F.col(c)).alias(c) for c in ("dz", "dx", "dy")])
     return rp.write_tile_meta(m, "1.0", F.lit("fixed")).select("tile_id", F.md5("value").alias("digest"))
 
 
