@@ -166,3 +166,65 @@ def resample_bands(px: DataFrame, keys: Sequence[str], shifts: DataFrame, res: f
         "mt", F.col("mt").cast("int")
     )
     return finish_bands(shift_resample(ready, keys, shifts, res, {"z": "linear", "mt": "nearest", "ortho": "cubic"}))
+
+
+def move_nearest(px: DataFrame, keys: Sequence[str], shifts: DataFrame, res: float, bands: Sequence[str]) -> DataFrame:
+    """Nearest-neighbour shift as a plain index move (a half cell goes to the next one)."""
+    s = shifts.select(*keys, F.floor(F.col("dx") / res + 0.5).cast("int").alias("_ic"), F.floor(-F.col("dy") / res + 0.5).cast("int").alias("_ir"))
+    # the cell whose sample position rounds to this one: position frac 1/2 rounds up
+    d = px.join(s, list(keys))
+    return d.select(*keys, (F.col("row") - F.col("_ir")).cast("int").alias("row"), (F.col("col") - F.col("_ic")).cast("int").alias("col"), *bands)
+
+
+# fixed values: interpolation of each tile band when a 3-D offset is applied
+BAND_RULES = {
+    "z": "linear", "z_mad": "linear", "tmin": "linear", "tmax": "linear", "ortho": "cubic",
+    "mt": "nearest", "dy": "nearest", "n": "nearest", "nmt": "nearest",
+}
+
+
+def apply_offsets(px: DataFrame, shifts: DataFrame, res: float) -> DataFrame:
+    """Each cluster of each tile moved by its own offset (to subtract), cells of others ignored.
+
+    ``px``: tile_id, cluster, row, col and any bands of ``BAND_RULES``;
+    ``shifts``: tile_id, cluster, dz, dx, dy.  Clusters without offsets are
+    dropped.  One row per (tile, cluster, cell); smooth and nearest bands may
+    come in separate rows and are brought together by ``combine_clusters``.
+    """
+    keys = ["tile_id", "cluster"]
+    ok = shifts.filter("dz is not null and dx is not null and dy is not null").select(*keys, "dz", "dx", "dy")
+    mine = px.join(ok.select(*keys), keys, "left_semi")
+    smooth = {b: r for b, r in BAND_RULES.items() if b in px.columns and r != "nearest"}
+    near = [b for b, r in BAND_RULES.items() if b in px.columns and r == "nearest"]
+    src = mine.select(*keys, "row", "col", *smooth)
+    if "ortho" in smooth:
+        src = src.withColumn("ortho", F.when(F.col("ortho") != 0, F.col("ortho").cast("double")))
+    out = shift_resample(src, keys, ok, res, smooth)
+    for b in ("ortho", "tmin", "tmax"):
+        if b in smooth:
+            hi = 32767.0 if b == "ortho" else 65535.0
+            lo = -32768.0 if b == "ortho" else 0.0
+            v = F.greatest(F.lit(lo), F.least(F.lit(hi), F.round(b)))
+            out = out.withColumn(b, F.coalesce(v, F.lit(0.0)).cast("int"))
+    if near:
+        out = out.unionByName(move_nearest(mine, keys, ok, res, near), allowMissingColumns=True)
+    return out
+
+
+def combine_clusters(moved: DataFrame) -> DataFrame:
+    """One row per tile cell: elevation of the first cluster with data, matches joined,
+    ortho and day number of the first cluster where they are not zero."""
+    first = {"z": F.col("z")} if "z" in moved.columns else {}
+    for b in ("z_mad",):
+        if b in moved.columns:
+            first[b] = F.col(b)
+    for b in ("ortho", "dy", "n", "nmt", "tmin", "tmax"):
+        if b in moved.columns:
+            first[b] = F.when(F.col(b) != 0, F.col(b))
+    aggs = []
+    for b, v in first.items():
+        top = F.min_by(F.when(v.isNotNull(), v), F.when(v.isNotNull(), F.col("cluster")))
+        aggs.append((top if b.startswith("z") else F.coalesce(top, F.lit(0))).alias(b))
+    if "mt" in moved.columns:
+        aggs.append(F.coalesce(F.bool_or("mt"), F.lit(False)).alias("mt"))
+    return moved.groupBy("tile_id", "row", "col").agg(*aggs)
