@@ -35,11 +35,10 @@ def join_scene(strip: DataFrame, scene: DataFrame, res: float, min_cells: int =
     """
     k = ["strip_id"]
     layers = two_layers(strip.withColumn("dy", F.lit(0)), scene.withColumn("dy", F.lit(0)), k)
-    layers = feather_weights(cut(layers), k, int(10 * res + 1), F0, F1, min_cells)
+    layers = feather_weights(cut(layers), k, int(10 * res + 1), F0, F1, min_cells, islands="_island")
     layers = cut(layers)
     a, b = F.col("z0").isNotNull(), F.col("z1").isNotNull()
-    # only islands that count as new coverage carry a zero weight outside the overlap
-    tally = layers.groupBy(*k).agg(F.count_if(a & b).alias("_both"), F.count_if(b & ~a).alias("_new"))
+    tally = layers.groupBy(*k).agg(F.count_if(a & b).alias("_both"), F.count_if("_island").alias("_new"))
     kept0, kept1 = F.col("w") > 0, F.col("w") < 1
     ref = layers.select(*k, "row", "col", F.when(kept0, F.col("z0")).alias("z"), (F.coalesce("mt0", F.lit(False)) & kept0).alias("m"))
     flt = layers.select(*k, "row", "col", F.when(kept1, F.col("z1")).alias("z"), (F.coalesce("mt1", F.lit(False)) & kept1).alias("m"))

@@ -87,10 +87,10 @@ for _n in (5, 13):
 
     @query(
         f"k6_dilate_n{_n}",
-        with_inputs("px", f"with b as (select *, case when z > 104 then 1 else 0 end as m1 from px), {two_pass('b', 'm1', _n, 's')} select strip_id, row, col, s_sum > 0 as dilated from s"),
+        with_inputs("px", f"with b as (select *, case when z > 102.5 then 1 else 0 end as m1 from px), {two_pass('b', 'm1', _n, 's')} select strip_id, row, col, s_sum > 0 as dilated from s"),
     )
     def _dil(spark, sf, n=_n):
-        return kn.dilate(px(spark, sf), K, F.col("z") > 104, n).select(*K, "row", "col", "dilated")
+        return kn.dilate(px(spark, sf), K, F.col("z") > 102.5, n).select(*K, "row", "col", "dilated")
 
 
 for _n in (5, 6):
@@ -252,13 +252,13 @@ def _k16b(spark, sf):
 
 @query(
     "k19_distance",
-    with_inputs("px", """with reg as (select strip_id, row, col, z from px where z > 105)
+    with_inputs("px", """with reg as (select strip_id, row, col, z from px where z > 103)
       select p.strip_id, p.row, p.col, cast(min(abs(p.row-r.row)+abs(p.col-r.col)) as bigint) as dist,
-             min_by(r.z, (abs(p.row-r.row)+abs(p.col-r.col))*1000000000 + r.row*10000 + r.col) as nearest
+             min_by(r.z, (abs(p.row-r.row)+abs(p.col-r.col))*1000000000::bigint + r.row*10000 + r.col) as nearest
       from px p join reg r using (strip_id) group by 1,2,3"""),
 )
 def _k19(spark, sf):
-    d = kn.distance_to(px(spark, sf), K, F.col("z") > 105, carry=F.col("z"))
+    d = kn.distance_to(px(spark, sf), K, F.col("z") > 103, carry=F.col("z"))
     return d.select(*K, "row", "col", "dist", "nearest").filter("dist is not null")
 
 
@@ -300,16 +300,16 @@ def _k11s(spark, sf):
 
 @query(
     "k11_drop_small",
-    with_inputs("px", COMPONENTS.format(mask="coalesce(z > 102, false)", k=1) + """
+    with_inputs("px", COMPONENTS.format(mask="coalesce(z > 101.5, false)", k=1) + """
       select p.strip_id, p.row, p.col, coalesce(s.cells >= 8, false) as mask from px p
       left join comp c on c.strip_id=p.strip_id and c.row=p.row and p.col between c.c0 and c.c1
       left join size s on s.strip_id=c.strip_id and s.lab=c.lab"""),
 )
 def _k11(spark, sf):
-    return cc.drop_small(px(spark, sf), K, F.col("z") > 102, 8).select("strip_id", "row", "col", "mask")
+    return cc.drop_small(px(spark, sf), K, F.col("z") > 101.5, 8).select("strip_id", "row", "col", "mask")
 
 
-HOLES = COMPONENTS.format(mask="not coalesce(abs(z - 100) < 4, false)", k=0) + """,
+HOLES = COMPONENTS.format(mask="not coalesce(abs(z - 100) < 2, false)", k=0) + """,
    ext as (select strip_id, min(row) as a0, max(row) as a1, min(col) as b0, max(col) as b1 from px group by 1),
    open_ as (select strip_id, lab, bool_or(row=a0 or row=a1 or c0=b0 or c1=b1) as o from comp join ext using (strip_id) group by 1,2),
    solid as (select p.strip_id, p.row, p.col, not coalesce(o.o, false) as mask from px p
@@ -319,7 +319,7 @@ HOLES = COMPONENTS.format(mask="not coalesce(abs(z - 100) < 4, false)", k=0) + "
 
 @query("k12_fill_holes", with_inputs("px", HOLES + " select * from solid"))
 def _k12(spark, sf):
-    return cc.fill_holes(px(spark, sf), K, F.abs(F.col("z") - 100) < 4).select("strip_id", "row", "col", "mask")
+    return cc.fill_holes(px(spark, sf), K, F.abs(F.col("z") - 100) < 2).select("strip_id", "row", "col", "mask")
 
 
 @query(
@@ -332,4 +332,4 @@ def _k12(spark, sf):
       left join solid e on e.strip_id=a.strip_id and e.row=a.row and e.col=a.col+1"""),
 )
 def _k13(spark, sf):
-    return cc.boundary_cells(px(spark, sf), K, F.abs(F.col("z") - 100) < 4).select("strip_id", "row", "col", "boundary")
+    return cc.boundary_cells(px(spark, sf), K, F.abs(F.col("z") - 100) < 2).select("strip_id", "row", "col", "boundary")
