@@ -27,8 +27,13 @@ def edges(poly: Column) -> Column:
 
 def contains(poly: Column, px: Column, py: Column) -> Column:
     """Even-odd test of a point against a ring."""
+    return edges_enclose(edges(poly), px, py)
+
+
+def edges_enclose(ring_edges: Column, px: Column, py: Column) -> Column:
+    """The same test on prepared edges, for rings that meet many points."""
     hits = F.filter(
-        edges(poly),
+        ring_edges,
         lambda e: ((e.ay > py) != (e.by > py))
         & (px < e.ax + (py - e.ay) * (e.bx - e.ax) / F.when(e.by != e.ay, e.by - e.ay)),
     )

@@ -99,12 +99,15 @@ def points_in_polygons(
 ) -> DataFrame:
     """Points inside each footprint; footprints with fewer than ``min_points`` drop out."""
     p = points.withColumn("_gx", F.floor(F.col("x") / cell)).withColumn("_gy", F.floor(F.col("y") / cell))
-    f = footprints.select("*", _cells(F.col("xmin"), F.col("xmax"), cell).alias("_gx"))
+    f = footprints.select("*", pg.edges(F.col("poly")).alias("_edges")) if not rectangle else footprints
+    f = f.select("*", _cells(F.col("xmin"), F.col("xmax"), cell).alias("_gx"))
     f = f.select("*", _cells(F.col("ymin"), F.col("ymax"), cell).alias("_gy"))
+    # spread by cell even when the points are small enough to be broadcast
+    f = f.repartition("_gx", "_gy")
     box = F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax"))
     hit = p.join(f, ["_gx", "_gy"]).filter(box)
     if not rectangle:
-        hit = hit.filter(pg.contains(F.col("poly"), F.col("x"), F.col("y")))
+        hit = hit.filter(pg.edges_enclose(F.col("_edges"), F.col("x"), F.col("y"))).drop("_edges")
     hit = hit.drop("_gx", "_gy")
     if min_points <= 1:
         return hit
