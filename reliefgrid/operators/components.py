@@ -1,14 +1,18 @@
 """Connected components of masks through a run graph.
 
 Cells are first reduced to horizontal runs; runs of neighbouring rows that
-touch form edges; the edge list is contracted round by round (every node hooks
-to its smallest neighbour) until no edge joins two different labels.
+touch form edges.  Edges inside one square block are resolved block by block
+(a block holds a bounded number of runs); what crosses blocks is contracted
+round by round, every node hooking to its smallest neighbour, until no edge
+joins two different labels.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,11 +20,22 @@ from ..session import cut
 from .kernels import raster_extent
 
 COLUMN_BUCKET = 64
-ROW_STRIDE = 1 << 32
+GRAPH_BLOCK = 512
 
 
-def _node(row: str, col: str) -> Column:
-    return F.col(row).cast("long") * F.lit(ROW_STRIDE) + F.col(col).cast("long")
+def _node(row: Column, col: Column) -> Column:
+    """A run's id from its first cell, scrambled by a bijection.
+
+    Ids in scan order would form long descending chains down a shape, and
+    hooking to the smallest neighbour would shorten them by a constant only.
+    Shift-and-xor steps are invertible, so ids stay unique.
+    """
+    x = F.shiftleft(row.cast("long"), 32).bitwiseOR(col.cast("long"))
+    for _ in range(2):
+        x = x.bitwiseXOR(F.shiftleft(x, 13))
+        x = x.bitwiseXOR(F.shiftrightunsigned(x, 7))
+        x = x.bitwiseXOR(F.shiftleft(x, 17))
+    return x
 
 
 def mark_runs(px: DataFrame, keys: Sequence[str], mask: Column) -> DataFrame:
@@ -39,15 +54,16 @@ def runs_of(marked: DataFrame, keys: Sequence[str]) -> DataFrame:
         marked.filter("_on")
         .groupBy(*keys, "row", F.col("_run").alias("c0"))
         .agg(F.max("col").alias("c1"))
-        .withColumn("node", _node("row", "c0"))
+        .withColumn("node", _node(F.col("row"), F.col("c0")))
     )
 
 
 def run_edges(runs: DataFrame, keys: Sequence[str], connectivity: int = 8) -> DataFrame:
-    """(keys, u, v) for touching runs of adjacent rows.
+    """(keys, u, v, gr, gc) for touching runs of adjacent rows.
 
     Runs are bucketed by column so that a row with many runs is not compared
-    with itself in full; a pair is emitted only in the bucket its overlap starts in.
+    with itself in full; a pair is emitted only in the bucket its overlap starts
+    in.  gr, gc name the graph block both runs start in, NULL if they differ.
     """
     k = {4: 0, 8: 1}[connectivity]
 
@@ -71,50 +87,80 @@ def run_edges(runs: DataFrame, keys: Sequence[str], connectivity: int = 8) -> Da
         F.col("b1"),
     )
     start = F.greatest("a0", "b0")
+    block = lambda c: F.floor(c / GRAPH_BLOCK)
+    same = (block(F.col("row")) == block(F.col("row") + 1)) & (block(F.col("a0")) == block(F.col("b0") + k))
     return (
         up.join(down, [*keys, "row", "_b"])
         .filter((F.col("a0") <= F.col("b1")) & (F.col("b0") <= F.col("a1")))
         .filter(F.floor(start / COLUMN_BUCKET) == F.col("_b"))
-        .select(*keys, "u", "v")
+        .select(*keys, "u", "v", F.when(same, block(F.col("row"))).alias("gr"), F.when(same, block(F.col("a0"))).alias("gc"))
     )
 
 
-def contract(nodes: DataFrame, edges: DataFrame, keys: Sequence[str], max_rounds: int = 64) -> DataFrame:
-    """``keys, node, label`` with label = smallest node of the component.
+def smallest_reachable(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, smallest node of each one's component) of a small edge list."""
+    nodes, ends = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = ends[: len(u)], ends[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        ra, rb = root[a], root[b]
+        if (ra == rb).all():
+            return nodes, nodes[root]
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while (root != root[root]).any():
+            root = root[root]
+
+
+def resolve_blocks(edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, n, to: component label inside each block for every node with a local edge."""
+    keys = list(keys)
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in edges.select(*keys).schema.fields)
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        nodes, label = smallest_reachable(pdf["u"].to_numpy(), pdf["v"].to_numpy())
+        out = pd.DataFrame({"n": nodes, "to": label})
+        for key in keys:
+            out[key] = pdf[key].iloc[0]
+        return out[[*keys, "n", "to"]]
+
+    local = edges.filter(F.col("gr").isNotNull())
+    return local.groupBy(*keys, "gr", "gc").applyInPandas(one, f"{types}, n long, to long" if types else "n long, to long")
+
+
+def _relabel(edges: DataFrame, step: DataFrame, keys: list[str]) -> DataFrame:
+    """Both ends through the map ``n -> to``; loops and repeats removed."""
+    d = edges.join(step.select(*keys, F.col("n").alias("u"), F.col("to").alias("u2")), [*keys, "u"], "left")
+    d = d.join(step.select(*keys, F.col("n").alias("v"), F.col("to").alias("v2")), [*keys, "v"], "left")
+    a, b = F.coalesce("u2", "u"), F.coalesce("v2", "v")
+    return d.select(*keys, F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).filter("u <> v").distinct()
 
-    Each round maps every endpoint to its smallest neighbour (twice), rewrites
-    and de-duplicates the edges, and drops the ones that became loops, so the
-    edge list shrinks while the node table is joined once at the end.
+
+def contract(nodes: DataFrame, edges: DataFrame, keys: Sequence[str], max_rounds: int = 200) -> DataFrame:
+    """``keys, node, label``: one label per component.
+
+    Blocks first.  Then each round maps every endpoint to its smallest
+    neighbour's smallest neighbour, rewrites and de-duplicates the edges and
+    drops loops, so the edge list shrinks geometrically.
     """
     keys = list(keys)
-    edges = cut(edges.filter("u <> v"))
-    labels = nodes.select(*keys, "node", F.col("node").alias("label"))
-    left = edges.count()
+    edges = cut(edges)
+    step = cut(resolve_blocks(edges, keys))
+    follow = lambda lab, st: lab.join(st.withColumnRenamed("n", "label"), [*keys, "label"], "left").select(
+        *keys, "node", F.coalesce("to", "label").alias("label")
+    )
+    labels = follow(nodes.select(*keys, "node", F.col("node").alias("label")), step)
+    edges = cut(_relabel(edges.filter(F.col("gr").isNull()).select(*keys, "u", "v"), step, keys))
     rounds = 0
-    while left:
+    while edges.limit(1).count():
         rounds += 1
         if rounds > max_rounds:
             raise RuntimeError("component contraction did not finish")
         both = edges.unionByName(edges.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
-        hook = both.groupBy(*keys, "u").agg(F.min("v").alias("m")).select(
-            *keys, F.col("u").alias("n"), F.least("u", "m").alias("p")
-        )
-        hook = cut(hook)
+        hook = both.groupBy(*keys, "u").agg(F.min("v").alias("m")).select(*keys, F.col("u").alias("n"), F.least("u", "m").alias("p"))
         grand = hook.select(*keys, F.col("n").alias("p"), F.col("p").alias("g"))
         step = cut(hook.join(grand, [*keys, "p"], "left").select(*keys, "n", F.coalesce("g", "p").alias("to")))
-        labels = (
-            labels.join(step.withColumnRenamed("n", "label"), [*keys, "label"], "left")
-            .select(*keys, "node", F.coalesce("to", "label").alias("label"))
-        )
-        edges = (
-            edges.join(step.select(*keys, F.col("n").alias("u"), F.col("to").alias("u2")), [*keys, "u"])
-            .join(step.select(*keys, F.col("n").alias("v"), F.col("to").alias("v2")), [*keys, "v"])
-            .select(*keys, F.least("u2", "v2").alias("u"), F.greatest("u2", "v2").alias("v"))
-            .filter("u <> v")
-            .distinct()
-        )
-        edges = cut(edges)
-        left = edges.count()
+        labels = follow(labels, step)
+        edges = cut(_relabel(edges, step, keys))
     return labels
 
 

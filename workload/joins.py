@@ -306,6 +306,7 @@ def _j8(spark, sf):
 
 
 def _one_round(dz, key, strict):
+    dz = dz.persist()  # read by the median, the deviation and the sums
     good = solve.inliers(dz, [key], strict=strict).filter("sx is not null and sy is not null")
     r = good.groupBy(key).agg(qc(solve.rmse(F.col("dz"))).alias("rmse"))
     fit = solve.least_squares(good, [key])

@@ -1 +1,290 @@
-"""Queries."""
+"""Iterative and composite operators; checked by row counts and by the tests' brute force."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from reliefgrid.operators import hulls, masks as mk, merge as mg, select as sel, solve
+from reliefgrid.plans import mosaic as pm, registration as pr, strips as ps
+
+from .inputs import Inputs, qc
+from .joins import gp, layers, smooth, strip_points
+from .registry import query
+
+K = ["strip_id"]
+
+
+def get(spark, sf, name):
+    return Inputs(spark, sf).get(name)
+
+
+def terrain(spark, sf):
+    """Smooth scenes of one strip per five blocks, each with its own planted offset."""
+    p = get(spark, sf, "px")
+    n = F.col("strip_no")
+    u, c = F.col("row") - 300 * F.floor(n / 5), F.col("col")
+    a, b = u + (n % 3 - 1) / 2.0, c + (n % 5 - 2) / 2.0
+    z = 200.0 + (a * a + 2 * b * b - a * b) / 256.0 + (n % 4) / 2.0 + F.col("raw") / 4096.0
+    return p.withColumn("group", F.concat(F.lit("g"), F.floor(n / 5).cast("string"))).withColumn("z", F.when(F.col("z").isNotNull() | (c % 7 != 0), z))
+
+
+def scenes(spark, sf):
+    t = terrain(spark, sf).withColumn("mt", F.lit(True)).withColumn("z", F.coalesce("z", F.lit(None).cast("double")))
+    return t.select(F.col("group").alias("strip_id"), F.col("strip_no").alias("seq"), "row", "col", "z", "mt", "ortho")
+
+
+# ---- kernels and masks ------------------------------------------------------------
+
+
+@query("k17_grow_to_fixpoint")
+def _k17(spark, sf):
+    p = get(spark, sf, "px")
+    d = mk.grow_to_fixpoint(p, K, F.col("z") > 103.2, F.abs(F.col("z") - 100) > 2.2, 11)
+    return d.select(*K, "row", "col", "grown")
+
+
+@query("k18_fill_voids")
+def _k18(spark, sf):
+    return mg.fill_voids(get(spark, sf, "px"), K, "z").withColumn("z", qc(F.col("z"), 64))
+
+
+@query("k2_density_mask")
+def _k2(spark, sf):
+    d = mk.density_mask(get(spark, sf, "px"), K, F.col("z") > 100, 5, 0.5, 20, 40)
+    return d.select(*K, "row", "col", "good")
+
+
+@query("m1_edge_mask")
+def _m1(spark, sf):
+    d = mk.edge_mask(get(spark, sf, "px"), K, F.col("mt"), 11, 0.8, 200, 5)
+    return d.select(*K, "row", "col", "edge_ok")
+
+
+@query("m2_data_mask")
+def _m2(spark, sf):
+    d = mk.edge_mask(get(spark, sf, "px"), K, F.col("mt"), 11, 0.8, 200, 5)
+    d = mk.data_mask(d, K, n=5, pmin=0.7, amin=100, amax=100)
+    return d.select(*K, "row", "col", "data_ok")
+
+
+@query("m3_mask_8m")
+def _m3(spark, sf):
+    p = get(spark, sf, "px").withColumn("z", (F.col("i") * F.col("i") + F.col("col") * F.col("col")) / 64.0 + F.col("raw") / 64.0)
+    return mk.mask_8m(p, K, 4.0).select(*K, "row", "col", "good")
+
+
+@query("m4_cloud_mask")
+def _m4(spark, sf):
+    p = get(spark, sf, "px").withColumn("z", F.when(F.col("z").isNotNull(), (F.col("z") - 100) * F.when(F.col("col") < 30, 0.05).otherwise(1.0)))
+    return mk.cloud_mask(p, K, 1.0).select(*K, "row", "col", "good")
+
+
+@query("m5_water_mask")
+def _m5(spark, sf):
+    flat = F.when((F.col("col") > 20) & (F.col("col") < 44), 7).otherwise(F.col("ortho"))
+    p = get(spark, sf, "px").withColumn("ortho", flat).withColumn("wv_correct", F.col("strip_no") % 2 == 0)
+    return mk.water_mask(p, K, factor=2, min_px=30).select(*K, "row", "col", "water")
+
+
+@query("m6_topography_mask")
+def _m6(spark, sf):
+    p = get(spark, sf, "px").withColumn("zr", 100.0 + F.floor((F.col("z") - 100.0) / 8) / 64.0)
+    return mk.topography_mask(p, K, min_px=50).select(*K, "row", "col", "good")
+
+
+# ---- footprints and order -----------------------------------------------------------
+
+
+@query("a14_outline")
+def _a14(spark, sf):
+    return hulls.outline(get(spark, sf, "px"), K, 8.0)
+
+
+def _rings(spark, sf):
+    """One ring per strip: a noisy circle-like outline with a vertex per scene row."""
+    f = get(spark, sf, "footprint")
+    x0, y0, w = F.col("xmin"), F.col("ymin"), F.col("xmax") - F.col("xmin")
+    bump = lambda k: ((F.col("strip_no") * 31 + k * 17) % 64) * 4.0
+    pts = [(x0 + w * k / 8, y0 + bump(k)) for k in range(8)]
+    pts += [(F.col("xmax") - bump(k), y0 + 2500.0 * k) for k in range(8)]
+    pts += [(F.col("xmax") - w * k / 8, F.col("ymax") - bump(k)) for k in range(8)]
+    pts += [(x0 + bump(k), F.col("ymax") - 2500.0 * k) for k in range(8)]
+    from reliefgrid.functions import polygon as pg
+
+    return f.select("strip_id", pg.ring(*pts).alias("poly"))
+
+
+@query("g1_simplify_footprints")
+def _g1(spark, sf):
+    from reliefgrid.functions import polygon as pg
+
+    before = _rings(spark, sf)
+    after = hulls.simplify_footprints(before, tol_sq=2500.0)
+    d = after.select("strip_id", F.size("poly").alias("vertices"), pg.area(F.col("poly")).alias("area"), pg.perimeter(F.col("poly")).alias("perimeter"))
+    return before.select("strip_id", F.size("poly").alias("vertices_in"), pg.area(F.col("poly")).alias("area_in")).join(d, "strip_id")
+
+
+@query("g1_simplify_share")
+def _g1s(spark, sf):
+    return hulls.simplify_footprints(_rings(spark, sf), keep_share=0.4).select("strip_id", F.size("poly").alias("vertices"))
+
+
+def _scene_boxes(spark, sf):
+    """Scenes of a strip: one box per line item, drifting along the strip."""
+    s = get(spark, sf, "strip_scene")
+    x = F.col("seq") * 10.0 + F.col("rmse") * 4
+    y = F.col("seq") * 4.0 + F.col("dy") * 8
+    return s.select("strip_id", F.col("seq").cast("int").alias("seq"), x.alias("xmin"), (x + 12).alias("xmax"), y.alias("ymin"), (y + 10).alias("ymax"))
+
+
+@query("o1_scene_order")
+def _o1(spark, sf):
+    return sel.order_scenes(_scene_boxes(spark, sf), segments=False)
+
+
+@query("o6_segment_numbers")
+def _o6(spark, sf):
+    return sel.order_scenes(_scene_boxes(spark, sf), segments=True)
+
+
+# ---- registration -----------------------------------------------------------------
+
+
+@query("r1_coregister")
+def _r1(spark, sf):
+    return solve.coregister(get(spark, sf, "pair_ref"), get(spark, sf, "pair_flt"), ["pair_id"], 1.0)
+
+
+@query("r2_coregister_to_mosaic")
+def _r2(spark, sf):
+    t = terrain(spark, sf).withColumn("mt", F.lit(True)).withColumnRenamed("group", "tile_id")
+    base = t.filter("strip_no % 5 = 0").select("tile_id", "row", "col", "z", "mt")
+    return pr.coregister_to_mosaic(t.filter("strip_no % 5 <> 0").select("tile_id", "strip_id", "row", "col", "z", "mt"), base, 1.0)
+
+
+def _points_on(spark, sf):
+    """Control points: smooth surface sampled a quarter cell away, one metre low."""
+    i_row, i_col = -F.col("y") / 8.0 - 0.25, F.col("x") / 8.0 + 0.25
+    p = strip_points(spark, sf)
+    no = F.substring("strip_id", 2, 9).cast("int")
+    i = i_row - 60 * no
+    return p.withColumn("z", 100.0 + (i_col * i_col + 2 * i * i + i * i_col) / 16.0 - 1.0)
+
+
+@query("r3_register_to_points")
+def _r3(spark, sf):
+    flat = smooth(spark, sf).withColumn("z", F.col("z") - F.col("raw") / 64.0)
+    return solve.register_to_points(flat, _points_on(spark, sf), K, 8.0)[0]
+
+
+@query("r4_register_strips")
+def _r4(spark, sf):
+    from reliefgrid.functions import polygon as pg
+
+    p = smooth(spark, sf).withColumn("z", F.col("z") - F.col("raw") / 64.0)
+    f = p.groupBy("strip_id").agg((F.min("col") * 8.0).alias("xmin"), (F.max("col") * 8.0).alias("xmax"), (-F.max("row") * 8.0).alias("ymin"),
+                                  (-F.min("row") * 8.0).alias("ymax"), F.to_date(F.concat(F.lit("2001-0"), (F.first("strip_no") % 9 + 1).cast("string"), F.lit("-15"))).alias("strip_date"))
+    f = f.withColumn("poly", pg.box_ring(F.col("xmin"), F.col("xmax"), F.col("ymin"), F.col("ymax")))
+    g = get(spark, sf, "gcp").groupBy("x", "y").agg(F.min("t").alias("t"), F.min("z").alias("z"))
+    g = g.select((F.col("x") * 1e6 - F.col("y")).cast("long").alias("gcp_id"), (F.col("x") + 2).alias("x"), (F.col("y") - 6).alias("y"), "z", "t")
+    return pr.register_strips(p, f, g, 8.0, 512.0)
+
+
+def _tiles_px(spark, sf):
+    """Tiles of the smooth surface in cluster 2, every second tile column one metre high."""
+    t = get(spark, sf, "tile_px")
+    c, r = F.col("col"), F.col("row")
+    z = 100.0 + (c * c + 2 * (r % 1000) * (r % 1000) / 64.0 + r * c / 16.0) / 16.0 + F.col("tile_col") * 1.0 + F.col("tile_row") / 2.0
+    return t.withColumn("z", z).withColumn("mt", F.lit(True)).withColumn("cluster", F.lit(2))
+
+
+def _tile_table(t):
+    return t.select("tile_id", "tile_row", "tile_col").distinct()
+
+
+@query("r5_register_tiles")
+def _r5(spark, sf):
+    t = _tiles_px(spark, sf).select("tile_id", "cluster", "row", "col", "z", "ortho", "mt", "dy")
+    g = gp(spark, sf)
+    c, r = F.col("x") / 8.0, -F.col("y") / 8.0
+    g = g.withColumn("z", 100.0 + (c * c + 2 * r * r / 64.0 + r * c / 16.0) / 16.0)
+    return pr.register_tiles(t, g, 8.0, 200)[0]
+
+
+@query("r6_align_tiles")
+def _r6(spark, sf):
+    t = _tiles_px(spark, sf)
+    reg = t.filter("tile_col = 0").select("tile_id", "row", "col", "z", "ortho", "mt", "dy")
+    tiles = _tile_table(t)
+    pairs = t.filter("tile_col = 1").select("tile_id", "tile_row").distinct().select("tile_id", F.concat(F.substring("tile_id", 1, 4), F.lit("0")).alias("other_id"))
+    return pr.align_wave(t.filter("tile_col = 1"), reg, pairs.join(tiles.select("tile_id"), "tile_id"), 8.0)
+
+
+@query("r7_spread_alignment")
+def _r7(spark, sf):
+    t = _tiles_px(spark, sf)
+    first = (F.col("tile_row") == 0) & (F.col("tile_col") == 0)
+    cols = ["tile_id", "cluster", "row", "col", "z", "ortho", "mt", "dy"]
+    return pr.spread_alignment(t.filter(~first).select(*cols), t.filter(first).select(*cols), _tile_table(t), 8.0)[1]
+
+
+# ---- merges ------------------------------------------------------------------------
+
+
+@query("b2_feather")
+def _b2(spark, sf):
+    w = mg.feather_weights(layers(spark, sf), ["k"], 11, min_island=200)
+    return mg.blend(w, ["k"])
+
+
+@query("b3_warp")
+def _b3(spark, sf):
+    return mg.warp(layers(spark, sf), ["k"], 21)
+
+
+@query("b4_build_strips")
+def _b4(spark, sf):
+    return ps.build_strips(scenes(spark, sf), 1.0)[0]
+
+
+@query("b6_level_boundaries")
+def _b6(spark, sf):
+    t = get(spark, sf, "tile_px")
+    return mg.level_boundaries(t.select("tile_id", "row", "col", "z"), _tile_table(t)).select("tile_id", "row", "col", "z", "adjusted")
+
+
+def _tile_build(spark, sf):
+    t = terrain(spark, sf).withColumn("dy", F.col("strip_no") + 1).withColumnRenamed("group", "tile_id")
+    px = t.select("tile_id", "strip_id", "row", "col", "z", F.lit(True).alias("mt"), "ortho", "dy")
+    s = t.select("tile_id", "strip_id", F.col("strip_no").alias("idx"), (F.col("strip_no") % 2 + 1).alias("qc")).distinct()
+    return px, s
+
+
+@query("b7_build_tiles")
+def _b7(spark, sf):
+    px, s = _tile_build(spark, sf)
+    return pm.build_tiles(px, s, 1.0, "feather", anchors=False)[1]
+
+
+@query("b7_build_tiles_untested")
+def _b7u(spark, sf):
+    px, s = _tile_build(spark, sf)
+    return pm.build_tiles(px, s, 1.0, "underprint", coreg_test=False, anchors=False)[1]
+
+
+@query("b7_build_tiles_anchored")
+def _b7a(spark, sf):
+    px, s = _tile_build(spark, sf)
+    no = F.col("idx") % 5
+    s = s.withColumns({"p75": F.when(no == 1, 0.5).when(no == 3, 6.0), "dz": F.lit(0.5), "dx": F.lit(0.0), "dy": F.lit(0.0)})
+    return pm.build_tiles(px, s, 1.0, "warp")[0]
+
+
+@query("b10_build_mosaic")
+def _b10(spark, sf):
+    px, s = _tile_build(spark, sf)
+    tiles = s.select("tile_id").distinct().withColumn("tile_row", F.substring("tile_id", 2, 9).cast("int")).withColumn("tile_col", F.lit(0))
+    g = gp(spark, sf).withColumn("x", F.col("x") / 8).withColumn("y", F.col("y") / 8)
+    u = -F.col("y") - 300 * F.floor(-F.col("y") / 300)
+    g = g.withColumn("z", 200.0 + (u * u + 2 * F.col("x") * F.col("x") - u * F.col("x")) / 256.0)
+    return pm.build_mosaic(px, s, tiles, 1.0, g, "underprint", buffer_px=4)[0]
