@@ -6,6 +6,7 @@ Python sees only those points, first per chunk of rows, then the chunk hulls.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -94,17 +95,20 @@ def inside_hull(px: DataFrame, keys: Sequence[str], mask: Column, out: str = "in
 # ---- vertex removal -----------------------------------------------------------
 
 
-def _offset_sq(prev: np.ndarray, v: np.ndarray, nxt: np.ndarray) -> float:
-    """Squared distance of ``v`` to the segment that would replace it."""
-    edge = nxt - prev
-    length = float(edge @ edge)
-    t = float((v - prev) @ edge) / length if length else 0.0
-    foot = prev + min(1.0, max(0.0, t)) * edge
-    return float((foot - v) @ (foot - v))
+def _offset_sq(prev, v, nxt, clamp: bool = True) -> float:
+    """Squared distance of ``v`` to the segment (or line) that would replace it."""
+    ex, ey = nxt[0] - prev[0], nxt[1] - prev[1]
+    length = ex * ex + ey * ey
+    if length == 0:
+        return math.nan if not clamp else (v[0] - prev[0]) ** 2 + (v[1] - prev[1]) ** 2
+    t = ((v[0] - prev[0]) * ex + (v[1] - prev[1]) * ey) / length
+    if clamp:
+        t = min(1.0, max(0.0, t))
+    return (prev[0] + t * ex - v[0]) ** 2 + (prev[1] + t * ey - v[1]) ** 2
 
 
-def simplify_ring(ring: np.ndarray, tol_sq: float | None = None, keep_share: float | None = None) -> np.ndarray:
-    """Closed ring with vertices of least accumulated offset removed.
+def simplify_ring(ring: list, tol_sq: float | None = None, keep_share: float | None = None) -> list:
+    """Closed ring of (x, y) with vertices of least accumulated offset removed.
 
     ``tol_sq`` bounds the squared accumulated offset.  With ``keep_share`` the
     bound instead grows by sqrt(1.5) whenever nothing qualifies, until that
@@ -115,48 +119,40 @@ def simplify_ring(ring: np.ndarray, tol_sq: float | None = None, keep_share: flo
         return ring
     pts = ring[:-1]
     n = len(pts)
-    if tol_sq is None:
-        steps = np.hypot(*np.diff(ring, axis=0).T)
-        tol_sq = float(steps.min()) / 2
-        if tol_sq == 0 and keep_share is not None:
-            tol_sq = np.finfo(float).eps
     floor = 3
     if keep_share is not None:
-        target = int(np.floor(n * keep_share + 0.5))
+        target = math.floor(n * keep_share + 0.5)
         if target == n:
             return ring
         floor = max(3, target)
-    ahead, behind = np.roll(np.arange(n), -1), np.roll(np.arange(n), 1)
-    alive = np.ones(n, bool)
-    carried = np.zeros(n)
-    # first scores measure to the infinite line unless every foot lies off its segment
-    span = pts[ahead] - pts[behind]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t = ((pts - pts[behind]) * span).sum(1) / (span**2).sum(1)
-    if (t < 0).all():
-        t = np.zeros(n)
-    if (t > 1).all():
-        t = np.ones(n)
-    score = ((pts[behind] + t[:, None] * span - pts) ** 2).sum(1)
+    if tol_sq is None:
+        tol_sq = keep_share if keep_share is not None else min(math.dist(p, r) for p, r in zip(ring, ring[1:])) / 2
+    ahead = [*range(1, n), 0]
+    behind = [n - 1, *range(n - 1)]
+    carried = [0.0] * n
+    # first scores measure to the whole line, later ones to the segment
+    score = {i: _offset_sq(pts[behind[i]], pts[i], pts[ahead[i]], clamp=False) for i in range(n)}
     left = n
     while left > floor:
-        masked = np.where(alive & ~np.isnan(score), score, np.inf)
-        i = int(masked.argmin())
-        if not masked[i] < tol_sq:
-            if keep_share is None or not np.isfinite(masked[i]):
+        i = min(score, key=lambda j: (math.isnan(score[j]), score[j]))
+        best = score[i]
+        if math.isnan(best):
+            break
+        if not best < tol_sq:
+            if keep_share is None:
                 break
-            while not masked[i] < tol_sq:
-                tol_sq *= np.sqrt(1.5)
-        debt = carried[i] + np.sqrt(score[i])
+            while not best < tol_sq:
+                tol_sq *= math.sqrt(1.5)
+        debt = carried[i] + math.sqrt(best)
         a, b = behind[i], ahead[i]
-        alive[i] = False
+        del score[i]
         ahead[a], behind[b] = b, a
         left -= 1
         for j in (a, b):
             carried[j] = debt
-            score[j] = (np.sqrt(_offset_sq(pts[behind[j]], pts[j], pts[ahead[j]])) + debt) ** 2
-    kept = pts[alive]
-    return np.vstack([kept, kept[:1]])
+            score[j] = (math.sqrt(_offset_sq(pts[behind[j]], pts[j], pts[ahead[j]])) + debt) ** 2
+    kept = [pts[i] for i in range(n) if i in score]
+    return [*kept, kept[0]]
 
 
 def simplify_footprints(
@@ -173,8 +169,8 @@ def simplify_footprints(
         for pdf in it:
             rings = []
             for ring in pdf[poly]:
-                r = simplify_ring(np.array([[v["x"], v["y"]] for v in ring], float), tol_sq, keep_share)
-                rings.append([{"x": float(x), "y": float(y)} for x, y in r])
+                r = simplify_ring([(v["x"], v["y"]) for v in ring], tol_sq, keep_share)
+                rings.append([{"x": x, "y": y} for x, y in r])
             pdf[poly] = rings
             yield pdf
 
