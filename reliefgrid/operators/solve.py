@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import group_median
-from ..session import cut, keep
+from ..session import cut
 from .blocks import blocked, core, with_halo
 from .kernels import _gradient, gradient
 from .points import sample
@@ -115,7 +115,8 @@ def coregister(ref: DataFrame, flt: DataFrame, keys: Sequence[str], res: float,
     ``ref`` and ``flt`` hold keys, row, col, z, m (match mask) on one global lattice.
     """
     keys = list(keys)
-    ref, flt = keep(ref), keep(flt)
+    # read again every round: from files, with their plans cut off
+    ref, flt = cut(ref), cut(flt)
     pairs = flt.select(*keys).distinct()
     zero = F.lit(0.0)
     nul = F.lit(None).cast("double")
@@ -131,8 +132,8 @@ def coregister(ref: DataFrame, flt: DataFrame, keys: Sequence[str], res: float,
         it += 1
         if it > max_rounds:
             raise RuntimeError("alignment did not settle")
-        dz = keep(trial_differences(ref, flt, state, keys, res))
-        good = keep(inliers(dz.select(*keys, "row", "col", "dz", "sx", "sy"), keys).filter("sx is not null and sy is not null"))
+        dz = cut(trial_differences(ref, flt, state, keys, res))
+        good = cut(inliers(dz, keys).filter("sx is not null and sy is not null"))
         fit = good.groupBy(*keys).agg(rmse(F.col("dz")).alias("d1"), *normal_sums(F.col("sx"), F.col("sy"), F.col("dz")))
         if it == 1:
             med = group_median(good, keys, F.col("dz"), "m1")
@@ -176,10 +177,6 @@ def coregister(ref: DataFrame, flt: DataFrame, keys: Sequence[str], res: float,
             F.col("d1").alias("d0"), "med1", "rms1",
         )
         active = state.count()
-        good.unpersist()
-        dz.unpersist()
-    ref.unpersist()
-    flt.unpersist()
     if not finished:
         return state.selectExpr(*keys, "pz dz", "px dx", "py dy", "d0 rmse", "'' status", "0 rounds")
     out = finished[0]
@@ -216,8 +213,8 @@ def register_to_points(
     accepted round, all points (NULL where the raster has no value).
     """
     keys = list(keys)
-    slopes = keep(point_slopes(px, keys, res))
-    points = keep(points.select(*keys, "gcp_id", "x", "y", "z"))
+    slopes = cut(point_slopes(px, keys, res))
+    points = cut(points.select(*keys, "gcp_id", "x", "y", "z"))
     zero, nul = F.lit(0.0), F.lit(None).cast("double")
     state = cut(points.select(*keys).distinct().select(*keys, *[zero.alias(n) for n in ("az", "ax", "ay", "tz", "tx", "ty")], nul.alias("d0")))
     finished, residuals = [], []
@@ -263,8 +260,6 @@ def register_to_points(
             F.col("d1").alias("d0"),
         )
         active = state.count()
-    slopes.unpersist()
-    points.unpersist()
     out = None
     for f in finished:
         out = f if out is None else out.unionByName(f)
