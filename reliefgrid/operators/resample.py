@@ -87,10 +87,9 @@ def moved_cells(px: DataFrame, keys: Sequence[str], shifts: DataFrame, res: floa
 
     Rasters without a shift row keep their place.
     """
-    s = source_position(shifts, res)
-    d = px.join(s, list(keys), "left").na.fill({"_ic": 0, "_fc": 0.0, "_ir": 0, "_fr": 0.0})
-    for c in ("dz", "dx", "dy"):
-        d = d.withColumn(c, F.coalesce(F.col(c), F.lit(0.0)))
+    # renamed: a raster may carry a day-number band called dy
+    s = source_position(shifts, res).select(*keys, F.col("dz").alias("_dz"), "_ic", "_fc", "_ir", "_fr")
+    d = px.join(s, list(keys), "left").na.fill({"_dz": 0.0, "_ic": 0, "_fc": 0.0, "_ir": 0, "_fr": 0.0})
     return d.withColumn("row", (F.col("row") - F.col("_ir")).cast("int")).withColumn(
         "col", (F.col("col") - F.col("_ic")).cast("int")
     )
@@ -114,7 +113,7 @@ def shift_resample(
     d = moved_cells(px, keys, shifts, res)
     for b in vertical:
         if b in bands:
-            d = d.withColumn(b, F.col(b) - F.col("dz"))
+            d = d.withColumn(b, F.col(b) - F.col("_dz"))
     d = with_halo(d, keys, halo)
     kk = blocked(keys)
     for kind in ("linear", "cubic", "nearest"):
