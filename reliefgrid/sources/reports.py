@@ -15,7 +15,7 @@ from ..operators.select import PERCENTILES
 
 
 def read_reports(spark: SparkSession, path: str, suffix: str) -> DataFrame:
-    d = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", True).text(path)
+    d = spark.read.text(path, wholetext=True, pathGlobFilter=f"*{suffix}", recursiveFileLookup=True)
     return d.select(F.input_file_name().alias("path"), "value")
 
 
