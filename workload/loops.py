@@ -12,6 +12,7 @@ from .joins import gp, layers, smooth, strip_points
 from .registry import query
 
 K = ["strip_id"]
+RES = 2.0  # feather buffers are ten cells per map unit: wide enough here for the island limits
 
 
 def get(spark, sf, name):
@@ -244,7 +245,7 @@ def _b3(spark, sf):
 
 @query("b4_build_strips")
 def _b4(spark, sf):
-    return ps.build_strips(scenes(spark, sf), 1.0)[0]
+    return ps.build_strips(scenes(spark, sf), RES)[0]
 
 
 @query("b6_level_boundaries")
@@ -263,13 +264,13 @@ def _tile_build(spark, sf):
 @query("b7_build_tiles")
 def _b7(spark, sf):
     px, s = _tile_build(spark, sf)
-    return pm.build_tiles(px, s, 1.0, "feather", anchors=False)[1]
+    return pm.build_tiles(px, s, RES, "feather", anchors=False)[1]
 
 
 @query("b7_build_tiles_untested")
 def _b7u(spark, sf):
     px, s = _tile_build(spark, sf)
-    return pm.build_tiles(px, s, 1.0, "underprint", coreg_test=False, anchors=False)[1]
+    return pm.build_tiles(px, s, RES, "underprint", coreg_test=False, anchors=False)[1]
 
 
 @query("b7_build_tiles_anchored")
@@ -277,14 +278,14 @@ def _b7a(spark, sf):
     px, s = _tile_build(spark, sf)
     no = F.col("idx") % 5
     s = s.withColumns({"p75": F.when(no == 1, 0.5).when(no == 3, 6.0), "dz": F.lit(0.5), "dx": F.lit(0.0), "dy": F.lit(0.0)})
-    return pm.build_tiles(px, s, 1.0, "warp")[0]
+    return pm.build_tiles(px, s, RES, "warp")[0]
 
 
 @query("b10_build_mosaic")
 def _b10(spark, sf):
     px, s = _tile_build(spark, sf)
     tiles = s.select("tile_id").distinct().withColumn("tile_row", F.substring("tile_id", 2, 9).cast("int")).withColumn("tile_col", F.lit(0))
-    g = gp(spark, sf).withColumn("x", F.col("x") / 8).withColumn("y", F.col("y") / 8)
-    u = -F.col("y") - 300 * F.floor(-F.col("y") / 300)
-    g = g.withColumn("z", 200.0 + (u * u + 2 * F.col("x") * F.col("x") - u * F.col("x")) / 256.0)
-    return pm.build_mosaic(px, s, tiles, 1.0, g, "underprint", buffer_px=4)[0]
+    c, r = F.col("x") / 8, -F.col("y") / 8
+    u = r - 300 * F.floor(r / 300)
+    g = gp(spark, sf).select("gcp_id", (c * RES).alias("x"), (-r * RES).alias("y"), (200.0 + (u * u + 2 * c * c - u * c) / 256.0).alias("z"))
+    return pm.build_mosaic(px, s, tiles, RES, g, "underprint", buffer_px=4)[0]
