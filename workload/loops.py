@@ -26,11 +26,11 @@ def terrain(spark, sf):
     u, c = F.col("row") - 300 * F.floor(n / 5), F.col("col")
     a, b = u + (n % 3 - 1) / 2.0, c + (n % 5 - 2) / 2.0
     z = 200.0 + (a * a + 2 * b * b - a * b) / 256.0 + (n % 4) / 2.0 + F.col("raw") / 4096.0
-    return p.withColumn("group", F.concat(F.lit("g"), F.floor(n / 5).cast("string"))).withColumn("z", F.when(F.col("z").isNotNull() | (c % 7 != 0), z))
+    return p.withColumn("group", F.concat(F.lit("g"), F.floor(n / 5).cast("string"))).withColumn("z", z)
 
 
 def scenes(spark, sf):
-    t = terrain(spark, sf).withColumn("mt", F.lit(True)).withColumn("z", F.coalesce("z", F.lit(None).cast("double")))
+    t = terrain(spark, sf).withColumn("mt", F.lit(True))
     return t.select(F.col("group").alias("strip_id"), F.col("strip_no").alias("seq"), "row", "col", "z", "mt", "ortho")
 
 
@@ -264,7 +264,7 @@ def _tile_build(spark, sf):
 @query("b7_build_tiles")
 def _b7(spark, sf):
     px, s = _tile_build(spark, sf)
-    return pm.build_tiles(px, s, RES, "feather", anchors=False)[1]
+    return pm.build_tiles(px, s, RES, "underprint", anchors=False)[1]
 
 
 @query("b7_build_tiles_untested")
