@@ -62,7 +62,9 @@ def rasterise(pairs: DataFrame, keep: Sequence[str], res: float, buffer_px: int,
     r0 = F.greatest(F.lit(0), F.floor((top - F.array_max(ys)) / res).cast("int"))
     r1 = F.least(n_row, F.ceil((top - F.array_min(ys)) / res).cast("int"))
     d = pairs.select(*keep, F.col(poly).alias("_p"), left.alias("_left"), top.alias("_top"), n_col.alias("_nc"), r0.alias("_r0"), r1.alias("_r1"))
-    d = d.filter("_r0 <= _r1").select("*", F.explode(F.sequence("_r0", "_r1")).alias("row"))
+    # few pairs expand to many cells: spread them first, whatever join made them
+    d = d.filter("_r0 <= _r1").repartition(*keep)
+    d = d.select("*", F.explode(F.sequence("_r0", "_r1")).alias("row"))
     d = d.withColumn("_x", pg.crossings(F.col("_p"), F.col("_top") - F.col("row") * res)).filter(F.size("_x") > 1)
     spans = F.transform(
         F.sequence(F.lit(0), F.size("_x") - 2, F.lit(2)),
