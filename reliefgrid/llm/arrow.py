@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Text bytes that one step of a task holds at once; a longer single text is a step of its own.
 STEP_BYTES = 8 << 20
 
 
-def texts(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
+def texts(batch: pa.RecordBatch, column: str | int) -> list[bytes | None]:
     """The UTF-8 bytes of a string column."""
     values = batch.column(column)
     return values.cast(pa.large_binary() if pa.types.is_large_string(values.type) else pa.binary()).to_pylist()
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+def steps(batches: Iterator[pa.RecordBatch], column: str | int, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the texts of one piece stay near ``most`` bytes."""
     for batch in batches:
         begin = size = 0
@@ -30,8 +33,23 @@ def steps(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_BYTES
             yield batch.slice(begin)
 
 
-def field(name: str, kind: str, taken: list[str]) -> str:
-    """A schema entry, or an error where the caller's columns already hold the name."""
-    if name.lower() in {c.lower() for c in taken}:
-        raise ValueError(f"the input already has a column {name!r}")
-    return f"{name} {kind}"
+def fresh(taken: list[str], name: str) -> str:
+    """``name``, with underscores before it where the caller's columns hold it already."""
+    held = {c.lower() for c in taken}
+    while name.lower() in held:
+        name = f"_{name}"
+    return name
+
+
+def append(rows: DataFrame, text: str, values: Callable[[list[bytes | None]], Sequence], name: str, kind: T.DataType) -> DataFrame:
+    """All columns of ``rows`` and one more, made from the texts of each step of a batch."""
+    schema = T.StructType([*rows.schema.fields, T.StructField(name, kind)])
+    at = rows.columns.index(text)
+    arrow_kind = to_arrow_type(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, at):
+            made = pa.array(values(texts(batch, at)), arrow_kind)
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, name])
+
+    return rows.mapInArrow(run, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliefgrid.llm import packing, sharding, simhash
+from reliefgrid.llm import ordinal, outliers, packing, pulearn, sharding, simhash
 from reliefgrid.rounds import Rounds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cut = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(cut, Rounds(spark, "packing"))
+
+
+@query
+def op6_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rounds = Rounds(spark, "outliers")
+    rows = rounds.put(outliers.statistics(table(spark, sf_dir, "documents")), "statistics")
+    return outliers.judged(rows, rounds).drop("lang", "source")
+
+
+@query
+def op7_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = pulearn.score(docs, pulearn.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", pulearn.held_out().alias("held_out"), "score", (F.col("score") >= pulearn.SCORE_FROM).cast("int").alias("predicted"))
+
+
+@query
+def op3_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    graded = ordinal.severity(docs, ordinal.fit(docs, table(spark, sf_dir, "labels")))
+    return graded.select("doc_id", pulearn.held_out().alias("held_out"), "score", "severity", "grade", (F.col("score") >= ordinal.TOXIC_FROM).cast("int").alias("predicted"))
