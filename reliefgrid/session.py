@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -50,3 +52,28 @@ def cut(df: DataFrame) -> DataFrame:
 def keep(df: DataFrame) -> DataFrame:
     """Hold a table that one round reads several times (recomputed if lost)."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the workers, once per application.
+
+    Functions that run in Python workers refer to their modules by name, and a
+    worker need not see the folder that the driver started from.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="reliefgrid-")), "reliefgrid_modules.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for package in ("reliefgrid", "workload"):
+            for folder, _, names in os.walk(os.path.join(root, package)):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, root))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
