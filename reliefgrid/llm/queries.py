@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliefgrid.llm import ordinal, outliers, packing, pulearn, sharding, simhash
+from reliefgrid.llm import ordinal, outliers, packing, pulearn, recompression, sharding, simhash
 from reliefgrid.rounds import Rounds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,30 @@ def op3_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     graded = ordinal.severity(docs, ordinal.fit(docs, table(spark, sf_dir, "labels")))
     return graded.select("doc_id", pulearn.held_out().alias("held_out"), "score", "severity", "grade", (F.col("score") >= ordinal.TOXIC_FROM).cast("int").alias("predicted"))
+
+
+@query
+def op1_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = recompression.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op1_recompression"] = r"""
+with texts as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), windows as (
+  select doc_id, p, array_to_string(words[p:p + 12], ' ') as w
+  from (select doc_id, words, unnest(range(1, len(words) - 11)) as p from texts)
+), repeats as (
+  select doc_id, p from (select doc_id, p, min(doc_id) over (partition by w) as least from windows) where doc_id > least
+), gone as (
+  select distinct doc_id, p + j as i from repeats, range(13) r(j)
+), kept as (
+  select t.doc_id, string_agg(t.word, ' ' order by t.i) as kept, count(*) as n_kept
+  from (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as i from texts) t
+  anti join gone g on t.doc_id = g.doc_id and t.i = g.i
+  group by t.doc_id
+)
+select t.doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n_kept, 0))::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from texts t left join kept k using (doc_id)
+"""
