@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliefgrid.llm import ordinal, outliers, packing, pulearn, recompression, sharding, simhash
+from reliefgrid.llm import bpe, ordinal, outliers, packing, pulearn, recompression, sharding, simhash
 from reliefgrid.rounds import Rounds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,11 @@ with texts as (
 select t.doc_id, len(words)::bigint as n_words, (len(words) - coalesce(n_kept, 0))::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
 from texts t left join kept k using (doc_id)
 """
+
+
+@query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.drop("ids")
