@@ -43,6 +43,10 @@ class Rounds:
         self._paths[label] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def again(self, label: str) -> DataFrame:
+        """A table read anew, for joins of a table with itself."""
+        return self.spark.read.parquet(self._paths[label])
+
     def drop(self, *labels: str) -> None:
         for label in labels:
             delete(self.spark, self._paths.pop(label))
