@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliefgrid.llm import bpe, ordinal, outliers, packing, pulearn, recompression, sharding, simhash
+from reliefgrid.llm import bpe, multiindex, ordinal, outliers, packing, pulearn, recompression, sharding, simhash
 from reliefgrid.rounds import Rounds
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,27 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     coded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return coded.drop("ids")
+
+
+@query
+def op4_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.near_duplicates(table(spark, sf_dir, "embeddings"), Rounds(spark, "vectors"))
+
+
+ORACLES["op4_multi_index"] = """
+with recursive vectors as (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links as materialized (
+  select a.vec_id as a, b.vec_id as b from vectors a join vectors b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(vec_id, r) as (
+  select vec_id, vec_id from embeddings
+  union
+  select reach.vec_id, links.b from reach join links on reach.r = links.a
+)
+select vec_id, coalesce(n, 0)::bigint as n_links, least as component_id, vec_id = least as kept
+from (select vec_id, min(r) as least from reach group by vec_id)
+left join (select a as vec_id, count(*) as n from links group by a) using (vec_id)
+"""
