@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliefgrid.llm import bpe, multiindex, ordinal, outliers, packing, pulearn, recompression, sharding, simhash
-from reliefgrid.rounds import Rounds
+from reliefgrid.llm import bpe, multiindex, ordinal, outliers, packing, pulearn, recompression, sharding, simhash, warc
+from reliefgrid.rounds import Rounds, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +128,22 @@ select vec_id, coalesce(n, 0)::bigint as n_links, least as component_id, vec_id
 from (select vec_id, min(r) as least from reach group by vec_id)
 left join (select a as vec_id, count(*) as n from links group by a) using (vec_id)
 """
+
+
+@query
+def op2_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).drop("url")
+
+
+ORACLES["op2_warc_dictionary"] = """
+with p as (
+  select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), f as (
+  select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) else page_id end as first from p
+)
+select page_id, payload_bytes, payload_digest, case when first < page_id then 'revisit' else 'response' end as record_type,
+  case when first < page_id then first end as refers_to
+from f
+"""
