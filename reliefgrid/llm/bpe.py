@@ -1,12 +1,13 @@
 """Byte-level BPE: merges folded by higher-order functions over distinct words.
 
-A task gathers the documents of a chunk as lists of indices into the chunk's
-distinct words, split by the tokenizer's pattern. Spark's higher-order functions
-then encode each distinct word once: a fold starts with the ids of its bytes and
-merges, until nothing merges, the neighbours whose union has the lowest rank (the
-leftmost of equals). The ranks are a literal of the plan: a table of all unions that
-the rank file knows. Ids decode by concatenating the vocabulary's byte strings.
-Nothing is shuffled.
+Documents are dealt into chunks. Each chunk sends its distinct words, split by the
+tokenizer's pattern, to parts by their hash, and a part's higher-order functions
+encode each distinct word once: a fold starts with the ids of its bytes and merges,
+until nothing merges, the neighbours whose union has the lowest rank (the leftmost of
+equals). The ranks are a literal of the plan: a table of all unions that the rank
+file knows. The ids go back to the chunks that sent the word, and documents are put
+together there. A word travels once per chunk, however often it occurs. Ids decode
+by concatenating the vocabulary's byte strings.
 """
 
 from __future__ import annotations
@@ -14,25 +15,32 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import math
 import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reliefgrid.llm.arrow import texts
 
-#: Text bytes of a chunk; a longer single text is a chunk of its own.
-CHUNK_BYTES = 48 << 20
+def chunk_bytes(total: int) -> int:
+    """Text bytes of a chunk: 16 MB for a GB, growing with the root of the input up to 64 MB."""
+    return int(min(64 << 20, max(2 << 20, math.sqrt(3e5 * total))))
+
+
 #: The characters of Unicode's White_Space property.
 SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-#: Bits of an id: two fit in an entry.
+#: Bits of an id, a rank and a place: three fit in a long.
 BITS = 21
+#: The rank of no union.
+TOP = (1 << BITS) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -84,6 +92,10 @@ def _let(value: F.Column, use: Callable[[F.Column], F.Column]) -> F.Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def _long(n: int) -> F.Column:
+    return F.lit(n).cast("long")
+
+
 class Ranks:
     """The rank file as one literal, and expressions that use it.
 
@@ -94,126 +106,175 @@ class Ranks:
         array = lambda some, kind: F.from_json(F.lit(json.dumps(some)), f"array<{kind}>")
         offsets, table = displaced(unions(ranks), max(ranks.values()) + 1)
         single = [ranks[bytes([i])] for i in range(256)]
-        by_id = {r: t for t, r in ranks.items()}
-        tokens = [base64.b64encode(by_id.get(i, b"")).decode() for i in range(max(by_id) + 1)]
-        self.literal = F.struct(array(offsets, "int").alias("offsets"), array(table, "bigint").alias("table"), array(single, "int").alias("single"))
-        self.tokens = array(tokens, "binary")
+        bytes_ = [ranks.get(bytes([a, b])) for a in range(256) for b in range(256)]
+        self.literal = F.struct(array(offsets, "int").alias("offsets"), array(table, "bigint").alias("table"), array(single, "bigint").alias("single"), array(bytes_, "int").alias("bytes"))
 
     def encode(self, words: F.Column) -> F.Column:
         """The ids of each word of an array."""
         return _let(self.literal, lambda lit: F.transform(words, lambda w: self._word(lit, w)))
 
-    def decode(self, words: F.Column) -> F.Column:
-        """The bytes of each word of an array of ids."""
-        whole = lambda tokens, ids: F.aggregate(ids, F.lit(b""), lambda out, i: F.concat(out, F.get(tokens, i)))
-        return _let(self.tokens, lambda tokens: F.transform(words, lambda ids: whole(tokens, ids)))
-
     def _rank(self, lit: F.Column, left: F.Column, right: F.Column) -> F.Column:
-        """The id of the union of two ids, null where the file has none."""
-        entry = F.get(lit["table"], F.get(lit["offsets"], left) + right)
-        union = lambda e: F.when(F.shiftright(e, BITS) == left, e.bitwiseAND(F.lit((1 << BITS) - 1).cast("long")).cast("int"))
-        return _let(entry, union)
+        """The id of the union of two ids (longs), TOP where the file has none."""
+        entry = F.get(lit["table"], (F.get(lit["offsets"], left.cast("int")) + right).cast("int"))
+        return _let(entry, lambda e: F.when(F.shiftright(e, BITS) == left, e.bitwiseAND(_long(TOP))).otherwise(_long(TOP)))
 
     def _word(self, lit: F.Column, word: F.Column) -> F.Column:
-        """The ids of one word, an array of signed bytes: its bytes' ids, and while neighbours merge, the lowest rank's first."""
-        none = F.array().cast("array<int>")
-        rank = lambda a, b: self._rank(lit, a, b)
-        first = F.transform(word, lambda b: F.get(lit["single"], b.cast("int").bitwiseAND(F.lit(255))))
-        start = _let(first, lambda s: F.struct(s.alias("s"), F.zip_with(F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s)), rank).alias("r")))
-
-        def merged(s: F.Column, r: F.Column, low: F.Column, at: F.Column) -> F.Column:
-            before = F.when(at > 1, F.array(rank(F.get(s, at - 2), low))).otherwise(none)
-            after = F.when(at < F.size(r), F.array(rank(low, F.get(s, at + 1)))).otherwise(none)
-            ids = F.concat(F.slice(s, 1, at - 1), F.array(low), F.slice(s, at + 2, F.size(s)))
-            ranks = F.concat(F.slice(r, 1, F.greatest(at - 2, F.lit(0))), before, after, F.slice(r, at + 2, F.size(r)))
-            return F.struct(ids.alias("s"), ranks.alias("r"))
-
-        def step(state: F.Column, _: F.Column) -> F.Column:
-            s, r = state["s"], state["r"]
-            go = lambda low: F.when(low.isNull(), state).otherwise(_let(F.array_position(r, low).cast("int"), lambda at: merged(s, r, low, at)))
-            return _let(F.array_min(r), go)
+        """The ids of one word, an array of signed bytes.
+
+        Each symbol is one long: the rank of its union with the next one, its place, and
+        its id. So the least symbol says what merges next, the leftmost of equal ranks.
+        """
+        ids = F.transform(word, lambda b: F.get(lit["single"], b.cast("int").bitwiseAND(F.lit(255))))
+        made = lambda rank, place, own: F.shiftleft(rank, 2 * BITS).bitwiseOR(place).bitwiseOR(own)
+        own = lambda e: e.bitwiseAND(_long(TOP))
+        place = lambda e: e.bitwiseAND(_long(TOP << BITS))
+
+        def first(e: F.Column, i: F.Column) -> F.Column:
+            following = _let(F.get(word, i + 1).cast("int").bitwiseAND(F.lit(255)), lambda b: F.get(lit["bytes"], F.get(word, i).cast("int").bitwiseAND(F.lit(255)) * 256 + b))
+            return made(F.coalesce(following.cast("long"), _long(TOP)), F.shiftleft(i.cast("long").bitwiseAND(_long(TOP)), BITS), e)
+
+        def merged(s: F.Column, e: F.Column, at: F.Column) -> F.Column:
+            """The symbol ``e`` at ``at`` becomes its union with the next; it and the one before get new ranks."""
+            new = F.shiftright(e, 2 * BITS)
+            after = F.get(s, at + 1)
+            symbol = made(F.when(after.isNull(), _long(TOP)).otherwise(self._rank(lit, new, own(after))), place(e), new)
+            around = F.when(at == 1, F.array(symbol)).otherwise(_let(F.get(s, at - 2), lambda p: F.array(made(self._rank(lit, own(p), new), place(p), own(p)), symbol)))
+            return F.concat(F.slice(s, 1, F.greatest(at - 2, F.lit(0))), around, F.slice(s, at + 2, F.size(s)))
+
+        def step(s: F.Column, _: F.Column) -> F.Column:
+            go = lambda e: F.when(e >= _long(TOP << 2 * BITS), s).otherwise(_let(F.array_position(s, e).cast("int"), lambda at: merged(s, e, at)))
+            return _let(F.array_min(s), go)
+
+        start = F.transform(ids, first)
+        folded = F.aggregate(F.sequence(F.lit(2), F.size(word)), start, step)
+        return F.transform(F.when(F.size(word) > 1, folded).otherwise(start), lambda e: own(e).cast("int"))
+
+
+def _split(text: str, units: re.Pattern, split: regex.Pattern, number: dict[str, int], known: dict[str, tuple[int, ...]]) -> Iterator[int]:
+    """The numbers of a text's words; new words get the next ones.
+
+    Text is first cut before white space that follows other characters: matches
+    never reach over that, and most cuts have been seen before.
+    """
 
-        folded = F.aggregate(F.sequence(F.lit(2), F.size(word)), start, step, lambda state: state["s"])
-        return F.when(F.size(word) > 1, folded).otherwise(first)
+    def of(unit: str) -> tuple[int, ...]:
+        found = known.get(unit)
+        if found is None:
+            found = known[unit] = tuple(number.setdefault(w, len(number)) for w in split.findall(unit))
+        return found
 
+    return chain.from_iterable(map(of, units.findall(text)))
 
-def chunks(docs: DataFrame, pattern: str, doc_id: str = "doc_id", text: str = "text", most: int = CHUNK_BYTES) -> DataFrame:
-    """(doc_ids, docs, words): a row for each chunk; docs are 32-bit indices into its distinct words, which are arrays of signed bytes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
+class _Chunk:
+    """A chunk's documents as word numbers, and its distinct words by part, in the order of their numbers."""
 
-        # Text is first cut before white space that follows other characters: matches never reach over that.
+    def __init__(self, table: pa.Table, pattern: str, parts: int):
         units, split = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"), regex.compile(pattern)
-        ids, rows, size = [], [], 0
-        number: dict[str, int] = {}
         known: dict[str, tuple[int, ...]] = {}
-
-        def of(unit: str) -> tuple[int, ...]:
-            found = known.get(unit)
-            if found is None:
-                found = known[unit] = tuple(number.setdefault(w, len(number)) for w in split.findall(unit))
-            return found
-
-        def full() -> pa.RecordBatch:
-            coded = [w.encode() for w in number]
-            letters = pa.ListArray.from_arrays(np.cumsum([0, *map(len, coded)], dtype=np.int32), np.frombuffer(b"".join(coded), np.int8))
-            words = pa.ListArray.from_arrays(np.array([0, len(coded)], np.int32), letters)
-            out = pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([rows], pa.list_(pa.binary())), words], ["doc_ids", "docs", "words"])
-            number.clear()
-            known.clear()
-            return out
-
-        for batch in batches:
-            for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                t = t or ""
-                if rows and size + len(t) > most:
-                    yield full()
-                    ids, rows, size = [], [], 0
-                ids.append(i)
-                rows.append(np.fromiter(chain.from_iterable(map(of, units.findall(t))), np.int32).tobytes())
-                size += len(t)
-        if rows:
-            yield full()
-
-    named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return named.mapInArrow(run, "doc_ids array<bigint>, docs array<binary>, words array<array<tinyint>>")
-
-
-def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of every row; ids are 32-bit little-endian.
+        number: dict[str, int] = {}
+        order = sorted(zip(table.column("key").to_pylist(), range(len(table))))
+        ids, texts = table.column("doc_id").to_pylist(), table.column("text")
+        self.ids = [ids[i] for _, i in order]
+        self.rows = [np.fromiter(_split(texts[i].as_py() or "", units, split, number, known), np.int32) for _, i in order]
+        self.words = [w.encode() for w in number]
+        part = np.array([xxhash.xxh3_64_intdigest(w) % parts for w in self.words], np.int64)
+        self.by_part = {int(p): np.flatnonzero(part == p) for p in np.unique(part)}
+
+
+def _words_of(pattern: str, parts: int) -> Callable[[tuple, pa.Table], pa.Table]:
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        chunk = _Chunk(table, pattern, parts)
+        blobs = []
+        for at in chunk.by_part.values():
+            some = [chunk.words[i] for i in at.tolist()]
+            blobs.append(np.array([len(some), *map(len, some)], "<u4").tobytes() + b"".join(some))
+        n = len(blobs)
+        return pa.table({"part": pa.array(list(chunk.by_part), pa.int64()), "chunk": pa.array([key[0].as_py()] * n, pa.int64()), "words": pa.array(blobs, pa.binary())})
+
+    return run
+
+
+def _distinct(table: pa.Table) -> pa.Table:
+    """A part's distinct words, and for each chunk the numbers of the words it sent."""
+    number: dict[bytes, int] = {}
+    sent = []
+    for blob in table.column("words"):
+        data = blob.as_buffer()
+        n = int(np.frombuffer(data, "<u4", 1)[0])
+        ends = (4 * (n + 1) + np.cumsum(np.frombuffer(data, "<u4", n, 4), dtype=np.int64)).tolist()
+        raw = data.to_pybytes()
+        begins = [4 * (n + 1), *ends]
+        sent.append(np.fromiter((number.setdefault(raw[a:b], len(number)) for a, b in zip(begins, ends)), np.int32, n).tobytes())
+    letters = pa.ListArray.from_arrays(np.cumsum([0, *map(len, number)], dtype=np.int32), np.frombuffer(b"".join(number), np.int8))
+    chunks = pa.array([table.column("chunk").to_pylist()], pa.list_(pa.int64()))
+    return pa.table({"part": table.column("part")[:1], "chunks": chunks, "sent": pa.array([sent], pa.list_(pa.binary())), "words": pa.ListArray.from_arrays(np.array([0, len(number)], np.int32), letters)})
+
+
+def _returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, part, ids): the ids of the words that a chunk sent, with their numbers before."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            ids = batch.column("ids")[k].values
+            cuts = ids.offsets.to_numpy().astype(np.int64)
+            flat = ids.values.to_numpy(zero_copy_only=False).astype("<i4")
+            lengths = np.diff(cuts)
+            blobs = []
+            for row in batch.column("sent")[k].values:
+                at = np.frombuffer(row.as_buffer(), np.int32)
+                n = lengths[at]
+                places = np.repeat(cuts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                blobs.append(n.astype("<u4").tobytes() + flat[places].tobytes())
+            chunks = batch.column("chunks")[k].values
+            yield pa.RecordBatch.from_arrays([chunks, pa.array([batch.column("part")[k].as_py()] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())], ["chunk", "part", "ids"])
+
+
+def _joined(path: str, pattern: str, parts: int, ids_too: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The documents of a chunk from their words' ids."""
+    kinds = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()} | ({"ids": pa.binary()} if ids_too else {})
+
+    def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        chunk = _Chunk(table, pattern, parts)
+        coded: list[bytes] = [b""] * len(chunk.words)
+        for part, blob in zip(told.column("part").to_pylist(), told.column("ids").to_pylist()):
+            at = chunk.by_part[part].tolist()
+            n = np.frombuffer(blob, "<u4", len(at))
+            cuts = (4 * len(at) + 4 * np.concatenate([[0], np.cumsum(n, dtype=np.int64)])).tolist()
+            for i, a, b in zip(at, cuts, cuts[1:]):
+                coded[i] = blob[a:b]
+        tokens = {r: t for t, r in read_ranks(path).items()}
+        names = {r: str(r) for r in tokens}
+        ids = [np.frombuffer(c, "<i4").tolist() for c in coded]
+        decimal = [" ".join(map(names.__getitem__, x)) for x in ids]
+        decoded = [b"".join(map(tokens.__getitem__, x)) for x in ids]
+        lengths = np.array([len(x) for x in ids], np.int64)
+        out: list[tuple] = []
+        for i, row in zip(chunk.ids, chunk.rows):
+            some = row.tolist()
+            text = " ".join(map(decimal.__getitem__, some))
+            back = b"".join(map(decoded.__getitem__, some))
+            made = (i, int(lengths[row].sum()), hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(back).hexdigest())
+            out.append((*made, b"".join(map(coded.__getitem__, some))) if ids_too else made)
+        return pa.table([pa.array(c, kind) for c, kind in zip(zip(*out), kinds.values())], names=list(kinds))
+
+    return run
+
+
+def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", ids: bool = True) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, ids) of every row; ids are 32-bit little-endian, and can be left out.
 
     Null and empty texts have no ids. The digests are of the decimal ids joined by a
     space and of the bytes that the ids decode to. Special tokens are ordinary text.
     Repeated rows stay rows.
     """
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    chunks = max(1, -(-total // chunk_bytes(total)))
+    named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    dealt = named.withColumn("chunk", F.pmod("key", F.lit(chunks)))
+    sent = dealt.groupBy("chunk").applyInArrow(_words_of(pattern, chunks), "part long, chunk long, words binary")
+    distinct = sent.groupBy("part").applyInArrow(_distinct, "part long, chunks array<bigint>, sent array<binary>, words array<array<tinyint>>")
     ranks = Ranks(read_ranks(path))
-    found = chunks(docs, pattern, doc_id, text)
-    coded = found.select("doc_ids", "docs", ranks.encode(F.col("words")).alias("ids"))
-    both = coded.select("doc_ids", "docs", "ids", ranks.decode(F.col("ids")).alias("decoded"))
-    return both.mapInArrow(_join, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary")
-
-
-def _join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The documents of each chunk from their words' ids and decoded bytes."""
-    for batch in batches:
-        for k in range(batch.num_rows):
-            ids = batch.column("ids")[k].values
-            lengths = np.diff(ids.offsets.to_numpy())
-            flat = ids.flatten().to_numpy(zero_copy_only=False).astype("<i4")
-            cuts = np.concatenate([[0], np.cumsum(lengths)]).tolist()
-            numbers = list(map(str, flat.tolist()))
-            decimal = [" ".join(numbers[a:b]) for a, b in zip(cuts, cuts[1:])]
-            packed = flat.tobytes()
-            coded = [packed[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
-            decoded = batch.column("decoded")[k].values.to_pylist()
-            out: list[tuple] = []
-            for i, row in zip(batch.column("doc_ids")[k].as_py(), batch.column("docs")[k].values):
-                at = np.frombuffer(row.as_buffer(), np.int32)
-                some = at.tolist()
-                text = " ".join(map(decimal.__getitem__, some))
-                back = b"".join(map(decoded.__getitem__, some))
-                out.append((i, int(lengths[at].sum()), hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(back).hexdigest(), b"".join(map(coded.__getitem__, some))))
-            columns = list(zip(*out))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+    coded = distinct.select("part", "chunks", "sent", ranks.encode(F.col("words")).alias("ids"))
+    told = coded.mapInArrow(_returned, "chunk long, part long, ids binary")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if ids else "")
+    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_joined(path, pattern, chunks, ids), schema)

@@ -102,8 +102,8 @@ from texts t left join kept k using (doc_id)
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    coded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return coded.drop("ids")
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ids=False)
 
 
 @query
