@@ -10,12 +10,10 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 @pytest.fixture(scope="session")
-def rounds(spark, tmp_path_factory):
+def rounds(spark):
     """A fresh set of round tables for a job."""
     from reliefgrid.rounds import Rounds
 
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
     return lambda job="test": Rounds(spark, job)
 
 
