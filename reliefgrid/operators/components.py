@@ -135,7 +135,7 @@ def _relabel(edges: DataFrame, step: DataFrame, keys: list[str]) -> DataFrame:
     return d.select(*keys, F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).filter("u <> v").distinct()
 
 
-def contract(nodes: DataFrame, edges: DataFrame, keys: Sequence[str], max_rounds: int = 200) -> DataFrame:
+def contract(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``keys, node, label``: one label per component.
 
     Blocks first.  Then each round maps every endpoint to its smallest
@@ -148,18 +148,14 @@ def contract(nodes: DataFrame, edges: DataFrame, keys: Sequence[str], max_rounds
     follow = lambda lab, st: lab.join(st.withColumnRenamed("n", "label"), [*keys, "label"], "left").select(
         *keys, "node", F.coalesce("to", "label").alias("label")
     )
-    labels = follow(nodes.select(*keys, "node", F.col("node").alias("label")), step)
+    labels = cut(follow(nodes.select(*keys, "node", F.col("node").alias("label")), step))
     edges = cut(_relabel(edges.filter(F.col("gr").isNull()).select(*keys, "u", "v"), step, keys))
-    rounds = 0
-    while edges.limit(1).count():
-        rounds += 1
-        if rounds > max_rounds:
-            raise RuntimeError("component contraction did not finish")
+    while not edges.isEmpty():  # every node with an edge but the smallest of its neighbourhood is hooked away
         both = edges.unionByName(edges.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         hook = both.groupBy(*keys, "u").agg(F.min("v").alias("m")).select(*keys, F.col("u").alias("n"), F.least("u", "m").alias("p"))
         grand = hook.select(*keys, F.col("n").alias("p"), F.col("p").alias("g"))
         step = cut(hook.join(grand, [*keys, "p"], "left").select(*keys, "n", F.coalesce("g", "p").alias("to")))
-        labels = follow(labels, step)
+        labels = cut(follow(labels, step))
         edges = cut(_relabel(edges, step, keys))
     return labels
 

@@ -47,6 +47,9 @@ def polygons_meet(pairs: DataFrame) -> DataFrame:
     )
 
 
+ROW_BAND = 32  # lattice rows of a polygon that one task expands
+
+
 def rasterise(pairs: DataFrame, keep: Sequence[str], res: float, buffer_px: int, poly: str = "poly") -> DataFrame:
     """Lattice cells of each tile whose centre lies inside each polygon.
 
@@ -62,9 +65,11 @@ def rasterise(pairs: DataFrame, keep: Sequence[str], res: float, buffer_px: int,
     r0 = F.greatest(F.lit(0), F.floor((top - F.array_max(ys)) / res).cast("int"))
     r1 = F.least(n_row, F.ceil((top - F.array_min(ys)) / res).cast("int"))
     d = pairs.select(*keep, F.col(poly).alias("_p"), left.alias("_left"), top.alias("_top"), n_col.alias("_nc"), r0.alias("_r0"), r1.alias("_r1"))
-    # few pairs expand to many cells: spread them first, whatever join made them
-    d = d.filter("_r0 <= _r1").repartition(*keep)
-    d = d.select("*", F.explode(F.sequence("_r0", "_r1")).alias("row"))
+    # few pairs expand to many cells: bands of rows are spread first, so one large polygon is many tasks
+    band = F.explode(F.sequence(F.floor(F.col("_r0") / ROW_BAND), F.floor(F.col("_r1") / ROW_BAND)))
+    d = d.filter("_r0 <= _r1").withColumn("_band", band).repartition(*keep, "_band")
+    first, last = F.greatest("_r0", F.col("_band") * ROW_BAND), F.least("_r1", (F.col("_band") + 1) * ROW_BAND - 1)
+    d = d.select("*", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("row"))
     d = d.withColumn("_x", pg.crossings(F.col("_p"), F.col("_top") - F.col("row") * res)).filter(F.size("_x") > 1)
     spans = F.transform(
         F.sequence(F.lit(0), F.size("_x") - 2, F.lit(2)),
@@ -104,8 +109,7 @@ def points_in_polygons(
     f = footprints.select("*", pg.edges(F.col("poly")).alias("_edges")) if not rectangle else footprints
     f = f.select("*", _cells(F.col("xmin"), F.col("xmax"), cell).alias("_gx"))
     f = f.select("*", _cells(F.col("ymin"), F.col("ymax"), cell).alias("_gy"))
-    # spread by cell even when the points are small enough to be broadcast
-    f = f.repartition("_gx", "_gy")
+    # left to the join: a crowded cell of its own exchange is split by the optimizer
     box = F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax"))
     hit = p.join(f, ["_gx", "_gy"]).filter(box)
     if not rectangle:
@@ -182,6 +186,16 @@ def tile_pair_overlap(px: DataFrame, pairs: DataFrame) -> DataFrame:
     Columns of the first tile end in 0, of the second in 1; extents are closed.
     """
     bands = [c for c in px.columns if c not in ("tile_id", "row", "col")]
+    ends = px.groupBy("tile_id").agg(F.min("row").alias("_r0"), F.max("row").alias("_r1"), F.min("col").alias("_c0"), F.max("col").alias("_c1"))
+    at = lambda t: ends.select(F.col("tile_id").alias(f"tile_{t}"), *[F.col(c).alias(f"{c}{t}") for c in ("_r0", "_r1", "_c0", "_c1")])
+    both = pairs.join(at("a"), "tile_a").join(at("b"), "tile_b")
+    low, high = (lambda c: F.greatest(f"{c}a", f"{c}b")), (lambda c: F.least(f"{c}a", f"{c}b"))
+    # only the rectangle that both extents share can hold common cells
+    shared = both.select(*pairs.columns, low("_r0").alias("_top"), high("_r1").alias("_bottom"), low("_c0").alias("_left"), high("_c1").alias("_right"))
+    inside = F.col("row").between(F.col("_top"), F.col("_bottom")) & F.col("col").between(F.col("_left"), F.col("_right"))
     ra = px.select(F.col("tile_id").alias("tile_a"), "row", "col", *[F.col(b).alias(f"{b}0") for b in bands])
     rb = px.select(F.col("tile_id").alias("tile_b"), "row", "col", *[F.col(b).alias(f"{b}1") for b in bands])
-    return pairs.join(ra, "tile_a").join(rb, ["tile_b", "row", "col"])
+    box = ["_top", "_bottom", "_left", "_right"]
+    a = shared.join(ra, "tile_a").filter(inside).drop(*box)
+    b = shared.select("tile_a", "tile_b", *box).join(rb, "tile_b").filter(inside).drop(*box)
+    return a.join(b, ["tile_a", "tile_b", "row", "col"])

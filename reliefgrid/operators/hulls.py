@@ -6,6 +6,7 @@ Python sees only those points, first per chunk of rows, then the chunk hulls.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator, Sequence
 
@@ -133,11 +134,14 @@ def simplify_ring(ring: list, tol_sq: float | None = None, keep_share: float | N
     # first scores measure to the whole line, later ones to the segment
     score = {i: _offset_sq(pts[behind[i]], pts[i], pts[ahead[i]], clamp=False) for i in range(n)}
     left = n
+    queue = [(s, i) for i, s in score.items() if not math.isnan(s)]
+    heapq.heapify(queue)
     while left > floor:
-        i = min(score, key=lambda j: (math.isnan(score[j]), score[j]))
-        best = score[i]
-        if math.isnan(best):
+        while queue and score.get(queue[0][1]) != queue[0][0]:
+            heapq.heappop(queue)  # removed, or scored anew since
+        if not queue:
             break
+        best, i = queue[0]
         if not best < tol_sq:
             if keep_share is None:
                 break
@@ -151,6 +155,7 @@ def simplify_ring(ring: list, tol_sq: float | None = None, keep_share: float | N
         for j in (a, b):
             carried[j] = debt
             score[j] = (math.sqrt(_offset_sq(pts[behind[j]], pts[j], pts[ahead[j]])) + debt) ** 2
+            heapq.heappush(queue, (score[j], j))
     kept = [pts[i] for i in range(n) if i in score]
     return [*kept, kept[0]]
 

@@ -26,12 +26,9 @@ def _pass_sum(df: DataFrame, w, value: str, n: int, out: str, exact: bool) -> Da
     lo, hi = offsets(n)
     if n < PREFIX_FROM or not exact:
         return df.withColumn(out, F.coalesce(F.sum(value).over(w.rangeBetween(lo, hi)), F.lit(0)))
-    run = F.sum(F.coalesce(F.col(value), F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumn("_run", run)
-    # past the far edge the running sum stays at its last value
-    ahead = F.coalesce(F.lead("_run", hi).over(w), F.max("_run").over(w.rowsBetween(0, hi)))
-    behind = F.coalesce(F.lag("_run", 1 - lo).over(w), F.lit(0))
-    return df.withColumn(out, ahead - behind).drop("_run")
+    # sums over everything up to a position: both frames only ever grow
+    upto = lambda end: F.coalesce(F.sum(value).over(w.rangeBetween(Window.unboundedPreceding, end)), F.lit(0))
+    return df.withColumn(out, upto(hi) - upto(lo - 1))
 
 
 def _box_sum(df, keys, value: str, n: int, out: str, exact: bool = False) -> DataFrame:

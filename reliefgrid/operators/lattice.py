@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import along_col, along_row, blocked, core, with_halo
@@ -31,6 +31,18 @@ def tile_lattice(tiles: DataFrame, res: float, buffer_px: int = 100) -> DataFram
     )
 
 
+def densified(px: DataFrame, keys: Sequence[str], real: str = "_real") -> DataFrame:
+    """Every cell of each raster's extent; ``real`` marks the cells that were there.
+
+    Separable kernels need whole rows and columns; pairings of unequal layers lack some.
+    """
+    keys = list(keys)
+    ext = px.groupBy(*keys).agg(F.min("row").alias("_r0"), F.max("row").alias("_r1"), F.min("col").alias("_c0"), F.max("col").alias("_c1"))
+    rows = ext.select("*", F.explode(F.sequence("_r0", "_r1")).alias("row")).repartition(*keys, "row")
+    cells = rows.select(*keys, "row", F.explode(F.sequence("_c0", "_c1")).alias("col"))
+    return cells.join(px.withColumn(real, F.lit(True)), [*keys, "row", "col"], "left").withColumn(real, F.coalesce(real, F.lit(False)))
+
+
 def data_extent(px: DataFrame, keys: Sequence[str], z: str = "z") -> DataFrame:
     """Bounding rows and columns of cells that hold data."""
     has = F.col(z).isNotNull()
@@ -92,13 +104,14 @@ def enlarge_bilinear(px: DataFrame, keys: Sequence[str], value: str, k: int) ->
     d = with_halo(px.select(*keys, "row", "col", value), keys, 1)
     kk = blocked(keys)
 
-    def side(w, col, step):
-        moved = F.lag(col).over(w) if step < 0 else F.lead(col).over(w)
+    def side(w, axis, col, step):
+        step_to = F.lag if step < 0 else F.lead
+        moved = F.when(step_to(axis).over(w) == F.col(axis) + step, step_to(col).over(w))
         return F.coalesce(moved, F.col(col))
 
-    d = d.withColumn("_l", side(along_row(kk), value, -1)).withColumn("_r", side(along_row(kk), value, 1))
+    d = d.withColumn("_l", side(along_row(kk), "col", value, -1)).withColumn("_r", side(along_row(kk), "col", value, 1))
     for c in ("_l", value, "_r"):
-        d = d.withColumn(f"_u{c}", side(along_col(kk), c, -1)).withColumn(f"_d{c}", side(along_col(kk), c, 1))
+        d = d.withColumn(f"_u{c}", side(along_col(kk), "row", c, -1)).withColumn(f"_d{c}", side(along_col(kk), "row", c, 1))
     d = core(d, 1)
     step = F.sequence(F.lit(0), F.lit(k - 1))
     d = d.select("*", F.explode(step).alias("_i"))
@@ -130,7 +143,3 @@ def edge_ramp(overlap: DataFrame, pair_keys: Sequence[str], axis: str, out: str
         (F.col("_a1") - F.col(axis)) / (F.col("_a1") - F.col("_a0"))
     )
     return overlap.join(span, list(pair_keys)).withColumn(out, w).drop("_a0", "_a1")
-
-
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence, out: str = "seq") -> DataFrame:
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

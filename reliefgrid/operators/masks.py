@@ -73,7 +73,7 @@ def mask_8m(px, keys: Sequence[str], dx: float = 8.0, out: str = "good"):
     return drop_small(d, keys, F.col("_d"), 500, out).drop("_e", "_d")
 
 
-def grow_to_fixpoint(px, keys: Sequence[str], seed: Column, allowed: Column, n: int = 11, out: str = "grown", max_rounds: int = 10000):
+def grow_to_fixpoint(px, keys: Sequence[str], seed: Column, allowed: Column, n: int = 11, out: str = "grown"):
     """Repeat: dilate by n, keep allowed cells; until no raster's mask changes.
 
     Rasters whose count is stable leave the working set, so a round costs only
@@ -84,7 +84,7 @@ def grow_to_fixpoint(px, keys: Sequence[str], seed: Column, allowed: Column, n:
     live, settled = base.select(*keys, "row", "col", "_ok", "_g"), []
     # the first round is never compared with the seeds: it also drops those not allowed
     counts = live.select(*keys).distinct().withColumn("_n", F.lit(-1).cast("long"))
-    for _ in range(max_rounds):
+    while True:  # masks only lose or gain cells a finite raster has, so every raster settles
         nxt = dilate(live, keys, F.col("_g"), n, "_d").select(*keys, "row", "col", "_ok", (F.col("_d") & F.col("_ok")).alias("_g"))
         nxt = cut(nxt)
         now = nxt.groupBy(*keys).agg(F.count_if("_g").alias("_m"))

@@ -109,9 +109,11 @@ def trial_differences(ref: DataFrame, flt: DataFrame, trial: DataFrame, keys: Se
     return d.filter(F.col("dz").isNotNull()).select(*keys, "row", "col", "dz", (-F.col("_gc")).alias("sx"), F.col("_gr").alias("sy"))
 
 
-def coregister(ref: DataFrame, flt: DataFrame, keys: Sequence[str], res: float, max_rounds: int = 100) -> DataFrame:
+def coregister(ref: DataFrame, flt: DataFrame, keys: Sequence[str], res: float) -> DataFrame:
     """Offsets (dz, dx, dy) to subtract from each floating raster, with rmse and status.
 
+    A round that doesn't lower a pair's rmse by MIN_GAIN is its last, so all pairs settle.
+
     ``ref`` and ``flt`` hold keys, row, col, z, m (match mask) on one global lattice.
     """
     keys = list(keys)
@@ -130,8 +132,6 @@ def coregister(ref: DataFrame, flt: DataFrame, keys: Sequence[str], res: float,
     active = state.count()
     while active:
         it += 1
-        if it > max_rounds:
-            raise RuntimeError("alignment did not settle")
         dz = cut(trial_differences(ref, flt, state, keys, res))
         good = cut(inliers(dz, keys).filter("sx is not null and sy is not null"))
         fit = good.groupBy(*keys).agg(rmse(F.col("dz")).alias("d1"), *normal_sums(F.col("sx"), F.col("sy"), F.col("dz")))
@@ -144,14 +144,13 @@ def coregister(ref: DataFrame, flt: DataFrame, keys: Sequence[str], res: float,
         d = state.join(have, keys, "left").join(fit, keys, "left").withColumns(q)
         if it == 1:
             d = d.withColumn("med1", F.col("m1")).withColumn("rms1", F.col("r1")).drop("m1", "r1")
-        stop = F.col("d0").isNotNull() & (F.col("d0") - F.col("d1") < MIN_GAIN)
+        stop = F.col("d0").isNotNull() & ((F.col("d0") - F.col("d1") < MIN_GAIN) | F.isnan("d1"))
         d = d.withColumns({"nz": F.col("pz") + F.col("qz"), "nx": F.col("px") + F.col("qx"), "ny": F.col("py") + F.col("qy")})
         far = (F.abs("nx") > MAX_HORIZONTAL) | (F.abs("ny") > MAX_HORIZONTAL)
         status = (
             F.when(F.col("_cells").isNull(), "no_overlap")
             .when(F.col("d1").isNull(), "all_filtered")
-            .when(stop & (F.lit(it) == 2), "vertical_only")
-            .when(stop, "converged")
+            .when(stop, "vertical_only" if it == 2 else "converged")
             .when(F.col("nx").isNull(), "singular")
             .when(far, "over_limit")
             .otherwise("active")
@@ -205,7 +204,7 @@ def point_residuals(slopes: DataFrame, points: DataFrame, state: DataFrame, keys
 
 
 def register_to_points(
-    px: DataFrame, points: DataFrame, keys: Sequence[str], res: float, min_points: int = 4, max_rounds: int = 100
+    px: DataFrame, points: DataFrame, keys: Sequence[str], res: float, min_points: int = 4
 ) -> tuple[DataFrame, DataFrame]:
     """(offsets to add, residuals) of rasters against control points.
 
@@ -221,8 +220,6 @@ def register_to_points(
     it, active = 0, state.count()
     while active:
         it += 1
-        if it > max_rounds:
-            raise RuntimeError("point registration did not settle")
         r = cut(point_residuals(slopes, points, state, keys, res))
         residuals.append(r)
         valid = r.filter("dz is not null and sx is not null and sy is not null")
@@ -231,7 +228,7 @@ def register_to_points(
             F.count("*").alias("_n"), rmse(F.col("dz")).alias("d1"), *normal_sums(F.col("sx"), F.col("sy"), F.col("dz"))
         )
         d = state.join(fit, keys, "left").withColumns(solve_sums())
-        worse = F.col("d0").isNotNull() & (F.col("d1") >= F.col("d0"))
+        worse = F.col("d0").isNotNull() & ((F.col("d1") >= F.col("d0")) | F.isnan("d1"))
         small = F.col("d0").isNotNull() & ((F.col("d0") - F.col("d1")) / F.col("d0") <= 1e-3)
         status = (
             F.when(F.coalesce("_n", F.lit(0)) < min_points, "too_few_points")

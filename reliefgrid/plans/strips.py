@@ -94,7 +94,7 @@ def build_segment(scenes: DataFrame, order: DataFrame, res: float, min_cells: in
     return crop_to_data(strip, ["strip_id"]), cut(used)
 
 
-def build_strips(scenes: DataFrame, res: float, min_cells: int = MIN_CELLS, max_segments: int = 1000) -> tuple[DataFrame, DataFrame]:
+def build_strips(scenes: DataFrame, res: float, min_cells: int = MIN_CELLS) -> tuple[DataFrame, DataFrame]:
     """All strips in segments.
 
     ``scenes``: strip_id, seq, row, col, z, mt, ortho on the common lattice,
@@ -105,9 +105,9 @@ def build_strips(scenes: DataFrame, res: float, min_cells: int = MIN_CELLS, max_
     has = scenes.filter("z is not null").select("strip_id", "seq").distinct()
     left = cut(scenes.join(has, ["strip_id", "seq"], "left_semi"))
     px, rows = [], []
-    for segment in range(1, max_segments + 1):
-        if left.limit(1).count() == 0:
-            break
+    segment = 0
+    while not left.isEmpty():  # every segment uses at least the first scene of each strip
+        segment += 1
         order = cut(order_scenes(scene_boxes(left), segments=False))
         p, used = build_segment(left, order, res, min_cells)
         px.append(cut(p.withColumn("segment", F.lit(segment))))

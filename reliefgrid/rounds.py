@@ -31,12 +31,12 @@ class Rounds:
         self.spark = spark
         self.base = f"{shared_folder(spark)}/{job}-{uuid.uuid4().hex}"
         self._paths: dict[str, str] = {}
-        self._n = 0
+        self.count = 0
 
     def put(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` under ``label``; an earlier table of that label goes once this one is whole."""
-        self._n += 1
-        path = f"{self.base}/{label}-{self._n}"
+        self.count += 1
+        path = f"{self.base}/{label}-{self.count}"
         df.write.parquet(path)
         if old := self._paths.get(label):
             delete(self.spark, old)

@@ -6,8 +6,10 @@ import os
 import tempfile
 import zipfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reliefgrid.rounds import Rounds
 
 
 def get_session(app: str = "reliefgrid", master: str | None = None, **conf) -> SparkSession:
@@ -25,33 +27,27 @@ def get_session(app: str = "reliefgrid", master: str | None = None, **conf) -> S
     return b.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder: on a cluster the
-    folder must outlive any one machine.
-    """
-    sc = spark.sparkContext
-    if sc.getCheckpointDir():
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="reliefgrid-ckpt-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+_ROUNDS: dict[str, Rounds] = {}
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+    """``df`` written to the shared folder and read back: what follows starts at files.
 
-def keep(df: DataFrame) -> DataFrame:
-    """Hold a table that one round reads several times (recomputed if lost)."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    The tables of an application lie in one folder, which ``clear_rounds`` deletes.
+    """
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    if app not in _ROUNDS:
+        _ROUNDS[app] = Rounds(spark, "rounds")
+    rounds = _ROUNDS[app]
+    typed = df.withColumns({f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if f.dataType.typeName() == "void"})
+    return rounds.put(typed, f"cut{rounds.count}")
+
+
+def clear_rounds(spark: SparkSession) -> None:
+    """Delete the round tables of the application, once no result still reads them."""
+    if rounds := _ROUNDS.pop(spark.sparkContext.applicationId, None):
+        rounds.clear()
 
 
 _SHIPPED: set[str] = set()

@@ -116,7 +116,7 @@ def test_fill_voids_keeps_known_and_interpolates(grid):
     z = (r + c).astype(float)
     hole = z.copy()
     hole[5:9, 5:9] = np.nan
-    got = to_array(mg.fill_voids(grid({"a": hole}), ["k"], "z", 6, 6), "z", z.shape).astype(float)
+    got = to_array(mg.fill_voids(grid({"a": hole}), ["k"], "z"), "z", z.shape).astype(float)
     assert np.allclose(got[~np.isnan(hole)], z[~np.isnan(hole)])
     assert np.abs(got - z).max() < 0.5
 

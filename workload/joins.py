@@ -250,11 +250,10 @@ def _k15(spark, sf):
 
 @query(
     "j6_points_on_cluster",
-    with_inputs("gcp tile_px", f"with {_GP} select t.tile_id, t.cluster, count(*) as n, sum(g.z) as z from gp g join tile_px t on t.row = round(-g.y/8e0) and t.col = round(g.x/8e0) where cluster = 2 group by 1,2"),
+    with_inputs("gcp tile_px", f"with {_GP} select t.tile_id, t.cluster, count(*) as n, sum(g.z) as z from gp g join tile_px t on t.row = round(-g.y/8e0) and t.col = round(g.x/8e0) where cluster > 1 group by 1,2"),
 )
 def _j6(spark, sf):
-    t = get(spark, sf, "tile_px").filter("cluster = 2")
-    d = pt.points_on_cluster(gp(spark, sf), t, 8.0, ["tile_id", "cluster"])
+    d = pt.points_on_cluster(gp(spark, sf), get(spark, sf, "tile_px").filter("cluster > 1"), 8.0, ["tile_id", "cluster"])
     return d.groupBy("tile_id", "cluster").agg(F.count("*").alias("n"), F.sum("z").alias("z"))
 
 
