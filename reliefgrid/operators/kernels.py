@@ -22,19 +22,26 @@ def offsets(n: int) -> tuple[int, int]:
     return -((n - 1) // 2), n // 2
 
 
-def _pass_sum(df: DataFrame, w, value: str, n: int, out: str, exact: bool) -> DataFrame:
+def _sum_over(w, value: str, n: int, exact: bool) -> Column:
+    """Sum of the n positions around each cell of a line; ``exact`` marks non-negative integer input."""
     lo, hi = offsets(n)
     if n < PREFIX_FROM or not exact:
-        return df.withColumn(out, F.coalesce(F.sum(value).over(w.rangeBetween(lo, hi)), F.lit(0)))
+        return F.coalesce(F.sum(value).over(w.rangeBetween(lo, hi)), F.lit(0))
     # sums over everything up to a position: both frames only ever grow
     upto = lambda end: F.coalesce(F.sum(value).over(w.rangeBetween(Window.unboundedPreceding, end)), F.lit(0))
-    return df.withColumn(out, upto(hi) - upto(lo - 1))
+    return upto(hi) - upto(lo - 1)
+
+
+def _box_sums(df: DataFrame, keys, sums: dict[str, tuple[str, bool]], n: int) -> DataFrame:
+    """n x n sums, zero outside, of (column, exact) by output name: all rows in one pass, then all columns."""
+    names = {out: f"_h{i}" for i, out in enumerate(sums)}
+    df = df.withColumns({names[out]: _sum_over(along_row(keys), v, n, exact) for out, (v, exact) in sums.items()})
+    df = df.withColumns({out: _sum_over(along_col(keys), names[out], n, exact) for out, (_, exact) in sums.items()})
+    return df.drop(*names.values())
 
 
 def _box_sum(df, keys, value: str, n: int, out: str, exact: bool = False) -> DataFrame:
-    """n x n sum, zero outside; ``exact`` marks non-negative integer input."""
-    df = _pass_sum(df, along_row(keys), value, n, "_h", exact)
-    return _pass_sum(df, along_col(keys), "_h", n, out, exact).drop("_h")
+    return _box_sums(df, keys, {out: (value, exact)}, n)
 
 
 def _count(df, keys, cond: Column, n: int, out: str) -> DataFrame:
@@ -53,12 +60,26 @@ def _erode(df, keys, mask: Column, n: int, out: str) -> DataFrame:
     return df.withColumn(out, F.col("_cnt") == 0).drop("_cnt")
 
 
+def _means(df, keys, values: dict[str, tuple[Column, str]], n: int) -> DataFrame:
+    """Kernel means with zero padding outside; any NULL in the kernel gives NULL.
+
+    ``values``: output name to (value, name of its NULLs); values that are NULL in the
+    same cells share a name and one count.
+    """
+    of = {out: f"_v{i}" for i, out in enumerate(values)}
+    nulls = {}
+    for out, (_, same) in values.items():
+        nulls.setdefault(same, (f"_n{len(nulls)}", of[out]))
+    df = df.withColumns({of[out]: v for out, (v, _) in values.items()})
+    df = df.withColumns({name: F.when(F.col(v).isNull(), 1).otherwise(0).cast("long") for name, v in nulls.values()})
+    sums = {f"_s{of[out]}": (of[out], False) for out in values} | {f"_s{name}": (name, True) for name, _ in nulls.values()}
+    df = _box_sums(df, keys, sums, n)
+    whole = {out: F.when(F.col(f"_s{nulls[same][0]}") == 0, F.col(f"_s{of[out]}") / float(n * n)) for out, (_, same) in values.items()}
+    return df.withColumns(whole).drop(*sums, *of.values(), *(name for name, _ in nulls.values()))
+
+
 def _mean(df, keys, value: Column, n: int, out: str) -> DataFrame:
-    """Kernel mean with zero padding outside; any NULL in the kernel gives NULL."""
-    df = df.withColumn("_v", value)
-    df = _box_sum(df, keys, "_v", n, "_s")
-    df = _count(df, keys, F.col("_v").isNull(), n, "_nulls")
-    return df.withColumn(out, F.when(F.col("_nulls") == 0, F.col("_s") / float(n * n))).drop("_v", "_s", "_nulls")
+    return _means(df, keys, {out: (value, "v")}, n)
 
 
 def _gradient(df, keys, z: str, dx: float, gcol: str, grow: str) -> DataFrame:
@@ -111,11 +132,12 @@ def mean_slope(px, keys, z: str = "z", dx: float = 1.0, n: int = 5, out: str = "
 
 
 def _slope_deviation(d, k, gc: str, gr: str, n: int, out: str):
-    for axis, g in (("_c", gc), ("_r", gr)):
-        d = _mean(d, k, F.col(g), n, f"_m{axis}")
-        d = _mean(d, k, F.col(g) * F.col(g), n, f"_q{axis}")
+    values = {}
+    for axis, g in (("_c", F.col(gc)), ("_r", F.col(gr))):
+        values |= {f"_m{axis}": (g, axis), f"_q{axis}": (g * g, axis)}
+    d = _means(d, k, values, n)
     var = lambda a: F.greatest(F.lit(0.0), F.col(f"_q{a}") - F.col(f"_m{a}") * F.col(f"_m{a}"))
-    return d.withColumn(out, F.sqrt(var("_c") + var("_r"))).drop("_m_c", "_q_c", "_m_r", "_q_r")
+    return d.withColumn(out, F.sqrt(var("_c") + var("_r"))).drop(*values)
 
 
 def slope_deviation(px, keys, z: str = "z", dx: float = 1.0, n: int = 5, out: str = "slope_dev", block=None):
@@ -190,11 +212,11 @@ def local_std(px, keys, value: str, n: int = 5, out: str = "local_std", block=No
 
     def fn(d, k):
         d = d.withColumn("_v", F.col(value)).withColumn("_vv", F.col(value) * F.col(value))
-        d = _box_sum(_box_sum(d, k, "_v", n, "_s"), k, "_vv", n, "_ss")
-        d = _count(d, k, F.col("_v").isNull(), n, "_nulls")
+        d = d.withColumn("_m", F.when(F.col("_v").isNull(), 1).otherwise(0).cast("long"))
+        d = _box_sums(d, k, {"_s": ("_v", False), "_ss": ("_vv", False), "_nulls": ("_m", True)}, n)
         var = (F.col("_ss") - F.col("_s") * F.col("_s") / size) / (size - 1)
         return d.withColumn(out, F.when(F.col("_nulls") == 0, F.sqrt(F.greatest(F.lit(0.0), var)))).drop(
-            "_v", "_vv", "_s", "_ss", "_nulls"
+            "_v", "_vv", "_m", "_s", "_ss", "_nulls"
         )
 
     return _inside_extent(_run(padded, keys, n, block, fn), px, keys)

@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from .blocks import along_col, along_row, blocked, core, with_halo
 
 
+def _last_index(axis: str, res: float, pad: float) -> Column:
+    return F.floor((F.col(f"{axis}1") - F.col(f"{axis}0") + 2 * pad) / res).cast("int")
+
+
+def tile_cells(tiles: DataFrame, res: float, buffer_px: int = 100) -> DataFrame:
+    """(tile_id, cells) of the tiles' lattices, without making them."""
+    pad = buffer_px * res
+    cells = (_last_index("y", res, pad) + 1).cast("long") * (_last_index("x", res, pad) + 1)
+    return tiles.select("tile_id", cells.alias("cells"))
+
+
 def tile_lattice(tiles: DataFrame, res: float, buffer_px: int = 100) -> DataFrame:
     """One row per cell of every tile: x ascending with col, y descending with row.
 
@@ -17,8 +28,7 @@ def tile_lattice(tiles: DataFrame, res: float, buffer_px: int = 100) -> DataFram
     that a single tile is spread over tasks before its columns are expanded.
     """
     pad = buffer_px * res
-    n_col = F.floor((F.col("x1") - F.col("x0") + 2 * pad) / res).cast("int")
-    n_row = F.floor((F.col("y1") - F.col("y0") + 2 * pad) / res).cast("int")
+    n_row, n_col = _last_index("y", res, pad), _last_index("x", res, pad)
     rows = tiles.select("*", F.explode(F.sequence(F.lit(0), n_row)).alias("row"))
     rows = rows.repartition("tile_id", "row")
     cells = rows.select("*", F.explode(F.sequence(F.lit(0), n_col)).alias("col"))

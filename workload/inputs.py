@@ -109,7 +109,7 @@ def with_inputs(names: list[str] | str, body: str) -> str:
     if any(n in PX_SQL for n in names) and "px" not in need:
         need.append("px")
     need += [n for n in names if n in PX_SQL]
-    ctes = ", ".join(f"{n} as ({_duck(n)})" for n in need)
+    ctes = ", ".join(f"{n} as materialized ({_duck(n)})" for n in need)
     body = body.strip()
     if not ctes:
         return body

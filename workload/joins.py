@@ -172,7 +172,7 @@ def _flagship(spark, sf):
     """Cover -> rank -> underprint -> percent filled for every tile."""
     c = cover(spark, sf).withColumn("z", F.when((F.col("qc") != 4) | (F.col("row") % 3 != 0), F.col("rmse") + F.col("row") / 64.0))
     s = get(spark, sf, "footprint").select("strip_id", "qc", F.col("strip_no").alias("idx"), F.when(F.col("qc") != 5, F.col("rmse")).alias("rmse"))
-    return pm.flagship(c.select("tile_id", "strip_id", "row", "col", "z"), lattice(spark, sf), s)
+    return pm.flagship(c.select("tile_id", "strip_id", "row", "col", "z"), get(spark, sf, "tiles"), s, RES, 0)
 
 
 # ---- control points -------------------------------------------------------------
