@@ -9,6 +9,7 @@ patterns made from it; pieces find their place by their rank within their length
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -22,19 +23,22 @@ from reliefgrid.llm.arrow import steps, texts
 from reliefgrid.rounds import Rounds
 
 #: Words whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 700_000
 #: Parts that a length's pieces are ranked in, so that one very frequent length isn't one task.
 RANK_PARTS = 256
 #: Words that are tokenised together.
 TOGETHER = 256
 
 
+#: A full stop or comma after a letter is a token of its own; set apart, it leaves one word fewer to remember.
+POINT = re.compile(rb"(?<=[a-z])(?=[.,])")
+
+
 class WordIds:
     """The ids of a text as those of its words, in little-endian 32-bit form.
 
     Right for tokenizers that lower-case and never join over white space, as the
-    word vocabularies with word ends do: a word's ids don't depend on its neighbours,
-    and a full stop or comma after a letter is a token of its own.
+    word vocabularies with word ends do: a word's ids don't depend on its neighbours.
     """
 
     def __init__(self, path: str):
@@ -42,47 +46,35 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {}
-
-    def _pack(self, ids: list[int]) -> bytes:
-        return array("I", ids).tobytes()
 
-    def _learn_cores(self, cores: list[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         """Letters-only words by the hundred: the ids of the k-th are those of the k-th pre-token."""
         plain, other = [], []
-        for c in cores:
-            s = c.decode("utf-8", "replace")
-            (plain if s.isalpha() else other).append((c, s))
+        for w in words:
+            s = w.decode("utf-8", "replace")
+            (plain if s.isalpha() else other).append((w, s))
         for i in range(0, len(plain), TOGETHER):
             some = plain[i : i + TOGETHER]
             found = self.tokenizer.encode(" ".join(s for _, s in some), add_special_tokens=False)
-            ids, at = found.ids, found.word_ids
+            at = found.word_ids
             if at and at[-1] == len(some) - 1 and len(set(at)) == len(some):
                 cuts = np.searchsorted(np.asarray(at), np.arange(len(some) + 1)).tolist()
-                packed = self._pack(ids)
-                self.cores.update((c, packed[4 * a : 4 * b]) for (c, _), a, b in zip(some, cuts, cuts[1:]))
+                packed = array("I", found.ids).tobytes()
+                self.known.update((w, packed[4 * a : 4 * b]) for (w, _), a, b in zip(some, cuts, cuts[1:]))
             else:
                 other += some
-        for (c, _), found in zip(other, self.tokenizer.encode_batch([s for _, s in other], add_special_tokens=False)):
-            self.cores[c] = self._pack(found.ids)
-
-    def _learn(self, words: set[bytes]) -> None:
-        split = {}
-        for w in words:
-            core = w[:-1] if w[-1:] in (b".", b",") and w[-2:-1].isalpha() else w
-            split[w] = (core, w[len(core) :])
-        self._learn_cores(list({x for pair in split.values() for x in pair if x and x not in self.cores}))
-        self.cores[b""] = b""
-        self.known.update((w, self.cores[a] + self.cores[b]) for w, (a, b) in split.items())
+        for i in range(0, len(other), TOGETHER):
+            some = other[i : i + TOGETHER]
+            for (w, _), found in zip(some, self.tokenizer.encode_batch([s for _, s in some], add_special_tokens=False)):
+                self.known[w] = array("I", found.ids).tobytes()
 
     def __call__(self, text: list[bytes | None]) -> Iterator[bytes]:
         """The packed ids of each text."""
-        words = [(t or b"").lower().split() for t in text]
-        if len(self.known) > REMEMBERED or len(self.cores) > REMEMBERED:
+        words = [POINT.sub(b" ", (t or b"").lower()).split() for t in text]
+        if len(self.known) > REMEMBERED:
             self.known.clear()
-            self.cores.clear()
         if new := {w for ws in words for w in ws} - self.known.keys():
-            self._learn(new)
+            self._learn(list(new))
         for ws in words:
             yield b"".join(map(self.known.__getitem__, ws))
 
