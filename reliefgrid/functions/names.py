@@ -57,6 +57,9 @@ VERSION_NO_REPORT = 3.0
 VERSION_NO_LINE = 2.03082016
 
 
+# Fixed values in both functions: versions, kernel widths in map units, shares and areas.
+
+
 def edge_mask_params(version: Column, dx: Column) -> dict[str, Column]:
     """Kernel, density and area limits of the edge mask by generator version."""
     old = version < 2.01292016

@@ -12,6 +12,7 @@ from ..operators.resample import resample_bands
 from ..operators.select import order_scenes
 from ..operators.solve import coregister
 from ..session import cut
+from ..sources.inventory import not_done
 
 # fixed values: fewest overlap / new cells, weight range, border trim
 MIN_CELLS = 1000
@@ -94,14 +95,16 @@ def build_segment(scenes: DataFrame, order: DataFrame, res: float, min_cells: in
     return crop_to_data(strip, ["strip_id"]), cut(used)
 
 
-def build_strips(scenes: DataFrame, res: float, min_cells: int = MIN_CELLS) -> tuple[DataFrame, DataFrame]:
-    """All strips in segments.
+def build_strips(scenes: DataFrame, res: float, min_cells: int = MIN_CELLS, done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """All strips in segments, but those that ``done`` (strip_id) lists.
 
     ``scenes``: strip_id, seq, row, col, z, mt, ortho on the common lattice,
     masks applied.  Scenes without data are dropped; what a gap or a failed
     alignment leaves over starts the next segment.  Returns pixels and
     alignment rows, both with ``segment``.
     """
+    if done is not None:
+        scenes = not_done(scenes, done, "strip_id")
     has = scenes.filter("z is not null").select("strip_id", "seq").distinct()
     left = cut(scenes.join(has, ["strip_id", "seq"], "left_semi"))
     px, rows = [], []
@@ -113,6 +116,10 @@ def build_strips(scenes: DataFrame, res: float, min_cells: int = MIN_CELLS) -> t
         px.append(cut(p.withColumn("segment", F.lit(segment))))
         rows.append(used.withColumn("segment", F.lit(segment)))
         left = cut(left.join(used.select("strip_id", "seq"), ["strip_id", "seq"], "left_anti"))
+    if not px:
+        empty = scenes.limit(0).withColumn("segment", F.lit(0))
+        zero = [F.lit(0.0).alias(c) for c in ("rmse", "dz", "dx", "dy")]
+        return empty.select("strip_id", "row", "col", "z", "mt", "ortho", "segment"), empty.select("strip_id", "seq", F.lit(0).alias("position"), *zero, "segment")
     out_px, out_rows = px[0], rows[0]
     for p, r in zip(px[1:], rows[1:]):
         out_px, out_rows = out_px.unionByName(p), out_rows.unionByName(r)

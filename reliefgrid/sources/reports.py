@@ -100,6 +100,9 @@ def scene_meta_lines(scenes: DataFrame, scene_meta: DataFrame) -> DataFrame:
     )
 
 
+# The words of all report lines below; readers look for them.
+
+
 def write_strip_meta(footprints: DataFrame, scenes: DataFrame, scene_meta: DataFrame | None = None) -> DataFrame:
     """strip_id, value: header, vertices, alignment table, scene reports.
 
