@@ -53,12 +53,19 @@ def clear_rounds(spark: SparkSession) -> None:
 _SHIPPED: set[str] = set()
 
 
+BATCH_ROWS = 1000  # rows of an Arrow batch: texts can be long, and both sides of the pipe hold a batch
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's modules to the workers, once per application.
 
     Functions that run in Python workers refer to their modules by name, and a
-    worker need not see the folder that the driver started from.
+    worker need not see the folder that the driver started from.  Arrow batches of the
+    session are held to BATCH_ROWS.
     """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(rows)) > BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
