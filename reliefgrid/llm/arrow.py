@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Text bytes that one step of a task holds at once; a longer single text is a step of its own.
-STEP_BYTES = 8 << 20
+STEP_BYTES = 2 << 20
 
 
 def texts(batch: pa.RecordBatch, column: str | int) -> list[bytes | None]:

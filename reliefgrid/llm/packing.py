@@ -23,7 +23,7 @@ from reliefgrid.llm.arrow import steps, texts
 from reliefgrid.rounds import Rounds
 
 #: Words whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 500_000
 #: Parts that a length's pieces are ranked in, so that one very frequent length isn't one task.
 RANK_PARTS = 256
 #: Words that are tokenised together.
