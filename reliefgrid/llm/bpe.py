@@ -17,8 +17,8 @@ import hashlib
 import json
 import math
 import re
-from collections.abc import Callable, Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reliefgrid.llm.arrow import steps
+
 
 def chunk_bytes(total: int) -> int:
-    """Text bytes of a chunk: 16 MB for a GB, growing with the root of the input up to 64 MB."""
-    return int(min(64 << 20, max(2 << 20, math.sqrt(3e5 * total))))
+    """Text bytes of a chunk: 12 MB for a GB, growing with the root of the input up to 64 MB."""
+    return int(min(64 << 20, max(2 << 20, math.sqrt(1.6e5 * total))))
 
 
 #: The characters of Unicode's White_Space property.
@@ -150,37 +152,92 @@ class Ranks:
         return F.transform(F.when(F.size(word) > 1, folded).otherwise(start), lambda e: own(e).cast("int"))
 
 
-def _split(text: str, units: re.Pattern, split: regex.Pattern, number: dict[str, int], known: dict[str, tuple[int, ...]]) -> Iterator[int]:
-    """The numbers of a text's words; new words get the next ones.
+#: Text bytes that a task deals into chunks at a time.
+PACKED_BYTES = 12 << 20
 
-    Text is first cut before white space that follows other characters: matches
-    never reach over that, and most cuts have been seen before.
-    """
 
-    def of(unit: str) -> tuple[int, ...]:
-        found = known.get(unit)
-        if found is None:
-            found = known[unit] = tuple(number.setdefault(w, len(number)) for w in split.findall(unit))
-        return found
+def packed(docs: DataFrame, chunks: int) -> DataFrame:
+    """(chunk, docs): rows of (key, doc_id, text) dealt by key into compressed Arrow batches, far fewer and smaller than the rows."""
+
+    def dealt(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        to = rows.column("key").to_numpy() % chunks
+        some = np.unique(to)
+        blobs = []
+        for c in some.tolist():
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 4))) as out:
+                out.write_table(rows.take(pa.array(np.flatnonzero(to == c))).combine_chunks())
+            blobs.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(some), pa.array(blobs, pa.binary())], ["chunk", "docs"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in steps(batches, "text"):
+            held.append(batch)
+            size += batch.column("text").nbytes
+            if size >= PACKED_BYTES:
+                yield dealt(held)
+                held, size = [], 0
+        if held:
+            yield dealt(held)
+
+    return docs.mapInArrow(run, "chunk long, docs binary")
+
 
-    return chain.from_iterable(map(of, units.findall(text)))
+#: White space before a space: there text isn't cut at spaces.
+UNSAFE = re.compile(f"[{SPACE}] ")
+UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
 
 class _Chunk:
-    """A chunk's documents as word numbers, and its distinct words by part, in the order of their numbers."""
+    """A chunk's documents, and its distinct words by part, in the order of their numbers.
+
+    Text is first cut into units before white space that follows other characters:
+    matches of the pattern never reach over that, and most units have been seen before.
+    Most cuts are at single spaces; such units are kept without theirs.
+    """
 
     def __init__(self, table: pa.Table, pattern: str, parts: int):
-        units, split = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+"), regex.compile(pattern)
-        known: dict[str, tuple[int, ...]] = {}
+        rows = pa.concat_tables([pa.ipc.open_stream(b.as_buffer()).read_all() for b in table.column("docs")])
+        order = np.argsort(rows.column("key").to_numpy(), kind="stable")
+        rows = rows.take(pa.array(order))
+        self.ids = rows.column("doc_id").to_pylist()
+        self.texts = [t or "" for t in rows.column("text").to_pylist()]
+        plain: dict[str, None] = {}
+        spaced: dict[str, None] = {}
+        for text in self.texts:
+            first, after = self.cut(text)
+            plain.update(dict.fromkeys(first))
+            spaced.update(dict.fromkeys(after))
+        split = regex.compile(pattern).findall
         number: dict[str, int] = {}
-        order = sorted(zip(table.column("key").to_pylist(), range(len(table))))
-        ids, texts = table.column("doc_id").to_pylist(), table.column("text")
-        self.ids = [ids[i] for _, i in order]
-        self.rows = [np.fromiter(_split(texts[i].as_py() or "", units, split, number, known), np.int32) for _, i in order]
+
+        def numbers(words: Sequence[str]) -> tuple[int, ...]:
+            return tuple([number.setdefault(w, len(number)) for w in words])
+
+        self.plain = {u: numbers(split(u)) for u in plain}
+        self.spaced: dict[str, tuple[int, ...]] = {}
+        for u in spaced:
+            if u.isalpha():
+                self.spaced[u] = numbers((f" {u}",))
+            elif u[-1:] in (".", ",") and u[:-1].isalpha():
+                self.spaced[u] = numbers((f" {u[:-1]}", u[-1]))
+            else:
+                self.spaced[u] = numbers(split(f" {u}"))
         self.words = [w.encode() for w in number]
+        del number
         part = np.array([xxhash.xxh3_64_intdigest(w) % parts for w in self.words], np.int64)
         self.by_part = {int(p): np.flatnonzero(part == p) for p in np.unique(part)}
 
+    @staticmethod
+    def cut(text: str) -> tuple[list[str], list[str]]:
+        """Units as they are, and after them units that a space precedes."""
+        if UNSAFE.search(text):
+            return UNITS.findall(text), []
+        first, *after = text.split(" ")
+        return [first], after
+
 
 def _words_of(pattern: str, parts: int) -> Callable[[tuple, pa.Table], pa.Table]:
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -211,7 +268,7 @@ def _distinct(table: pa.Table) -> pa.Table:
     return pa.table({"part": table.column("part")[:1], "chunks": chunks, "sent": pa.array([sent], pa.list_(pa.binary())), "words": pa.ListArray.from_arrays(np.array([0, len(number)], np.int32), letters)})
 
 
-def _returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _returned(kind: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(chunk, part, ids): the ids of the words that a chunk sent, with their numbers before."""
     for batch in batches:
         for k in range(batch.num_rows):
@@ -224,38 +281,49 @@ def _returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = np.frombuffer(row.as_buffer(), np.int32)
                 n = lengths[at]
                 places = np.repeat(cuts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                blobs.append(n.astype("<u4").tobytes() + flat[places].tobytes())
+                blobs.append(n.astype("<u4").tobytes() + flat[places].astype(kind).tobytes())
             chunks = batch.column("chunks")[k].values
             yield pa.RecordBatch.from_arrays([chunks, pa.array([batch.column("part")[k].as_py()] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())], ["chunk", "part", "ids"])
 
 
-def _joined(path: str, pattern: str, parts: int, ids_too: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _joined(path: str, pattern: str, parts: int, ids_too: bool, kind: str) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """The documents of a chunk from their words' ids."""
     kinds = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()} | ({"ids": pa.binary()} if ids_too else {})
 
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         chunk = _Chunk(table, pattern, parts)
-        coded: list[bytes] = [b""] * len(chunk.words)
+        tokens = {r: t for t, r in read_ranks(path).items()}
+        n = len(chunk.words)
+        del chunk.words
+        coded, decimal, decoded = [b""] * (n if ids_too else 0), [""] * n, [b""] * n
         for part, blob in zip(told.column("part").to_pylist(), told.column("ids").to_pylist()):
             at = chunk.by_part[part].tolist()
-            n = np.frombuffer(blob, "<u4", len(at))
-            cuts = (4 * len(at) + 4 * np.concatenate([[0], np.cumsum(n, dtype=np.int64)])).tolist()
+            lengths = np.frombuffer(blob, "<u4", len(at))
+            flat = np.frombuffer(blob, kind, -1, 4 * len(at)).tolist()
+            numbers, texts = list(map(str, flat)), list(map(tokens.__getitem__, flat))
+            cuts = [0, *np.cumsum(lengths, dtype=np.int64).tolist()]
             for i, a, b in zip(at, cuts, cuts[1:]):
-                coded[i] = blob[a:b]
-        tokens = {r: t for t, r in read_ranks(path).items()}
-        names = {r: str(r) for r in tokens}
-        ids = [np.frombuffer(c, "<i4").tolist() for c in coded]
-        decimal = [" ".join(map(names.__getitem__, x)) for x in ids]
-        decoded = [b"".join(map(tokens.__getitem__, x)) for x in ids]
-        lengths = np.array([len(x) for x in ids], np.int64)
-        out: list[tuple] = []
-        for i, row in zip(chunk.ids, chunk.rows):
-            some = row.tolist()
-            text = " ".join(map(decimal.__getitem__, some))
-            back = b"".join(map(decoded.__getitem__, some))
-            made = (i, int(lengths[row].sum()), hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(back).hexdigest())
-            out.append((*made, b"".join(map(coded.__getitem__, some))) if ids_too else made)
-        return pa.table([pa.array(c, kind) for c, kind in zip(zip(*out), kinds.values())], names=list(kinds))
+                decimal[i], decoded[i] = " ".join(numbers[a:b]), b"".join(texts[a:b])
+                if ids_too:
+                    coded[i] = np.array(flat[a:b], "<i4").tobytes()
+
+        def joined(joint: str | bytes, some: list) -> Iterator[str | bytes]:
+            """Each document's words' entries, joined; units that recur are joined once."""
+            plain, spaced = ({u: some[k[0]] if len(k) == 1 else joint.join([some[i] for i in k]) for u, k in units.items()} for units in (chunk.plain, chunk.spaced))
+            for text in chunk.texts:
+                first, after = chunk.cut(text)
+                yield joint.join([*map(plain.__getitem__, filter(None, first)), *map(spaced.__getitem__, after)])
+
+        digest = lambda b: hashlib.sha256(b).hexdigest()
+        # one kind after the other, so that one kind's units are held at a time
+        numbers, listed = [], []
+        for text in joined(" ", decimal):
+            numbers.append(text.count(" ") + 1 if text else 0)
+            listed.append(digest(text.encode()))
+        columns = [chunk.ids, numbers, listed, [digest(b) for b in joined(b"", decoded)]]
+        if ids_too:
+            columns.append(list(joined(b"", coded)))
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds))
 
     return run
 
@@ -270,11 +338,13 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = max(1, -(-total // chunk_bytes(total)))
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
-    dealt = named.withColumn("chunk", F.pmod("key", F.lit(chunks)))
+    dealt = packed(named.select("key", "doc_id", "text"), chunks)
     sent = dealt.groupBy("chunk").applyInArrow(_words_of(pattern, chunks), "part long, chunk long, words binary")
     distinct = sent.groupBy("part").applyInArrow(_distinct, "part long, chunks array<bigint>, sent array<binary>, words array<array<tinyint>>")
-    ranks = Ranks(read_ranks(path))
+    known = read_ranks(path)
+    kind = "<u2" if max(known.values()) < 1 << 16 else "<u4"
+    ranks = Ranks(known)
     coded = distinct.select("part", "chunks", "sent", ranks.encode(F.col("words")).alias("ids"))
-    told = coded.mapInArrow(_returned, "chunk long, part long, ids binary")
+    told = coded.mapInArrow(partial(_returned, kind), "chunk long, part long, ids binary")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if ids else "")
-    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_joined(path, pattern, chunks, ids), schema)
+    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_joined(path, pattern, chunks, ids, kind), schema)
