@@ -20,7 +20,7 @@ from reliefgrid.llm.arrow import steps, texts
 from reliefgrid.llm.pulearn import held_out
 
 #: At most so many toxic and so many other labelled texts are learned from; the ones first in hash order.
-SAMPLE = {1: 4000, 0: 8000}
+SAMPLE = {1: 3000, 0: 4500}
 BUCKETS = 1 << 20
 #: Features kept, by how far their share of toxic texts is from the others', of those in at least LEAST_TEXTS texts and FAR standard errors off.
 KEPT, LEAST_TEXTS, FAR = 4000, 4, 2.0
@@ -28,7 +28,7 @@ KEPT, LEAST_TEXTS, FAR = 4000, 4, 2.0
 GRADES = (0.5, 0.85)
 STEPS, RATE, DECAY = 400, 0.05, 1e-3
 #: P(grade > 0) from which a text counts as toxic: labelled toxic texts are about one in ten.
-TOXIC_FROM = 0.25
+TOXIC_FROM = 0.3
 EDGES = b".,;:!?\"'()[]{}<>|*#$%&"
 REMEMBERED = 1_000_000
 
@@ -65,8 +65,10 @@ def found(text: bytes | None, known: dict[bytes, tuple[int, ...]]) -> tuple[np.n
     return ids, n, len(words)
 
 
-def _samples(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> list:
+def _samples(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> tuple[list, dict[int, int]]:
+    """Features of the sampled texts, and how many texts of each label there are."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
+    of = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     parts = [known.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in SAMPLE.items()]
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
@@ -74,11 +76,11 @@ def _samples(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> list
         memory: dict[bytes, tuple[int, ...]] = {}
         for batch in steps(batches, "text"):
             rows = [found(t, memory) for t in texts(batch, "text")]
-            columns = [pa.array([r[0].astype(np.int32).tobytes() for r in rows], pa.binary()), pa.array([r[1].astype(np.int32).tobytes() for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.int64())]
+            columns = [pa.array([r[0].astype(np.int32).tobytes() for r in rows], pa.binary()), pa.array([np.minimum(r[1], 65535).astype(np.uint16).tobytes() for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.int64())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *columns], ["doc_id", "toxic", "ids", "n", "words"])
 
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # at most SAMPLE rows
-    return own.join(chosen, "doc_id").mapInArrow(run, "doc_id long, toxic int, ids binary, n binary, words long").orderBy("doc_id", "toxic", "words").collect()
+    return own.join(chosen, "doc_id").mapInArrow(run, "doc_id long, toxic int, ids binary, n binary, words long").orderBy("doc_id", "toxic", "words").collect(), of
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
@@ -88,12 +90,12 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     words - features far more frequent in toxic texts - against that of the other toxic
     texts. Without texts of both kinds the model grades everything 0.
     """
-    rows = _samples(docs, labels, doc_id, text)
+    rows, held = _samples(docs, labels, doc_id, text)
     toxic = np.array([r["toxic"] for r in rows], int)
     if not (toxic.any() and (1 - toxic).any()):
         return Model({}, 0.0, (30.0, 31.0, 32.0))
     ids = [np.frombuffer(r["ids"], np.int32) for r in rows]
-    n = [np.frombuffer(r["n"], np.int32) for r in rows]
+    n = [np.frombuffer(r["n"], np.uint16) for r in rows]
     words = np.array([r["words"] for r in rows], float)
     row = np.repeat(np.arange(len(rows)), [len(i) for i in ids])
     col, value = np.concatenate(ids), np.log1p(np.concatenate(n))
@@ -113,6 +115,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     edges = np.quantile(rate[toxic == 1], GRADES)
     grade = np.where(toxic == 1, 1 + (rate > edges[0]) + (rate > edges[1]), 0)
     length = np.log1p(words)
+    # the sample has its own shares of toxic and other texts; weights restore those of all labels
+    weight = np.where(toxic == 1, held[1] / total[1], held[0] / total[0])
+    weight /= weight.sum()
 
     w, per_words, t, gap = np.zeros(len(kept)), 0.0, 1.0, np.zeros(2)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -125,8 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         i = np.arange(len(rows))
         p = np.maximum(below[i, grade + 1] - below[i, grade], 1e-12)
         up, low = lean[i, grade + 1] / p, lean[i, grade] / p
-        df = (up - low) / len(rows)  # of the mean negative log-likelihood
-        dt = np.array([(np.where(grade == k, -up, 0) + np.where(grade == k + 1, low, 0)).sum() for k in range(3)]) / len(rows)
+        df = (up - low) * weight  # of the mean negative log-likelihood
+        dt = np.array([(weight * (np.where(grade == k, -up, 0) + np.where(grade == k + 1, low, 0))).sum() for k in range(3)])
         grad = np.concatenate([np.bincount(col, weights=value * df[row], minlength=len(kept)) + DECAY * w, [df @ length, dt.sum(), dt[1:].sum() * np.exp(gap[0]), dt[2] * np.exp(gap[1])]])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
