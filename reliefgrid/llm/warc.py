@@ -103,8 +103,8 @@ def _archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(start(), pa.binary())], ["frame"])
 
 
-def resolved(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(page_id, url, payload, digest, refers_to): who revisits whom.
+def resolved(pages: DataFrame, archives: int, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """(page_id, url, payload, digest, refers_to), dealt by page_id into ``archives`` partitions: who revisits whom.
 
     Of rows with equal payloads of at least LEAST_REVISIT bytes the one with the
     smallest page_id is the response; rows that share that page_id are responses, too.
@@ -115,8 +115,12 @@ def resolved(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
     seen = rows.where(F.octet_length("payload") >= LEAST_REVISIT).select("page_id", F.sha2("payload", 256).alias("digest"))
     first = seen.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = seen.join(first, "digest").where(F.col("page_id") > F.col("first")).groupBy("page_id", "digest").agg(F.min("first").alias("refers_to"))
-    return rows.withColumn("digest", F.sha2("payload", 256)).join(later, ["page_id", "digest"], "left")
+    # rows of one page_id are few: their revisits are a short list beside it, so that the join needs no key but page_id
+    later = seen.join(first, "digest").where(F.col("page_id") > F.col("first")).groupBy("page_id").agg(F.collect_set(F.struct("digest", "first")).alias("later"))
+    dealt = rows.repartition(archives, "page_id").withColumn("digest", F.sha2("payload", 256))
+    both = dealt.join(later.repartition(archives, "page_id"), "page_id", "left")
+    mine = F.get(F.filter("later", lambda x: x["digest"] == F.col("digest")), F.lit(0))["first"]
+    return both.select("page_id", "url", "payload", "digest", mine.alias("refers_to"))
 
 
 def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> None:
@@ -124,8 +128,7 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
     spark = pages.sparkSession
     total = pages.agg(F.sum(F.octet_length(html))).first()[0] or 0
     archives = max(1, -(-total // ARCHIVE_BYTES))
-    dealt = resolved(pages, page_id, url, html).repartition(archives, "page_id")
-    frames = dealt.mapInArrow(_archive, "frame binary").select(F.col("frame").cast("string").alias("value"))
+    frames = resolved(pages, archives, page_id, url, html).mapInArrow(_archive, "frame binary").select(F.col("frame").cast("string").alias("value"))
     frames.write.option("lineSep", EMPTY_FRAME).option("compression", "none").text(f"{folder}/parts")
     jvm = spark._jvm
     parts = jvm.org.apache.hadoop.fs.Path(f"{folder}/parts")
