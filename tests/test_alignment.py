@@ -116,3 +116,22 @@ def test_scene_order_matches_the_greedy_rule(spark):
     assert got == want
     first = {(r.strip_id, r.seq, r.position) for r in sel.order_scenes(d, segments=False).collect()}
     assert first == {(a, b, p) for a, b, g, p in want if g == 1}
+
+
+def test_registered_tiles_use_every_control_point(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from reliefgrid.plans import registration as pr
+    from workload import loops
+
+    cells = spark.range(1600).select((F.col("id") / 40).cast("int").alias("row"), (F.col("id") % 40).cast("int").alias("col"))
+    z = 100.0 + (F.col("row") * F.col("row") + F.col("col") * F.col("col")) / 16.0
+    px = cells.withColumns({"tile_id": F.lit("t"), "cluster": F.lit(2), "z": z, "ortho": F.lit(1), "mt": F.lit(True), "dy": F.lit(1)})
+    points = cells.filter("row between 5 and 34 and col between 5 and 34").select((F.col("row") * 40 + F.col("col")).cast("long").alias("gcp_id"), (F.col("col") * 8.0).alias("x"), (-F.col("row") * 8.0).alias("y"), F.lit(0.0).alias("z"))
+    used = []
+    fit = pr.register_to_points
+    monkeypatch.setattr(loops, "_tiles_px", lambda spark, sf: px)
+    monkeypatch.setattr(loops, "gp", lambda spark, sf: points)
+    monkeypatch.setattr(pr, "register_to_points", lambda px, pts, *a: used.append(pts.count()) or fit(px, pts, *a))
+    assert loops._r5(spark, "").count() == 1600
+    assert used == [900]

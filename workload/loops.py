@@ -209,7 +209,7 @@ def _r5(spark, sf):
     g = gp(spark, sf)
     c, r = F.col("x") / 8.0, -F.col("y") / 8.0
     g = g.withColumn("z", 100.0 + (c * c + 2 * r * r / 64.0 + r * c / 16.0) / 16.0)
-    return pr.register_tiles(t, g, 8.0, 200)[0]
+    return pr.register_tiles(t, g, 8.0)[0]
 
 
 @query("r6_align_tiles")
