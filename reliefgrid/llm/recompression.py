@@ -343,7 +343,7 @@ def _later(buckets: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _kept_of(doc_id: str, text: str, width: int, names: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _kept_of(doc_id: str, text: str, width: int, names: list[str], new: tuple[str, str, str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         rows = _rows(told.column("rows").to_pylist())
         held = _Texts(table, doc_id, text)
@@ -369,14 +369,14 @@ def _kept_of(doc_id: str, text: str, width: int, names: list[str]) -> Callable[[
             n_removed.append(gone)
             kept.append(b" ".join(words))
         own = table.take(pa.array(held.order, pa.int64())).select(names)
-        made = {"n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.binary()).cast(pa.string())}
-        return pa.Table.from_arrays([*own.columns, *made.values()], names=[*names, *made])
+        made = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+        return pa.Table.from_arrays([*own.columns, *made], names=[*names, *new])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = 13, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all, unless named) of each row, with n_words, n_removed and kept.
+def remove_repeats(docs: DataFrame, width: int = 13, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None, new: tuple[str, str, str] = ("n_words", "n_removed", "kept")) -> DataFrame:
+    """The columns ``keep`` (all, unless named) of each row, with n_words, n_removed and kept, or as ``new`` names these.
 
     ``kept`` holds, joined by one space, the words outside every window of ``width``
     words that also begins in a document with a smaller doc_id; windows are judged on
@@ -386,7 +386,7 @@ def remove_repeats(docs: DataFrame, width: int = 13, doc_id: str = "doc_id", tex
     count as smaller. An input column with the name of a new one raises an error.
     """
     keep = docs.columns if keep is None else keep
-    if taken := {c.lower() for c in keep} & {"n_words", "n_removed", "kept"}:
+    if taken := {c.lower() for c in keep} & {c.lower() for c in new}:
         raise ValueError(f"the input already has {sorted(taken)}")
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes(total)))
@@ -408,9 +408,9 @@ def remove_repeats(docs: DataFrame, width: int = 13, doc_id: str = "doc_id", tex
     told = names.groupBy("bucket").applyInArrow(_shared(buckets), rows)
     seen = judged.groupBy(bucket).cogroup(told.groupBy("bucket")).applyInArrow(_windows_of(doc_id, text, width, buckets), rows)
     later = seen.groupBy("bucket").applyInArrow(_later(buckets), rows)
-    schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
-    out = judged.groupBy(bucket).cogroup(later.groupBy("bucket")).applyInArrow(_kept_of(doc_id, text, width, keep), schema)
+    schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(c, k) for c, k in zip(new, (T.LongType(), T.LongType(), T.StringType())))])
+    out = judged.groupBy(bucket).cogroup(later.groupBy("bucket")).applyInArrow(_kept_of(doc_id, text, width, keep, new), schema)
     unnamed = docs.where(F.col(doc_id).isNull())
     words = F.filter(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "[ \\t-\\r]+"), lambda w: w != "")
-    rest = unnamed.select(*keep, F.size(words).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.array_join(words, " ").alias("kept"))
+    rest = unnamed.select(*keep, F.size(words).cast("long").alias(new[0]), F.lit(0).cast("long").alias(new[1]), F.array_join(words, " ").alias(new[2]))
     return out.unionByName(rest)

@@ -154,3 +154,17 @@ def test_stages(spark, rounds, words, tmp_path):
     assert all(r["n_chars"] == len(r["text"]) for r in found.values())
     packed = P.STAGES[-1][1](spark, kept, str(tmp_path)).collect()
     assert {r["doc_id"] for r in packed} == set(ids)
+
+
+def test_substring_stage_keeps_columns_with_the_names_of_its_own(spark, words, tmp_path):
+    import corpus_pipeline as P
+
+    passage = words(30)
+    docs = spark.createDataFrame([(i, f"{words(20)} {passage} {words(20)}", None) for i in (1, 2)] + [(None, "a b", None)], "doc_id long, text string, n_chars long")
+    want = {r["doc_id"]: r["text"] for r in P.substring_dedup(spark, docs, str(tmp_path)).collect()}
+    named = docs.withColumns({"n_words": F.lit("a"), "N_Removed": F.lit(7), "kept": F.lit(None).cast("int")})
+    got = P.substring_dedup(spark, named, str(tmp_path))
+    assert got.columns == named.columns
+    rows = got.collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == want and passage not in want[2]
+    assert all((r["n_words"], r["N_Removed"], r["kept"]) == ("a", 7, None) for r in rows)
