@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliefgrid.llm import bpe, multiindex, ordinal, outliers, packing, pulearn, recompression, sharding, simhash, warc
+from reliefgrid.llm import bpe, clusters, multiindex, ordinal, outliers, packing, pulearn, recompression, sharding, simhash, warc
 from reliefgrid.rounds import Rounds, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,39 @@ select page_id, payload_bytes, payload_digest, case when first < page_id then 'r
   case when first < page_id then first end as refers_to
 from f
 """
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.clustered(table(spark, sf_dir, "embeddings"), Rounds(spark, "centroids"))
+
+
+def _centroids_sql(turns: int) -> str:
+    assign = """a{t} as materialized (
+  select k.r, any_value(k.vec_id) as vec_id, any_value(k.x) as x, min(list_sum(list_transform(list_zip(k.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint * 8 + c.c) as m
+  from kept k, c{t} c group by k.r
+)"""
+    move = """c{u} as materialized (
+  select c.c, coalesce(n.x, c.x) as x from c{t} c left join (
+    select c, list(f order by i) as x from (
+      select c, i, (s - ((s % n) + n) % n) // n as f from (
+        select c, i, sum(x)::bigint as s, count(*) as n from (select m % 8 as c, unnest(x) as x, unnest(range(64)) as i from a{t}) group by c, i
+      )
+    ) group by c
+  ) n on n.c = c.c
+)"""
+    steps = [s.format(t=t, u=t + 1) for t in range(turns) for s in (assign, move)] + [assign.format(t=turns)]
+    return f"""
+with kept as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda e: floor(1024 * e::double)::bigint) as x from embeddings
+  where embedding is not null and len(embedding) = 64 and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0
+), c0 as materialized (
+  select row_number() over (order by sha256('3:' || vec_id), x) - 1 as c, x from kept order by sha256('3:' || vec_id), x limit 8
+), {", ".join(steps)}
+select a.vec_id, (m % 8)::int as cluster, (m // 8)::bigint as distance, (sum(m // 8) over (partition by m % 8))::bigint as cluster_inertia,
+  (sum(m // 8) over ())::bigint as inertia, sha256(array_to_string(c.x, ',')) as centroid_sha256
+from a{turns} a join c{turns} c on a.m % 8 = c.c
+"""
+
+
+ORACLES["op13_centroids"] = _centroids_sql(10)
