@@ -44,11 +44,11 @@ def integers(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embed
     return vectors.where(F.coalesce(whole, F.lit(False))).select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("x"))
 
 
-def first_centroids(rows: DataFrame, k: int, seed: int) -> np.ndarray:
+def first_centroids(rows: DataFrame, k: int, seed: int, size: int) -> np.ndarray:
     """The ``k`` vectors with the smallest SHA-256 of "seed:vec_id", in that order; null ids come last."""
     digest = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
     first = rows.orderBy(digest.asc_nulls_last(), "x").select("x").limit(k).collect()
-    return np.array([r["x"] for r in first], np.int64).reshape(len(first), -1)
+    return np.array([r["x"] for r in first], np.int64).reshape(len(first), size)
 
 
 def nearest(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -138,7 +138,7 @@ def clustered(vectors: DataFrame, rounds: Rounds, k: int = 8, turns: int = 10, s
     names, are not read.
     """
     rows = rounds.put(integers(vectors, size=size), "integers")
-    centroids = first_centroids(rows, k, seed)
+    centroids = first_centroids(rows, k, seed, size)
     for _ in range(turns if len(centroids) else 0):
         centroids = moved(rows, centroids)
     schema = "cluster int, cluster_inertia long, inertia long, centroid_sha256 string"
