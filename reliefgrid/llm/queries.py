@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliefgrid.llm import bpe, clusters, multiindex, ordinal, outliers, packing, pulearn, recompression, sharding, simhash, warc
+from reliefgrid.llm import bpe, clusters, multiindex, ordinal, outliers, packing, pulearn, ranked, recompression, sharding, simhash, warc
 from reliefgrid.rounds import Rounds, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,33 @@ from a{turns} a join c{turns} c on a.m % 8 = c.c
 
 
 ORACLES["op13_centroids"] = _centroids_sql(10)
+
+
+@query
+def op12_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Rounds(spark, "ranked"))
+
+
+ORACLES["op12_pair_maxscore"] = r"""
+with d as materialized (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+  from documents where text is not null
+), sized as materialized (
+  select doc_id, terms, len(terms)::bigint as n from d where len(terms) > 0
+), totals as materialized (
+  select count(*)::bigint as n_docs, sum(n)::bigint as total from sized
+), asked as materialized (
+  select distinct item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark
+), postings as materialized (
+  select term, doc_id, n, count(*)::bigint as tf from (select doc_id, n, unnest(terms) as term from sized)
+  where term in (select term from asked) group by term, doc_id, n
+), weights as materialized (
+  select term, floor(1000 * ln((2 * any_value(n_docs) + 2)::double / (2 * count(*) + 1)::double))::bigint as w from postings, totals group by term
+), scored as (
+  select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // total))))::bigint as score
+  from asked join postings using (term) join weights using (term), totals group by item_id, doc_id
+)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
+from scored where score > 0 qualify rank <= 50
+"""
