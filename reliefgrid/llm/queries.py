@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliefgrid.llm import bpe, clusters, multiindex, ordinal, outliers, packing, pulearn, ranked, recompression, sharding, simhash, warc
+from reliefgrid.llm import bpe, clusters, multiindex, ordinal, outliers, packing, personal, pulearn, ranked, recompression, sharding, simhash, warc
 from reliefgrid.rounds import Rounds, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -213,3 +213,9 @@ with d as materialized (
 select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as rank, doc_id, score
 from scored where score > 0 qualify rank <= 50
 """
+
+
+@query
+def op11_crf_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return personal.find(docs, personal.learn(personal.labelled(docs)))
