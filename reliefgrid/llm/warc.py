@@ -21,6 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reliefgrid.llm.arrow import steps
 from reliefgrid.rounds import delete
 
 # Fixed values of the formats: the magic numbers of a skippable frame and of the one with the dictionary.
@@ -37,22 +38,24 @@ LEVEL = 6
 READ_BYTES = 64 << 10
 
 
-def record_id(page_id: int) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page {page_id}')}>"
+def record_id(page_id: int | None, also: str = "") -> str:
+    """A record's name, from its page_id; without one, from its url and digest."""
+    name = f"page {page_id}" if page_id is not None else f"unnamed {also}"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, name)}>"
 
 
-def record(page_id: int, url: str | None, payload: bytes, refers_to: int | None, digest: str) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, digest: str) -> bytes:
     """One response, or a revisit of the page ``refers_to``."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: {record_id(page_id)}",
+        f"WARC-Record-ID: {record_id(page_id, f'{url} {digest}')}",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Target-URI: {(url or 'about:blank').translate({13: '%0D', 10: '%0A'})}",
         f"WARC-Payload-Digest: sha256:{digest}",
-        f"WARC-Page-ID: {page_id}",
+        *([f"WARC-Page-ID: {page_id}"] if page_id is not None else []),
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(block)}",
     ]
@@ -86,7 +89,7 @@ def _archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting.clear()
         return out
 
-    for batch in batches:
+    for batch in steps(batches, "payload"):
         frames = []
         for r in batch.to_pylist():
             made = record(r["page_id"], r["url"], (r["payload"] or "").encode(), r["refers_to"], r["digest"])
@@ -108,19 +111,20 @@ def resolved(pages: DataFrame, archives: int, page_id: str = "page_id", url: str
 
     Of rows with equal payloads of at least LEAST_REVISIT bytes the one with the
     smallest page_id is the response; rows that share that page_id are responses, too.
-    A null page_id can't name a record and raises an error in the writing task. Null
-    payloads are empty. Only digests are grouped; a payload moves once.
+    Rows without a page_id are responses that nothing refers to; their records have no
+    page id. Null payloads are empty. Only digests are grouped; a payload moves once.
     """
     payload = F.coalesce(F.col(html).cast("string"), F.lit(""))
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
-    seen = rows.where(F.octet_length("payload") >= LEAST_REVISIT).select("page_id", F.sha2("payload", 256).alias("digest"))
+    seen = rows.where((F.octet_length("payload") >= LEAST_REVISIT) & F.col("page_id").isNotNull()).select("page_id", F.sha2("payload", 256).alias("digest"))
     first = seen.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     # rows of one page_id are few: their revisits are a short list beside it, so that the join needs no key but page_id
     later = seen.join(first, "digest").where(F.col("page_id") > F.col("first")).groupBy("page_id").agg(F.collect_set(F.struct("digest", "first")).alias("later"))
-    dealt = rows.repartition(archives, "page_id").withColumn("digest", F.sha2("payload", 256))
+    unnamed = rows.where("page_id is null").repartition(archives).withColumn("digest", F.sha2("payload", 256))
+    dealt = rows.where("page_id is not null").repartition(archives, "page_id").withColumn("digest", F.sha2("payload", 256))
     both = dealt.join(later.repartition(archives, "page_id"), "page_id", "left")
     mine = F.get(F.filter("later", lambda x: x["digest"] == F.col("digest")), F.lit(0))["first"]
-    return both.select("page_id", "url", "payload", "digest", mine.alias("refers_to"))
+    return both.select("page_id", "url", "payload", "digest", mine.alias("refers_to")).unionByName(unnamed.withColumn("refers_to", F.lit(None).cast("long")))
 
 
 def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> None:
@@ -195,8 +199,8 @@ def read(spark, folder: str, payloads: bool = False) -> DataFrame:
                         size = len(body)
                     else:
                         size = int(http.split(b"Content-Length: ")[1])
-                    refers = fields.get("warc-refers-to-page-id")
-                    rows.append({"page_id": int(fields["warc-page-id"]), "payload_bytes": size, "payload_digest": digest, "record_type": fields["warc-type"], "refers_to": int(refers) if refers else None, "url": fields["warc-target-uri"], "payload": body.decode() if response and payloads else None})
+                    page, refers = fields.get("warc-page-id"), fields.get("warc-refers-to-page-id")
+                    rows.append({"page_id": int(page) if page else None, "payload_bytes": size, "payload_digest": digest, "record_type": fields["warc-type"], "refers_to": int(refers) if refers else None, "url": fields["warc-target-uri"], "payload": body.decode() if response and payloads else None})
                     if len(rows) == 500:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows = []

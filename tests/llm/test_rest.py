@@ -75,7 +75,7 @@ def page_rows():
     same = body(60)
     rows = [(i, f"http://h{i % 3}/{i}", body(rng.randrange(1, 200))) for i in range(80)]
     rows += [(200 + i, "http://copy/\r\nX-Evil: 1", same) for i in range(25)] + [(300, None, None), (301, "u", ""), (302, "u", "short"), (303, "u", "short")]
-    return rows + [rows[4], (5, "again", rows[4][2])]
+    return rows + [rows[4], (5, "again", rows[4][2]), (None, "n", same), (None, "n", same), (None, None, None)]
 
 
 def test_archives(spark, rounds, tmp_path):
@@ -88,11 +88,11 @@ def test_archives(spark, rounds, tmp_path):
     assert len(got) == len(rows)
     first = {}
     for i, _, h in rows:
-        if len((h or "").encode()) >= warc.LEAST_REVISIT:
+        if i is not None and len((h or "").encode()) >= warc.LEAST_REVISIT:
             first[h] = min(first.get(h, i), i)
     want = []
     for i, _, h in rows:
-        revisit = first.get(h, i) < i
+        revisit = i is not None and first.get(h, i) < i
         payload = (h or "").encode()
         want.append((i, len(payload), hashlib.sha256(payload).hexdigest(), "revisit" if revisit else "response", first[h] if revisit else None, None if revisit else h or ""))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
