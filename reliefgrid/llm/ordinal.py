@@ -80,7 +80,10 @@ def _samples(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> tupl
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), *columns], ["doc_id", "toxic", "ids", "n", "words"])
 
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # at most SAMPLE rows
-    return own.join(chosen, "doc_id").mapInArrow(run, "doc_id long, toxic int, ids binary, n binary, words long").orderBy("doc_id", "toxic", "words").collect(), of
+    made = own.join(chosen, "doc_id").mapInArrow(run, "doc_id long, toxic int, ids binary, n binary, words long")
+    # of documents with one doc_id the least is learned from
+    one = made.groupBy("doc_id", "toxic").agg(F.min(F.struct("words", "ids", "n")).alias("r")).select("doc_id", "toxic", "r.ids", "r.n", "r.words")
+    return one.orderBy("doc_id", "toxic").collect(), of
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:

@@ -90,7 +90,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     Labels of held-out rows are not read. The prior is the share of label 1 among the
     other labels; the unlabelled sample is taken from the documents outside the held-out
-    rows whatever their labels. Without positives or texts the model scores the prior
+    rows whatever their labels. Of documents with one doc_id one is learned from. Without positives or texts the model scores the prior
     everywhere. Rows with a null id or label teach nothing.
     """
     known = labels.where(F.col("quality").isNotNull() & ~held_out()).select("doc_id", "quality")
@@ -105,8 +105,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             packed = pa.array([r.tobytes() for r in rows], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("kind"), packed], ["doc_id", "kind", "row"])
 
-    # At most 2 x SAMPLE ids go to the scans and as many rows of numbers come back.
-    found = own.join(F.broadcast(chosen), "doc_id").mapInArrow(run, "doc_id long, kind int, row binary").orderBy("kind", "doc_id").toPandas()
+    # At most 2 x SAMPLE ids go to the scans and as many rows of numbers come back: of rows with one id the least.
+    made = own.join(F.broadcast(chosen), "doc_id").mapInArrow(run, "doc_id long, kind int, row binary")
+    found = made.groupBy("kind", "doc_id").agg(F.min("row").alias("row")).orderBy("kind", "doc_id").toPandas()
     rows = {k: np.array([np.frombuffer(r, np.float32) for r in found["row"][found["kind"] == k]], np.float32).reshape(-1, 262) for k in (0, 1)}
     everything = np.concatenate([rows[0], rows[1]])
     mean = everything.mean(axis=0) if len(everything) else np.zeros(262)
