@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reliefgrid.llm.arrow import fresh
 from reliefgrid.rounds import Rounds
 
 ROUNDS = 6
@@ -68,26 +69,36 @@ def numbered(rows: DataFrame, order: list[str], rounds: Rounds, name: str = "row
     """The rows with gapless numbers from 0 in the order of ``order``, and their count.
 
     Rows are dealt by range and numbered inside each range; the ranges' counts,
-    one per partition, give the offsets. Equal rows get different numbers.
+    one per partition, give the offsets. Equal rows get different numbers. A column
+    called ``name`` raises an error; others keep their names and values.
     """
-    ranges = rounds.put(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ranges")
-    split = ranges.withColumn("_range", F.shiftright("_at", 33)).withColumn("_in", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
-    sums = rounds.put(split.groupBy("_range").agg(F.count("*").alias("_n")), "sums")
-    total = sums.agg(F.sum("_n")).first()[0] or 0
-    before = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")
-    out = split.join(F.broadcast(sums.select("_range", before.alias("_before"))), "_range")
-    return out.withColumn(name, F.col("_before") + F.col("_in")).drop("_at", "_range", "_in", "_before", "_n"), total
+    _free(rows, name)
+    place, part, inside, n, before = (fresh(rows.columns, c) for c in ("_at", "_range", "_in", "_n", "_before"))
+    ranges = rounds.put(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(place, F.monotonically_increasing_id()), "ranges")
+    split = ranges.withColumn(part, F.shiftright(place, 33)).withColumn(inside, F.col(place).bitwiseAND(F.lit((1 << 33) - 1)))
+    sums = rounds.put(split.groupBy(part).agg(F.count("*").alias(n)), "sums")
+    total = sums.agg(F.sum(n)).first()[0] or 0
+    offset = F.sum(n).over(Window.orderBy(part)) - F.col(n)
+    out = split.join(F.broadcast(sums.select(part, offset.alias(before))), part)
+    return out.withColumn(name, F.col(before) + F.col(inside)).select(*rows.columns, name), total
+
+
+def _free(rows: DataFrame, *names: str) -> None:
+    if taken := {c.lower() for c in rows.columns} & {c.lower() for c in names}:
+        raise ValueError(f"the input already has {sorted(taken)}")
 
 
 def shard(rows: DataFrame, n: int, shards: int, seed: int = 0, number: str = "row_number") -> DataFrame:
-    """Rows numbered 0..n-1 with their shard (int) and slot (long)."""
+    """Rows numbered 0..n-1 with their shard (int) and slot (long); columns called so raise an error, others stay."""
+    _free(rows, "shard", "slot")
+    made = fresh(rows.columns, "_image")
 
     @F.pandas_udf("long")
     def image(numbers: pd.Series) -> pd.Series:
         return pd.Series(permute(numbers.to_numpy(), n, seed))
 
-    at = rows.withColumn("_image", image(F.col(number)))
-    return at.withColumn("shard", F.pmod("_image", F.lit(shards)).cast("int")).withColumn("slot", F.floor(F.col("_image") / F.lit(shards)).cast("long")).drop("_image")
+    at = rows.withColumn(made, image(F.col(number)))
+    return at.withColumn("shard", F.pmod(made, F.lit(shards)).cast("int")).withColumn("slot", F.floor(F.col(made) / F.lit(shards)).cast("long")).drop(made)
 
 
 def locate(number: int, n: int, shards: int, seed: int = 0) -> tuple[int, int]:

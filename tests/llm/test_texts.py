@@ -279,8 +279,38 @@ def test_shards(documents, empty, rounds):
         assert all(sharding.locate(r["row_number"], n, 4, 1) == (r["shard"], r["slot"]) for r in got)
         sizes = [sorted(r["slot"] for r in got if r["shard"] == s) for s in range(4)]
         assert all(s == list(range(len(s))) for s in sizes) and max(map(len, sizes)) - min(map(len, sizes)) <= 1
-    order = [r["doc_id"] for r in sorted(rows.collect(), key=lambda r: r["row_number"])]
-    assert order == sorted(order)
+        order = [(r["doc_id"] is not None, r["doc_id"] or 0, r["text"] is not None, r["text"] or "") for r in sorted(got, key=lambda r: r["row_number"])]
+        assert [o[:2] for o in order] == sorted(o[:2] for o in order)
+
+
+def test_shards_keep_other_columns(documents, rounds):
+    from reliefgrid.llm import sharding
+
+    docs = documents.selectExpr("doc_id", "text", *(f"doc_id * {i} as {c}" for i, c in enumerate(("_at", "_range", "_in", "_n", "_before", "_image"))))
+    rows, n = sharding.numbered(docs, ["doc_id"], rounds())
+    got = sharding.shard(rows, n, 4)
+    assert got.columns == [*docs.columns, "row_number", "shard", "slot"]
+    assert all(r["_image"] == (None if r["doc_id"] is None else 5 * r["doc_id"]) for r in got.collect())
+    with pytest.raises(ValueError):
+        sharding.numbered(docs.withColumn("ROW_number", docs["doc_id"]), ["doc_id"], rounds())
+    with pytest.raises(ValueError):
+        sharding.shard(rows.withColumn("slot", rows["doc_id"]), n, 4)
+
+
+def test_samples_take_one_row_of_a_repeated_id(spark, documents):
+    from reliefgrid.llm import ordinal, pulearn
+
+    some = documents.where("doc_id is not null")
+    more = some
+    for k in range(3):
+        more = more.unionByName(some.withColumn("text", some["text"]))
+    labels = some.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality", "cast(doc_id % 2 as int) as toxic").distinct()
+    one, many = (ordinal._samples(d, labels, "doc_id", "text")[0] for d in (some.dropDuplicates(["doc_id", "text"]), more))
+    assert [tuple(r) for r in one] == [tuple(r) for r in many] and len({r["doc_id"] for r in many}) == len(many)
+    a, b = pulearn.fit(some, labels), pulearn.fit(more, labels)
+    assert (a.weights == b.weights).all() and a.bias == b.bias
+    with pytest.raises(ValueError):
+        pulearn.score(some.withColumn("Score", some["doc_id"]), a)
 
 
 # ---- 9: BPE
