@@ -19,6 +19,7 @@ import math
 import re
 from collections.abc import Callable, Iterator, Sequence
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reliefgrid.llm.arrow import steps
+from reliefgrid.llm.arrow import lean, steps
 
 
 def chunk_bytes(total: int) -> int:
@@ -204,12 +205,10 @@ class _Chunk:
         rows = rows.take(pa.array(order))
         self.ids = rows.column("doc_id").to_pylist()
         self.texts = [t or "" for t in rows.column("text").to_pylist()]
-        plain: dict[str, None] = {}
-        spaced: dict[str, None] = {}
-        for text in self.texts:
-            first, after = self.cut(text)
-            plain.update(dict.fromkeys(first))
-            spaced.update(dict.fromkeys(after))
+        del rows
+        self.unsafe = [bool(UNSAFE.search(t)) for t in self.texts]
+        plain = dict.fromkeys(chain.from_iterable(self.first()))
+        spaced = dict.fromkeys(chain.from_iterable(self.after()))
         split = regex.compile(pattern).findall
         number: dict[str, int] = {}
 
@@ -217,11 +216,12 @@ class _Chunk:
             return tuple([number.setdefault(w, len(number)) for w in words])
 
         self.plain = {u: numbers(split(u)) for u in plain}
-        self.spaced: dict[str, tuple[int, ...]] = {}
+        letters = [u for u in spaced if u.isalpha()]
+        self.spaced: dict[str, tuple[int, ...]] = {u: (number.setdefault(f" {u}", len(number)),) for u in letters}
         for u in spaced:
-            if u.isalpha():
-                self.spaced[u] = numbers((f" {u}",))
-            elif u[-1:] in (".", ",") and u[:-1].isalpha():
+            if u in self.spaced:
+                continue
+            if u[-1:] in (".", ",") and u[:-1].isalpha():
                 self.spaced[u] = numbers((f" {u[:-1]}", u[-1]))
             else:
                 self.spaced[u] = numbers(split(f" {u}"))
@@ -230,13 +230,15 @@ class _Chunk:
         part = np.array([xxhash.xxh3_64_intdigest(w) % parts for w in self.words], np.int64)
         self.by_part = {int(p): np.flatnonzero(part == p) for p in np.unique(part)}
 
-    @staticmethod
-    def cut(text: str) -> tuple[list[str], list[str]]:
-        """Units as they are, and after them units that a space precedes."""
-        if UNSAFE.search(text):
-            return UNITS.findall(text), []
-        first, *after = text.split(" ")
-        return [first], after
+    def first(self) -> Iterator[Sequence[str]]:
+        """Each text's units that stay as they are: the first one, or all of a text that isn't cut at spaces."""
+        for text, unsafe in zip(self.texts, self.unsafe):
+            yield UNITS.findall(text) if unsafe else (text.partition(" ")[0],)
+
+    def after(self) -> Iterator[Sequence[str]]:
+        """Each text's units that a space precedes."""
+        for text, unsafe in zip(self.texts, self.unsafe):
+            yield () if unsafe else text.split(" ")[1:]
 
 
 def _words_of(pattern: str, parts: int) -> Callable[[tuple, pa.Table], pa.Table]:
@@ -310,8 +312,7 @@ def _joined(path: str, pattern: str, parts: int, ids_too: bool, kind: str) -> Ca
         def joined(joint: str | bytes, some: list) -> Iterator[str | bytes]:
             """Each document's words' entries, joined; units that recur are joined once."""
             plain, spaced = ({u: some[k[0]] if len(k) == 1 else joint.join([some[i] for i in k]) for u, k in units.items()} for units in (chunk.plain, chunk.spaced))
-            for text in chunk.texts:
-                first, after = chunk.cut(text)
+            for first, after in zip(chunk.first(), chunk.after()):
                 yield joint.join([*map(plain.__getitem__, filter(None, first)), *map(spaced.__getitem__, after)])
 
         digest = lambda b: hashlib.sha256(b).hexdigest()
@@ -339,12 +340,12 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
     chunks = max(1, -(-total // chunk_bytes(total)))
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
     dealt = packed(named.select("key", "doc_id", "text"), chunks)
-    sent = dealt.groupBy("chunk").applyInArrow(_words_of(pattern, chunks), "part long, chunk long, words binary")
-    distinct = sent.groupBy("part").applyInArrow(_distinct, "part long, chunks array<bigint>, sent array<binary>, words array<array<tinyint>>")
+    sent = dealt.groupBy("chunk").applyInArrow(lean(_words_of(pattern, chunks)), "part long, chunk long, words binary")
+    distinct = sent.groupBy("part").applyInArrow(lean(_distinct), "part long, chunks array<bigint>, sent array<binary>, words array<array<tinyint>>")
     known = read_ranks(path)
     kind = "<u2" if max(known.values()) < 1 << 16 else "<u4"
     ranks = Ranks(known)
     coded = distinct.select("part", "chunks", "sent", ranks.encode(F.col("words")).alias("ids"))
     told = coded.mapInArrow(partial(_returned, kind), "chunk long, part long, ids binary")
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids binary" if ids else "")
-    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_joined(path, pattern, chunks, ids, kind), schema)
+    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(lean(_joined(path, pattern, chunks, ids, kind)), schema)
