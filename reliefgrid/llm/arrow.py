@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
+from inspect import signature
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,6 +35,31 @@ def steps(batches: Iterator[pa.RecordBatch], column: str | int, most: int = STEP
             yield batch.slice(begin)
 
 
+def release() -> None:
+    """Give freed memory back to the system; Python workers live on from task to task and keep it else."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def lean(fn: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """``fn`` of a group's table, or of two arguments, which gives back what it has freed."""
+
+    def run(table):
+        try:
+            return fn(table)
+        finally:
+            release()
+
+    def run_two(first, second):
+        try:
+            return fn(first, second)
+        finally:
+            release()
+
+    return run if len(signature(fn).parameters) == 1 else run_two
+
+
 def fresh(taken: list[str], name: str) -> str:
     """``name``, with underscores before it where the caller's columns hold it already."""
     held = {c.lower() for c in taken}
@@ -42,7 +69,9 @@ def fresh(taken: list[str], name: str) -> str:
 
 
 def append(rows: DataFrame, text: str, values: Callable[[list[bytes | None]], Sequence], name: str, kind: T.DataType) -> DataFrame:
-    """All columns of ``rows`` and one more, made from the texts of each step of a batch."""
+    """All columns of ``rows`` and one more, made from the texts of each step of a batch; a column of that name raises an error."""
+    if name.lower() in {c.lower() for c in rows.columns}:
+        raise ValueError(f"the input already has {name!r}")
     schema = T.StructType([*rows.schema.fields, T.StructField(name, kind)])
     at = rows.columns.index(text)
     arrow_kind = to_arrow_type(kind)

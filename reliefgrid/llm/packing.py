@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reliefgrid.llm.arrow import steps, texts
+from reliefgrid.llm.arrow import release, steps, texts
 from reliefgrid.rounds import Rounds
 
 #: Words whose ids a task remembers; beyond that it starts anew.
@@ -107,6 +107,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 4096, end: int = 2, doc_
                     totals.append(len(ids) // 4)
             own = batch.column("doc_id").take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([own, *(pa.array(x, pa.int64()) for x in (starts, lengths, crcs, totals))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        release()
 
     named = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return named.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reliefgrid.llm.arrow import fresh
+from reliefgrid.llm.arrow import fresh, lean
 
 ROUNDS = 2
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -404,12 +404,12 @@ def remove_repeats(docs: DataFrame, width: int = 13, doc_id: str = "doc_id", tex
     dealt = chosen_docs.mapInArrow(place, T.StructType([*chosen_docs.schema.fields, T.StructField(bucket, T.LongType())]))
     judged = dealt.where(F.col(bucket).isNotNull())
     rows = "bucket long, rows binary"
-    names = judged.groupBy(bucket).applyInArrow(_symbols_of(doc_id, text, width, buckets), rows)
-    told = names.groupBy("bucket").applyInArrow(_shared(buckets), rows)
-    seen = judged.groupBy(bucket).cogroup(told.groupBy("bucket")).applyInArrow(_windows_of(doc_id, text, width, buckets), rows)
-    later = seen.groupBy("bucket").applyInArrow(_later(buckets), rows)
+    names = judged.groupBy(bucket).applyInArrow(lean(_symbols_of(doc_id, text, width, buckets)), rows)
+    told = names.groupBy("bucket").applyInArrow(lean(_shared(buckets)), rows)
+    seen = judged.groupBy(bucket).cogroup(told.groupBy("bucket")).applyInArrow(lean(_windows_of(doc_id, text, width, buckets)), rows)
+    later = seen.groupBy("bucket").applyInArrow(lean(_later(buckets)), rows)
     schema = T.StructType([*docs.select(*keep).schema.fields, *(T.StructField(c, k) for c, k in zip(new, (T.LongType(), T.LongType(), T.StringType())))])
-    out = judged.groupBy(bucket).cogroup(later.groupBy("bucket")).applyInArrow(_kept_of(doc_id, text, width, keep, new), schema)
+    out = judged.groupBy(bucket).cogroup(later.groupBy("bucket")).applyInArrow(lean(_kept_of(doc_id, text, width, keep, new)), schema)
     unnamed = docs.where(F.col(doc_id).isNull())
     words = F.filter(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "[ \\t-\\r]+"), lambda w: w != "")
     rest = unnamed.select(*keep, F.size(words).cast("long").alias(new[0]), F.lit(0).cast("long").alias(new[1]), F.array_join(words, " ").alias(new[2]))
