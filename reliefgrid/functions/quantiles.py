@@ -1,9 +1,11 @@
-"""Exact group quantiles that never gather a large group in one task.
-
-The built-in exact ``percentile``/``median`` keeps every distinct value of a
-group in one aggregation buffer; a group with a third of all pixels would not
-fit.  Here a bounded sketch brackets each wanted rank, two counts place the
-bracket exactly, and only the bracket's few values are ordered.
+"""Exact group quantiles by repeated counting.
+
+The built-in exact ``percentile``/``median`` keeps every distinct value of a group in
+one aggregation buffer; a group with a third of all pixels would not fit.  Here every
+wanted rank has a value range.  A round cuts each range into BINS bins, counts them, and
+the bin that holds the rank becomes its range, drawn in to the smallest and largest value
+in it, until both are equal.  Groups of all sizes, and all ranks, share the rounds; only
+counts of bins are shuffled.  Bins of equal width take turns with bins by magnitude.
 """
 
 from __future__ import annotations
@@ -13,9 +15,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_GROUP = 4096  # below this the bracket is the whole group
-MARGIN = 0.002  # bracket half-width; 20x the sketch's rank error
-SKETCH_ACCURACY = 10000
+BINS = 4096
+
+
+def _bin(v: Column, lo: Column, hi: Column, by_root: bool) -> Column:
+    """0 .. BINS - 1, not falling with v: the ends are in the first and last bin, infinite ones alone.
+
+    Bins are of equal width, of the values or of their 64th roots: the roots part values
+    of many orders of magnitude.
+    """
+    x, a, b = (F.signum(c) * F.pow(F.abs(c), F.lit(1 / 64)) if by_root else c for c in (v, lo, hi))
+    # halves, since the width of a range can be more than a double holds
+    at = (x / 2 - a / 2) / (b / 2 - a / 2) * (BINS - 1)
+    # not a number where the lower end is infinite: that end is alone then
+    inner = F.when(F.isnan(at), 1).otherwise(F.greatest(F.lit(0), F.least(F.lit(BINS - 2), F.floor(at))))
+    return F.when(v == hi, BINS - 1).when(v == lo, 0).otherwise(inner).cast("int")
+
+
+def _narrowed(v: DataFrame, ranges: DataFrame, keys: list[str], by_root: bool) -> DataFrame:
+    """(keys, lo, hi, below, ranks): each range replaced by those of its bins that hold a rank."""
+    of = [*keys, "_lo", "_hi"]
+    inside = v.join(ranges.select(*of), keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    bins = inside.groupBy(*of, _bin(F.col("_v"), F.col("_lo"), F.col("_hi"), by_root).alias("_bin")).agg(
+        F.count("*").alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
+    )
+    upto = F.sum("_c").over(Window.partitionBy(*of).orderBy("_bin"))  # at most BINS rows of a range
+    placed = bins.withColumn("_upto", upto).join(ranges, of).withColumn("_end", F.col("_below") + F.col("_upto"))
+    held = placed.withColumn("_ranks", F.filter("_ranks", lambda r: (r <= F.col("_end")) & (r > F.col("_end") - F.col("_c"))))
+    return held.filter(F.size("_ranks") > 0).select(
+        *keys, F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), (F.col("_end") - F.col("_c")).alias("_below"), "_ranks"
+    )
 
 
 def group_quantiles(
@@ -23,78 +52,39 @@ def group_quantiles(
 ) -> DataFrame:
     """``keys, n, <name>...`` with sample k placed at (k - 1/2)/n and linear between.
 
-    At probability 0.5 this is the ordinary median.  NULL values are skipped.
+    At probability 0.5 this is the ordinary median.  NULL and NaN values are skipped;
+    rows with a NULL key belong to no group.
     """
-    keys = list(keys)
-    names = list(probs)
-    ps = [float(probs[n]) for n in names]
-    v = df.select(*keys, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-
-    lows = [max(0.0, p - MARGIN) for p in ps]
-    highs = [min(1.0, p + MARGIN) for p in ps]
-    sketch = v.groupBy(*keys).agg(
-        F.count("*").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", lows + highs, SKETCH_ACCURACY).alias("_q"),
-    )
-    small = F.col("_n") <= SMALL_GROUP
-    brackets = F.array(
-        *[
-            F.struct(
-                F.when(small, F.col("_min")).otherwise(F.col("_q")[i]).alias("lo"),
-                F.when(small, F.col("_max")).otherwise(F.col("_q")[i + len(ps)]).alias("hi"),
-            )
-            for i in range(len(ps))
-        ]
-    )
-    sketch = sketch.select(*keys, "_n", brackets.alias("_b"))
-    placed = v.join(sketch, keys) if keys else v.crossJoin(F.broadcast(sketch))
-
-    below = placed.groupBy(*keys).agg(
-        F.first("_n").alias("_n"),
-        *[F.count_if(F.col("_v") < F.col("_b")[i].lo).alias(f"_below{i}") for i in range(len(ps))],
-    )
-    inside = F.filter(
-        F.array(
-            *[
-                F.when((F.col("_v") >= F.col("_b")[i].lo) & (F.col("_v") <= F.col("_b")[i].hi), F.lit(i))
-                for i in range(len(ps))
-            ]
-        ),
-        lambda i: i.isNotNull(),
-    )
-    # a small group is its own bracket for every rank, so it is listed once
-    inside = F.when(F.col("_n") <= SMALL_GROUP, F.array(F.lit(0))).otherwise(inside)
-    candidates = (
-        placed.select(*keys, "_v", F.explode(inside).alias("_i"))
-        .groupBy(*keys, "_i", "_v")
-        .agg(F.count("*").alias("_c"))
-    )
-    upto = F.sum("_c").over(Window.partitionBy(*keys, "_i").orderBy("_v"))
-    ranked = candidates.select(*keys, "_i", "_v", "_c", upto.alias("_upto"))
-    joined = ranked.join(below, keys) if keys else ranked.crossJoin(F.broadcast(below))
-
-    def pick(i: int, rank: Column) -> Column:
-        end = F.col(f"_below{i}") + F.col("_upto")
-        mine = (F.col("_i") == i) | (F.col("_n") <= SMALL_GROUP)
-        here = mine & (rank <= end) & (rank > end - F.col("_c"))
-        return F.max(F.when(here, F.col("_v")))
-
-    outs, frac = [], {}
-    for i, p in enumerate(ps):
-        pos = F.greatest(F.lit(1.0), F.least(F.col("_n").cast("double"), F.col("_n") * p + 0.5))
-        frac[i] = pos - F.floor(pos)
-        outs += [pick(i, F.floor(pos)).alias(f"_lo{i}"), pick(i, F.ceil(pos)).alias(f"_hi{i}")]
-    got = joined.groupBy(*keys).agg(F.first("_n").alias("_n"), *outs)
-
-    def value_of(i: int) -> Column:
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        interpolated = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * frac[i])
-        missing = lo.isNull() | hi.isNull()
-        return F.when(missing, F.raise_error(F.lit("quantile bracket missed its rank"))).otherwise(interpolated)
-
-    return got.select(*keys, F.col("_n").alias("n"), *[value_of(i).alias(names[i]) for i in range(len(ps))])
+    from ..session import cut
+
+    whole = F.lit(0).alias("_all")
+    named = list(keys)
+    keys = named or ["_all"]
+    v = df.select(*(named or [whole]), value.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    v = cut(v)
+    # adding zero makes one value of 0.0 and -0.0, which compare as equal
+    v = v.select(*keys, (F.col("_v") + F.lit(0.0)).alias("_v"))
+    place = {name: F.greatest(F.lit(1.0), F.least(F.col("_n").cast("double"), F.col("_n") * float(p) + 0.5)) for name, p in probs.items()}
+    wanted = F.array_distinct(F.array(*(f(x).cast("long") for x in place.values() for f in (F.floor, F.ceil))))
+    sizes = cut(v.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
+    ranges = sizes.select(*keys, "_lo", "_hi", F.lit(0).cast("long").alias("_below"), wanted.alias("_ranks"))
+    found = []
+    while True:
+        found.append(ranges.filter("_lo = _hi").select(*keys, F.explode("_ranks").alias("_rank"), F.col("_lo").alias("_v")))
+        open_ = ranges.filter("_lo < _hi")
+        if open_.isEmpty():
+            break
+        ranges = cut(_narrowed(v, open_, keys, len(found) % 2 == 0))
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    values = every.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))  # two ranks a name
+
+    def value_of(position: Column) -> Column:
+        lo, hi = (F.element_at("_at", f(position).cast("long")) for f in (F.floor, F.ceil))
+        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (position - F.floor(position)))
+
+    return sizes.join(values, keys).select(*named, F.col("_n").alias("n"), *[value_of(place[name]).alias(name) for name in probs])
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: Column, name: str = "median") -> DataFrame:

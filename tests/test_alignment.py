@@ -67,6 +67,34 @@ def test_quantiles_use_the_midpoint_rule_for_small_and_large_groups(spark):
             assert r[name] == pytest.approx(midpoint(groups[r.k], p)), (r.k, name)
 
 
+def test_quantiles_of_a_million_values_ties_and_extremes(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    inf = float("inf")
+    groups = {
+        "heavy": np.r_[np.full(3000, 7.5), rng.normal(7.5, 1e-9, 50)],
+        "wide": np.r_[-1.7e308, 1.7e308, 10.0 ** np.arange(-300, 300, 7)], "inf": np.r_[-inf, inf, inf, 1, 2, 3], "zeros": np.array([0.0, -0.0, 0.0, -1.0]),
+        "close": np.nextafter(1.0, 2.0) * np.ones(3), "two": np.array([1.0, np.nextafter(1.0, 2.0)]),
+    }
+    rows = [(k, float(x)) for k, v in groups.items() for x in v] + [("two", float("nan")), ("two", None), (None, 1.0)]
+    groups["million"] = rng.normal(0, 1, 1_000_000)
+    pd.DataFrame({"k": "million", "v": groups["million"]}).to_parquet(tmp_path / "million.parquet")
+    million = spark.read.parquet(f"file://{tmp_path}/million.parquet")
+    df = spark.createDataFrame(rows, "k string, v double").unionByName(million)
+    probs = {"p10": 0.1, "p50": 0.5, "p95": 0.95}
+    got = {r.k: r for r in group_quantiles(df, ["k"], F.col("v"), probs).collect()}
+    assert set(got) == set(groups)
+    for k, v in groups.items():
+        assert got[k].n == len(v)
+        for name, p in probs.items():
+            at = min(max(len(v) * p + 0.5, 1), len(v))
+            lo, hi = np.sort(v)[[int(np.floor(at)) - 1, int(np.ceil(at)) - 1]]
+            want = lo if lo == hi or np.isinf(lo) or np.isinf(hi) else lo + (hi - lo) * (at - np.floor(at))
+            assert got[k][name] == want or np.isinf(want), (k, name)
+    all_ = group_quantiles(df, [], F.col("v"), probs).collect()
+    assert len(all_) == 1 and all_[0].n == sum(map(len, groups.values())) + 1
+    assert group_quantiles(df.filter("k = 'none'"), ["k"], F.col("v"), probs).count() == 0
+
+
 def test_season_window_wraps_the_year_and_widens(spark):
     rows = [("s", "2001-01-15", f"2000-{m:02d}-03") for m in (12, 12, 1, 2, 7)] + [("t", "2001-06-01", f"2000-{m:02d}-03") for m in (6, 9, 9, 10, 1)]
     d = spark.createDataFrame(rows, "strip_id string, d string, t string").select("strip_id", F.to_date("d").alias("d"), F.to_date("t").alias("t"))
