@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from reliefgrid.operators import components as cc
 from reliefgrid.operators import kernels as kn
 from reliefgrid.operators import lattice as lt
+from reliefgrid.operators import regrid as rg
 from reliefgrid.operators import resample as rs
 
 from .inputs import Inputs, q, qc, with_inputs
@@ -250,6 +251,42 @@ def _k16b(spark, sf):
     return lt.enlarge_bilinear(c, K, "z", 4).withColumn("z", qc(F.col("z")))
 
 
+def _cubic_sql(x: str) -> str:
+    return f"case when abs({x}) <= 1 then 1.5e0*abs({x})**3 - 2.5e0*abs({x})**2 + 1 when abs({x}) < 2 then -0.5e0*abs({x})**3 + 2.5e0*abs({x})**2 - 4*abs({x}) + 2 else 0 end"
+
+
+_MIRRORED = "case when {i} < {a}0 then 2*{a}0 - 1 - {i} when {i} > {a}1 then 2*{a}1 + 1 - {i} else {i} end"
+
+
+@query(
+    "k16_enlarge_cubic",
+    with_inputs("px", f"""with c as materialized (select strip_id, cast(floor(row/4) as int) as row, cast(floor(col/4) as int) as col, avg(z) as z from px group by 1,2,3),
+      e as (select strip_id, min(row) r0, max(row) r1, min(col) c0, max(col) c1 from c group by 1),
+      w as (select i, m, cast(floor((i+0.5e0)/4e0-0.5e0) as int) + m as step, {_cubic_sql("(m - ((i+0.5e0)/4e0-0.5e0) + floor((i+0.5e0)/4e0-0.5e0))")} as w from range(4) a(i), range(-1, 3) b(m)),
+      t as (select c.strip_id, c.row*4+a.i as row, c.col*4+b.i as col, a.w*b.w as w, {_MIRRORED.format(i="(c.row+a.step)", a="r")} as sr, {_MIRRORED.format(i="(c.col+b.step)", a="c")} as sc
+        from c join e using (strip_id), w a, w b)
+      select t.strip_id, cast(t.row as int) as row, cast(t.col as int) as col, case when count(c.z) = 16 then floor(sum(w*c.z)*1024e0+0.5e0)/1024e0 end as z
+      from t join c on c.strip_id=t.strip_id and c.row=t.sr and c.col=t.sc group by 1,2,3"""),
+)
+def _k16ec(spark, sf):
+    c = lt.coarsen(px(spark, sf), K, ["z"], 4)
+    return rg.enlarge_cubic(c, K, "z", 4).select(*K, "row", "col", qc(F.col("z")).alias("z"))
+
+
+@query(
+    "k16_shrink_cubic",
+    with_inputs("px", f"""with e as (select strip_id, min(row) r0, max(row) r1, min(col) c0, max(col) c1 from px group by 1),
+      v as (select d, {_cubic_sql("((1.5e0-d)/4e0)")} as v from range(-6, 10) a(d)), w as materialized (select d, v/(select sum(v) from v) as w from v),
+      t as (select strip_id, r, c, r0, r1, c0, c1 from e, lateral (select unnest(range(0, cast(ceil((r1-r0+1)/4e0) as int))) as r) x, lateral (select unnest(range(0, cast(ceil((c1-c0+1)/4e0) as int))) as c) y),
+      h as materialized (select t.strip_id, t.r, p.col, sum(a.w*p.z) as s, count(p.z) as n
+        from (select distinct strip_id, r, r0, r1 from t) t, w a join px p on p.strip_id=t.strip_id and p.row={_MIRRORED.format(i="(t.r0+4*t.r+a.d)", a="t.r")} group by 1,2,3)
+      select t.strip_id, cast(t.r as int) as row, cast(t.c as int) as col, case when min(h.n) = 16 then floor(sum(b.w*h.s)*1024e0+0.5e0)/1024e0 end as z
+      from t, w b join h on h.strip_id=t.strip_id and h.r=t.r and h.col={_MIRRORED.format(i="(t.c0+4*t.c+b.d)", a="t.c")} group by 1,2,3"""),
+)
+def _k16sc(spark, sf):
+    return rg.shrink_cubic(px(spark, sf), K, "z", 4).select(*K, "row", "col", qc(F.col("z")).alias("z"))
+
+
 @query(
     "k19_distance",
     with_inputs("px", """with reg as (select strip_id, row, col, z from px where z > 103)
