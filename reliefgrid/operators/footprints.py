@@ -50,10 +50,11 @@ def polygons_meet(pairs: DataFrame) -> DataFrame:
 ROW_BAND = 32  # lattice rows of a polygon that one task expands
 
 
-def rasterise(pairs: DataFrame, keep: Sequence[str], res: float, buffer_px: int, poly: str = "poly") -> DataFrame:
+def rasterise(pairs: DataFrame, keep: Sequence[str], res: float | Column, buffer_px: int, poly: str = "poly") -> DataFrame:
     """Lattice cells of each tile whose centre lies inside each polygon.
 
-    ``pairs`` carries a polygon and the tile's x0, x1, y0, y1.  One scanline per
+    ``pairs`` carries a polygon and the tile's x0, x1, y0, y1; ``res`` may be one of the
+    columns kept, for lattices of several spacings.  One scanline per
     lattice row turns the polygon into column spans; only the spans are
     expanded, so cost follows the area covered, not the bounding box.
     """

@@ -53,7 +53,10 @@ def _along(d: DataFrame, w, axis: str, target: str, start: Column, ratio: Column
     # one target more on either side than rounding can miss; the cell that a target belongs to is asked in one place
     lo, hi = F.floor((F.col(axis) - F.col("_s")) / F.col("_q")) - 1, F.ceil((F.col(axis) + 1 - F.col("_s")) / F.col("_q")) + 1
     d = d.select("*", F.explode(F.sequence(lo.cast("int"), hi.cast("int"))).alias(target))
-    d = d.withColumn("_at", F.col("_s") + F.col(target) * F.col("_q")).filter(F.floor("_at") == F.col(axis))
+    # a target within rounding of a cell lies on it, so that the rim's last one is not lost
+    at = F.col("_s") + F.col(target) * F.col("_q")
+    at = F.when(F.abs(at - F.round(at)) < 1e-9, F.round(at)).otherwise(at)
+    d = d.withColumn("_at", at).filter(F.floor("_at") == F.col(axis))
     f = F.col("_at") - F.col(axis)
     # the last cell has no next one: only a target right on it is inside
     inside = (f == 0) | F.coalesce(F.col("_next"), F.lit(False)) if "_next" in keep else F.lit(True)

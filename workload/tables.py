@@ -148,6 +148,79 @@ def _s17(spark, sf):
     return sr.strips_in_tiles(strips, t, m, 8.0)
 
 
+# even strips are finer than the tiles (4 to 8), odd ones coarser (16 to 8); no cell centres of theirs coincide
+_SPACED = """s as materialized (select strip_id, i as row, col, case when strip_no % 2 = 0 then 4e0 else 16e0 end as dx, z, mt, ortho from px),
+        n as materialized (select strip_id, max(row) as last from s group by 1),
+        t as materialized (select * from (values ('a', 42e0, 202e0, -362e0, -42e0), ('b', 202e0, 602e0, -1202e0, -362e0)) v(tile_id, x0, x1, y0, y1)),
+        w as materialized (select t.*, s.strip_id, s.row, s.col, dx, mt, ortho,
+            case when z >= -100 and z <> 0 and not (col*dx >= 104 and col*dx < 168 and -row*dx >= -300 and -row*dx < -200) then z end as z
+          from s join n using (strip_id), t
+          where col between least(63, round(x0/dx)) and least(63, round(x1/dx)) and row between least(last, round(-y1/dx)) and least(last, round(-y0/dx))),
+        e as materialized (select tile_id, strip_id, any_value(dx) as dx, any_value(x0) as x0, any_value(x1) as x1, any_value(y0) as y0, any_value(y1) as y1,
+            min(row) as r0, max(row) as r1, min(col) as c0, max(col) as c1 from w where z is not null group by 1,2),
+        g as materialized (select e.*, r.v as row, c.v as col, (r.v*8e0-y1)/dx as u, (x0+c.v*8e0)/dx as v
+          from e, range(106) r(v), range(51) c(v) where r.v <= (y1-y0)/8 and c.v <= (x1-x0)/8),
+        h as materialized (select tile_id, strip_id, row, col, cast(floor(u) as int) as iu, u-floor(u) as fu, cast(floor(v) as int) as iv, v-floor(v) as fv
+          from g where u between r0 and r1 and v between c0 and c1),
+        k as materialized (select h.*, iu+i as su, iv+j as sv, (case when i=0 then 1-fu else fu end)*(case when j=0 then 1-fv else fv end) as wt,
+            i = (case when fu < 0.5 then 0 else 1 end) and j = (case when fv < 0.5 then 0 else 1 end) as pick
+          from h, range(2) a(i), range(2) b(j) where (i=0 or fu>0) and (j=0 or fv>0))
+      select k.tile_id, k.strip_id, cast(k.row as int) as row, cast(k.col as int) as col, case when count(w.z) = count(*) then sum(wt*w.z) end as z,
+        bool_or(pick and w.mt) as mt, max(case when pick then w.ortho end) as ortho
+      from k join w on w.tile_id = k.tile_id and w.strip_id = k.strip_id and w.row = k.su and w.col = k.sv group by 1,2,3,4"""
+
+
+@query("s17_other_spacing", with_inputs("px", f"with {_SPACED}"))
+def _s17_spacing(spark, sf):
+    p = get(spark, sf, "px").withColumn("dx", F.when(F.col("strip_no") % 2 == 0, 4.0).otherwise(16.0))
+    ext = p.groupBy("strip_id", "dx").agg((F.max("i") + 1).alias("n_rows")).select(
+        "strip_id", "dx", F.col("dx").alias("dy"), F.lit(0.0).alias("mapx"), F.lit(0.0).alias("mapy"), "n_rows", F.lit(64).alias("n_cols")
+    )
+    t = spark.createDataFrame([("a", 42.0, 202.0, -362.0, -42.0), ("b", 202.0, 602.0, -1202.0, -362.0)], "tile_id string, x0 double, x1 double, y0 double, y1 double")
+    strips = p.select("strip_id", (F.col("col") * F.col("dx")).alias("x"), (-F.col("i") * F.col("dx")).alias("y"), "z", "mt", "ortho")
+    m = ext.select("strip_id", pg.box_ring(F.lit(104.0), F.lit(168.0), F.lit(-300.0), F.lit(-200.0)).alias("poly"))
+    return sr.strips_in_tiles(strips, t, m, 8.0, ext)
+
+
+# a quarter of the rows and columns of ortho, every other of matches; the elevation's cells lie between theirs
+_BAND_AT = {"matchtag": (0.25, 0.25, 0.5), "ortho": (0.125, 0.125, 0.25)}
+
+
+@query(
+    "s16_other_shape",
+    with_inputs("px", """with o as materialized (select strip_id, i//4 as row, col//4 as col, case when ortho <> 0 then cast(ortho as double) end as v from px where i%4=0 and col%4=0),
+        m as materialized (select strip_id, i//2 as row, col//2 as col, mt from px where i%2=0 and col%2=0),
+        e as materialized (select strip_id, max(row) as last from o group by 1),
+        -- a row more on either side, made of the three next to it, first of columns and then of rows
+        x as materialized (select strip_id, row, col, v from o
+          union all select strip_id, row, -1, case when count(v) = 3 then sum(v*(case col when 0 then 3 when 1 then -3 else 1 end)) end from o where col < 3 group by 1,2
+          union all select strip_id, row, 16, case when count(v) = 3 then sum(v*(case col when 15 then 3 when 14 then -3 else 1 end)) end from o where col > 12 group by 1,2),
+        d as materialized (select strip_id, i as row, col, 0.125+i/4e0 as u, 0.125+col/4e0 as v from px),
+        f as materialized (select *, floor(u) as iu, u-floor(u) as fu, floor(v) as iv, v-floor(v) as fv from d),
+        k as materialized (select a as j, [0.5e0*f*(-1+f*(2-f)), 1+f*f*(1.5*f-2.5), 0.5e0*f*(1+f*(4-3*f)), 0.5e0*f*f*(f-1)][a+2] as wt, f from range(-1,3) t(a), (values (0.125e0), (0.375e0), (0.625e0), (0.875e0)) g(f)),
+        h as materialized (select x.strip_id, x.row, c.col, case when count(x.v) = 4 then sum(k.wt*x.v) end as v
+          from (select distinct strip_id, col, iv, fv from f where v <= 15) c join k on k.f = c.fv join x on x.strip_id = c.strip_id and x.col = c.iv+k.j group by 1,2,3),
+        y as materialized (select strip_id, row, col, v from h
+          union all select strip_id, -1, col, case when count(v) = 3 then sum(v*(case row when 0 then 3 when 1 then -3 else 1 end)) end from h where row < 3 group by 1,3
+          union all select strip_id, last+1, col, case when count(v) = 3 then sum(v*(case last-row when 0 then 3 when 1 then -3 else 1 end)) end from h join e using (strip_id) where row > last-3 group by strip_id, last, col),
+        z as materialized (select c.strip_id, c.row, y.col, case when count(y.v) = 4 then sum(k.wt*y.v) end as v
+          from (select distinct strip_id, row, iu, fu from f join e using (strip_id) where u <= last) c join k on k.f = c.fu join y on y.strip_id = c.strip_id and y.row = c.iu+k.j group by 1,2,3)
+      select px.strip_id as scene_id, px.i as row, px.col, case when px.z < 97 then null else px.z end as z,
+        coalesce(m.mt, false) as mt, coalesce(cast(least(65535, greatest(0, round(z.v))) as int), 0) as ortho
+      from px left join z on z.strip_id = px.strip_id and z.row = px.i and z.col = px.col
+      left join m on m.strip_id = px.strip_id and m.row = floor(0.25+px.i/2e0+0.5) and m.col = floor(0.25+px.col/2e0+0.5)
+        and 0.25+px.i/2e0 <= (select max(b.row) from m b where b.strip_id = px.strip_id) and 0.25+px.col/2e0 <= 31"""),
+)
+def _s16_shape(spark, sf):
+    p = get(spark, sf, "px").withColumnRenamed("strip_id", "scene_id")
+    k = ["scene_id", F.col("i").alias("row"), "col"]
+    dem = p.select(*k, F.when(F.col("z") < 97, -9999.0).otherwise(F.coalesce("z", F.lit(0.0))).alias("z"))
+    nth = lambda n, v: p.filter(f"i % {n} = 0 and col % {n} = 0").select("scene_id", F.floor(F.col("i") / n).cast("int").alias("row"), F.floor(F.col("col") / n).cast("int").alias("col"), F.col(v).alias("v"))
+    at = F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.lit(r).alias("row0"), F.lit(c).alias("col0"), F.lit(s).alias("step")) for b, (r, c, s) in _BAND_AT.items()]))
+    lattices = p.select("scene_id").distinct().select("scene_id", at.alias("a")).select("scene_id", "a.*")
+    return sr.assemble_scenes(dem, nth(2, "mt"), nth(4, "ortho"), lattices=lattices).select("scene_id", "row", "col", "z", "mt", "ortho")
+
+
 def _cast_sql(code: int) -> str:
     kind, lo, hi = FORMAT_CODES[code]
     v = "coalesce(v, -9999e0)"
