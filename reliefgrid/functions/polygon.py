@@ -40,9 +40,9 @@ def edges_enclose(ring_edges: Column, px: Column, py: Column) -> Column:
     return F.size(hits) % 2 == 1
 
 
-def crossings(poly: Column, py: Column) -> Column:
-    """Sorted x where the ring crosses the horizontal line at ``py``."""
-    hit = F.filter(edges(poly), lambda e: (e.ay > py) != (e.by > py))
+def edge_crossings(ring_edges: Column, py: Column) -> Column:
+    """Sorted x where prepared edges cross the horizontal line at ``py``."""
+    hit = F.filter(ring_edges, lambda e: (e.ay > py) != (e.by > py))
     return F.array_sort(
         F.transform(hit, lambda e: e.ax + (py - e.ay) * (e.bx - e.ax) / (e.by - e.ay))
     )

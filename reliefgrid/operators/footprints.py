@@ -50,13 +50,13 @@ def polygons_meet(pairs: DataFrame) -> DataFrame:
 ROW_BAND = 32  # lattice rows of a polygon that one task expands
 
 
-def rasterise(pairs: DataFrame, keep: Sequence[str], res: float | Column, buffer_px: int, poly: str = "poly") -> DataFrame:
-    """Lattice cells of each tile whose centre lies inside each polygon.
+def spans(pairs: DataFrame, keep: Sequence[str], res: float | Column, buffer_px: int, poly: str = "poly") -> DataFrame:
+    """Column ranges (row, c0, c1) of each tile's lattice whose cell centres lie inside each polygon.
 
     ``pairs`` carries a polygon and the tile's x0, x1, y0, y1; ``res`` may be one of the
-    columns kept, for lattices of several spacings.  One scanline per
-    lattice row turns the polygon into column spans; only the spans are
-    expanded, so cost follows the area covered, not the bounding box.
+    columns kept, for lattices of several spacings.  One scanline per lattice row turns
+    the polygon into ranges, so cost follows its height.  A polygon is sent in bands of
+    rows, each with the edges that meet it alone.
     """
     pad = buffer_px * res
     left, top = F.col("x0") - pad, F.col("y1") + pad
@@ -65,25 +65,47 @@ def rasterise(pairs: DataFrame, keep: Sequence[str], res: float | Column, buffer
     ys = F.transform(F.col(poly), lambda v: v.y)
     r0 = F.greatest(F.lit(0), F.floor((top - F.array_max(ys)) / res).cast("int"))
     r1 = F.least(n_row, F.ceil((top - F.array_min(ys)) / res).cast("int"))
-    d = pairs.select(*keep, F.col(poly).alias("_p"), left.alias("_left"), top.alias("_top"), n_col.alias("_nc"), r0.alias("_r0"), r1.alias("_r1"))
-    # few pairs expand to many cells: bands of rows are spread first, so one large polygon is many tasks
+    d = pairs.select(*keep, pg.edges(F.col(poly)).alias("_e"), left.alias("_left"), top.alias("_top"), n_col.alias("_nc"), r0.alias("_r0"), r1.alias("_r1"))
     band = F.explode(F.sequence(F.floor(F.col("_r0") / ROW_BAND), F.floor(F.col("_r1") / ROW_BAND)))
-    d = d.filter("_r0 <= _r1").withColumn("_band", band).repartition(*keep, "_band")
-    first, last = F.greatest("_r0", F.col("_band") * ROW_BAND), F.least("_r1", (F.col("_band") + 1) * ROW_BAND - 1)
-    d = d.select("*", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("row"))
-    d = d.withColumn("_x", pg.crossings(F.col("_p"), F.col("_top") - F.col("row") * res)).filter(F.size("_x") > 1)
-    spans = F.transform(
+    d = d.filter("_r0 <= _r1").withColumn("_band", band)
+    first, last = F.greatest("_r0", F.col("_band") * ROW_BAND).cast("int"), F.least("_r1", (F.col("_band") + 1) * ROW_BAND - 1).cast("int")
+    d = d.select(*keep, "_e", "_left", "_top", "_nc", "_band", first.alias("_r0"), last.alias("_r1"))
+    high, low = F.col("_top") - F.col("_r0") * res, F.col("_top") - F.col("_r1") * res
+    meets = F.filter("_e", lambda e: (F.greatest(e.ay, e.by) > low) & (F.least(e.ay, e.by) <= high))
+    # few pairs become many ranges: bands are spread first, so one large polygon is many tasks
+    d = d.withColumn("_e", meets).filter(F.size("_e") > 1).repartition(*keep, "_band")
+    d = d.select("*", F.explode(F.sequence("_r0", "_r1")).alias("row"))
+    d = d.withColumn("_x", pg.edge_crossings(F.col("_e"), F.col("_top") - F.col("row") * res)).filter(F.size("_x") > 1)
+    pieces = F.transform(
         F.sequence(F.lit(0), F.size("_x") - 2, F.lit(2)),
         lambda i: F.struct(F.get("_x", i).alias("a"), F.get("_x", i + 1).alias("b")),
     )
-    d = d.select(*keep, "row", "_left", "_nc", F.explode(spans).alias("_s"))
+    d = d.select(*keep, "row", "_left", "_nc", F.explode(pieces).alias("_s"))
     # one spare column on both sides, then the exact centre test
     a = F.greatest(F.lit(0), F.floor((F.col("_s.a") - F.col("_left")) / res).cast("int"))
     b = F.least(F.col("_nc"), F.ceil((F.col("_s.b") - F.col("_left")) / res).cast("int"))
-    d = d.withColumn("_a", a).withColumn("_b", b).filter("_a <= _b")
-    d = d.select(*keep, "row", "_left", "_s", F.explode(F.sequence("_a", "_b")).alias("col"))
-    x = F.col("_left") + F.col("col") * res
-    return d.filter((x >= F.col("_s.a")) & (x < F.col("_s.b"))).select(*keep, "row", "col")
+    d = d.withColumn("_a", a).withColumn("_b", b)
+    x = lambda c: F.col("_left") + c * res
+    c0, c1 = F.col("_a"), F.col("_b")
+    from_ = F.when(x(c0) >= F.col("_s.a"), c0).when(x(c0 + 1) >= F.col("_s.a"), c0 + 1).otherwise(c0 + 2)
+    to = F.when(x(c1) < F.col("_s.b"), c1).when(x(c1 - 1) < F.col("_s.b"), c1 - 1).otherwise(c1 - 2)
+    return d.select(*keep, "row", from_.alias("c0"), to.alias("c1")).filter("c0 <= c1")
+
+
+def rasterise(pairs: DataFrame, keep: Sequence[str], res: float | Column, buffer_px: int, poly: str = "poly") -> DataFrame:
+    """The cells of ``spans``, one row each: cost follows the area covered, not the bounding box."""
+    d = spans(pairs, keep, res, buffer_px, poly)
+    return d.select(*keep, "row", F.explode(F.sequence("c0", "c1")).alias("col"))
+
+
+def cell_sums(ranges: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Cells of each polygon in closed form from its ranges: n and the sums of row, col and row * col."""
+    n = (F.col("c1") - F.col("c0") + 1).cast("long")
+    cols = F.expr("(cast(c0 as long) + c1) * (c1 - c0 + 1) div 2")
+    d = ranges.select(*keep, "row", n.alias("_n"), cols.alias("_c"))
+    return d.groupBy(*keep).agg(
+        F.sum("_n").alias("n"), F.sum(F.col("row") * F.col("_n")).alias("rows"), F.sum("_c").alias("cols"), F.sum(F.col("row") * F.col("_c")).alias("cross_")
+    )
 
 
 def exclude_masks(cover: DataFrame, mask_cover: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -50,18 +50,27 @@ def parse_strip_meta(reports: DataFrame) -> DataFrame:
     )
 
 
-SCENE_LINE = r"^(\S+) (\S+) (\S+) (\S+) (\S+)\s*$"
+TABLE_TITLE = "Mosaicking Alignment Statistics (meters)"  # fixed value
+SCENE_LINE = r"^\S+ \S+ \S+ \S+ \S+\s*$"
 
 
 def parse_strip_scenes(reports: DataFrame) -> DataFrame:
-    """One row per line of the alignment table: path, seq, scene_id, rmse, dz, dx, dy."""
-    table = F.regexp_extract(F.col("value"), r"(?s)Mosaicking Alignment Statistics \(meters\)[^\n]*\n[^\n]*\n(.*?)(\n\s*\n|$)", 1)
-    lines = reports.select("path", F.posexplode(F.split(table, "\n")).alias("i", "line")).filter("line rlike '\\\\S'")
-    part = lambda n: F.regexp_extract("line", SCENE_LINE, n)
-    num = lambda n: part(n).try_cast("double")
+    """One row per line of the alignment table: path, seq, scene_id, rmse, dz, dx, dy.
+
+    The table begins two lines after its title and ends at the first empty line.
+    A line that isn't a name and four words has an empty name and NULLs.
+    """
+    at = lambda text, n: F.substring(text, n, F.length(text))
+    d = reports.filter(F.contains("value", F.lit(TABLE_TITLE))).select("path", at(F.col("value"), F.locate(TABLE_TITLE, "value")).alias("_text"))
+    body = at(F.col("_text"), F.length(F.substring_index("_text", "\n", 2)) + 2)
+    table = F.split(body, r"\n\s*\n", 2)[0]
+    lines = d.select("path", F.posexplode(F.split(table, "\n")).alias("i", "line")).filter("line rlike '\\\\S'")
+    whole = F.when(F.col("line").rlike(SCENE_LINE), F.split("line", " "))
+    lines = lines.select("path", (F.col("i") + 1).alias("seq"), whole.alias("_w"))
+    num = lambda n: F.get("_w", F.lit(n)).try_cast("double")
     return lines.select(
-        "path", (F.col("i") + 1).alias("seq"), part(1).alias("scene_id"),
-        num(2).alias("rmse"), num(3).alias("dz"), num(4).alias("dx"), num(5).alias("dy"),
+        "path", "seq", F.coalesce(F.get("_w", F.lit(0)), F.lit("")).alias("scene_id"),
+        num(1).alias("rmse"), num(2).alias("dz"), num(3).alias("dx"), num(4).alias("dy"),
     )
 
 

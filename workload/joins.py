@@ -12,7 +12,7 @@ from reliefgrid.plans import mosaic as pm
 from reliefgrid.plans import registration as pr
 
 from .inputs import Inputs, pip_sql, q, qc, with_inputs
-from .kernels import grad_sql, mean_sql, MIRROR
+from .kernels import grad_sql, mean_sql, MIRROR, shift_sql
 from .registry import query
 
 RES, CELL = 2000.0, 2e4
@@ -58,8 +58,8 @@ def cover(spark, sf):
     with_inputs("footprint tiles", f"with {_COVER} select tile_id, strip_id, count(*) as n, cast(sum(row) as bigint) as rows, cast(sum(col) as bigint) as cols, cast(sum(row*col) as bigint) as cross_ from cover group by 1,2"),
 )
 def _j4(spark, sf):
-    return cover(spark, sf).groupBy("tile_id", "strip_id").agg(
-        F.count("*").alias("n"), F.sum("row").alias("rows"), F.sum("col").alias("cols"), F.sum(F.col("row") * F.col("col")).alias("cross_"))
+    keep = ["tile_id", "strip_id"]
+    return fp.cell_sums(fp.spans(pairs(spark, sf), keep, RES, 0), keep)
 
 
 _MASKED = "(qc = 3 and px_ >= xmin and px_ < xmin+(xmax-xmin)/2 and py_ >= ymin+4e3 and py_ < ymax-4e3)"
@@ -360,10 +360,10 @@ def _u4(spark, sf):
     return mg.coverage(get(spark, sf, "px"), [])
 
 
-_LAYERS = """o as (select strip_no as k, row, col, z as z0, ortho as o0, mt as m0, strip_no*10 as d0 from px),
-   n as (select strip_no-1 as k, row, col, z+5e-1 as z1, ortho as o1, mt as m1, strip_no*10 as d1 from px where strip_no >= 1),
-   l as (select coalesce(o.k, n.k) as k, coalesce(o.row, n.row) as row, coalesce(o.col, n.col) as col, z0, z1, nullif(o0,0) as o0, nullif(o1,0) as o1, nullif(d0,0) as d0, nullif(d1,0) as d1,
-      coalesce(m0,false) or coalesce(m1,false) as mt from o full join n on o.k=n.k and o.row=n.row and o.col=n.col)"""
+_LAYERS = """u as (select strip_no as k, row, col, z as z0, ortho as o0, mt as m0, strip_no*10 as d0, null as z1, null as o1, null as m1, null as d1 from px union all
+     select strip_no-1, row, col, null, null, null, null, z+5e-1, ortho, mt, strip_no*10 from px where strip_no >= 1),
+   l as materialized (select k, row, col, max(z0) as z0, max(z1) as z1, nullif(max(o0),0) as o0, nullif(max(o1),0) as o1, nullif(max(d0),0) as d0, nullif(max(d1),0) as d1,
+      coalesce(bool_or(m0),false) or coalesce(bool_or(m1),false) as mt from u group by 1,2,3)"""
 
 
 def layers(spark, sf):
@@ -410,8 +410,11 @@ def _b5(spark, sf):
 
 @query(
     "j17_tile_pair_overlap",
-    with_inputs("tile_px", """select a.tile_id as tile_a, b.tile_id as tile_b, a.row, a.col, a.z as z0, b.z as z1 from tile_px a join tile_px b on a.row=b.row and a.col=b.col
-       and abs(a.tile_row-b.tile_row)+abs(a.tile_col-b.tile_col) = 1 and a.tile_id < b.tile_id"""),
+    with_inputs("tile_px", """with t as materialized (select distinct tile_id, tile_row, tile_col from tile_px),
+        p as materialized (select a.tile_id as tile_a, b.tile_id as tile_b from t a join t b on abs(a.tile_row-b.tile_row)+abs(a.tile_col-b.tile_col) = 1 and a.tile_id < b.tile_id),
+        u as (select tile_a, tile_b, row, col, z as z0, null as z1, 1 as side from p join tile_px on tile_id = tile_a union all
+          select tile_a, tile_b, row, col, null, z, 2 from p join tile_px on tile_id = tile_b)
+      select tile_a, tile_b, row, col, max(z0) as z0, max(z1) as z1 from u group by 1,2,3,4 having min(side) = 1 and max(side) = 2"""),
 )
 def _j17(spark, sf):
     t = get(spark, sf, "tile_px")
@@ -438,7 +441,7 @@ def _a15(spark, sf):
 
 # per (tile, cluster) offsets to subtract: dx = (cluster-2)/2 cells, dy = tile_row%3/4 cells, dz = cluster/8; cluster 1 stays out
 _SHIFTS = """s as (select *, (cluster-2)/2e0 as sc, -(tile_row%3)/4e0 as sr, cluster/8e0 as dz from tile_px where cluster > 1),
-   f as (select *, cast(floor(sc) as int) as ic, sc-floor(sc) as fc, cast(floor(sr) as int) as ir, sr-floor(sr) as fr from s)"""
+   f as materialized (select *, cast(floor(sc) as int) as ic, sc-floor(sc) as fc, cast(floor(sr) as int) as ir, sr-floor(sr) as fr from s)"""
 
 
 def cluster_shifts(t):
@@ -446,12 +449,7 @@ def cluster_shifts(t):
         "tile_id", "cluster", (F.col("cluster") / 8.0).alias("dz"), ((F.col("cluster") - 2) / 2.0).alias("dx"), ((F.col("tile_row") % 3) / 4.0).alias("dy"))
 
 
-_R8 = f"""{_SHIFTS}, zz as (select a.tile_id, a.cluster, a.row-a.ir as row, a.col-a.ic as col,
-      case when a.fc=0 and a.fr=0 then a.z when a.fr=0 then (1-a.fc)*a.z+a.fc*b.z when a.fc=0 then (1-a.fr)*a.z+a.fr*c.z
-           else (1-a.fr)*((1-a.fc)*a.z+a.fc*b.z)+a.fr*((1-a.fc)*c.z+a.fc*d.z) end - a.dz as z from f a
-      left join f b on b.tile_id=a.tile_id and b.cluster=a.cluster and b.row=a.row and b.col=a.col+1
-      left join f c on c.tile_id=a.tile_id and c.cluster=a.cluster and c.row=a.row+1 and c.col=a.col
-      left join f d on d.tile_id=a.tile_id and d.cluster=a.cluster and d.row=a.row+1 and d.col=a.col+1),
+_R8 = f"""{_SHIFTS}, zz as (select tile_id, cluster, row, col, z - dz as z from ({shift_sql('f', 'tile_id, cluster, dz')})),
    nn as (select tile_id, cluster, row-cast(floor(sr+5e-1) as int) as row, col-cast(floor(sc+5e-1) as int) as col, mt, dy from f)"""
 
 

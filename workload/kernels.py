@@ -149,16 +149,16 @@ def _k10(spark, sf):
     return kn.residual_topography(px(spark, sf), K).select(*K, "row", "col", qc(F.col("residual")).alias("residual"))
 
 
-def shift_sql(src: str, ic: str, fc: str, ir: str, fr: str) -> str:
-    """Bilinear shift as an explicit four-cell join (an independent formulation)."""
-    return f"""select a.strip_id, a.row - ({ir}) as row, a.col - ({ic}) as col,
-        case when {fc}=0 and {fr}=0 then a.z
-             when {fr}=0 then (1-{fc})*a.z + {fc}*b.z
-             when {fc}=0 then (1-{fr})*a.z + {fr}*c.z
-             else (1-{fr})*((1-{fc})*a.z + {fc}*b.z) + {fr}*((1-{fc})*c.z + {fc}*d.z) end as z
-      from {src} a left join {src} b on b.strip_id=a.strip_id and b.row=a.row and b.col=a.col+1
-      left join {src} c on c.strip_id=a.strip_id and c.row=a.row+1 and c.col=a.col
-      left join {src} d on d.strip_id=a.strip_id and d.row=a.row+1 and d.col=a.col+1"""
+def shift_sql(src: str, keys: str, value: str = "z") -> str:
+    """Bilinear shift as one sum: each cell of ``src`` (with ic, fc, ir, fr) adds to the up to four targets around it.
+
+    A target exists where its first cell does, and is null unless all cells of any weight have a value.
+    """
+    return f"""select {keys}, ar - ir as row, ac - ic as col, case when count({value}) = need then sum(wt*{value}) end as {value}
+      from (select {keys}, row-di as ar, col-dj as ac, ir, ic, {value}, di+dj = 0 as own, (case when fr > 0 then 2 else 1 end)*(case when fc > 0 then 2 else 1 end) as need,
+              (case when di=0 then 1-fr else fr end)*(case when dj=0 then 1-fc else fc end) as wt
+            from {src}, range(2) a(di), range(2) b(dj) where (di=0 or fr>0) and (dj=0 or fc>0))
+      group by {keys}, ar, ac, ir, ic, need having bool_or(own)"""
 
 
 # per-strip shift: dx = (strip_no%7-3)/4 cells, dy = (strip_no%5-2)/2 cells, dz = strip_no/8
@@ -172,13 +172,13 @@ def strip_shifts(p):
 
 
 _SC, _SR = "((strip_no%7-3)/4e0)", "(-(strip_no%5-2)/2e0)"
-SHIFTED = f"sh as (select *, floor{_SC} as ic, {_SC}-floor{_SC} as fc, floor{_SR} as ir, {_SR}-floor{_SR} as fr from px)"
+SHIFTED = f"sh as materialized (select *, floor{_SC} as ic, {_SC}-floor{_SC} as fc, floor{_SR} as ir, {_SR}-floor{_SR} as fr from px)"
 
 
 @query(
     "k14_shift_resample",
-    with_inputs("px", f"""with {SHIFTED} select strip_id, cast(row as int) as row, cast(col as int) as col, z - k/8e0 as z from (
-      {shift_sql('sh', 'a.ic', 'a.fc', 'a.ir', 'a.fr').replace('select a.strip_id', 'select a.strip_no as k, a.strip_id')})"""),
+    with_inputs("px", f"""with {SHIFTED} select strip_id, cast(row as int) as row, cast(col as int) as col, z - strip_no/8e0 as z
+      from ({shift_sql('sh', 'strip_id, strip_no')})"""),
 )
 def _k14(spark, sf):
     p = px(spark, sf)
@@ -187,8 +187,9 @@ def _k14(spark, sf):
 
 @query(
     "k14_nearest_mask",
-    with_inputs("px", f"""with {SHIFTED} select a.strip_id, cast(a.row-a.ir as int) as row, cast(a.col-a.ic as int) as col, coalesce(b.mt, false) as mt
-      from sh a left join sh b on b.strip_id=a.strip_id and b.row=a.row+(case when a.fr<0.5 then 0 else 1 end) and b.col=a.col+(case when a.fc<0.5 then 0 else 1 end)"""),
+    with_inputs("px", f"""with {SHIFTED}, u as (select strip_id, row, col, ir, ic, true as own, null as mt from sh union all
+        select strip_id, row - (case when fr < 0.5 then 0 else 1 end), col - (case when fc < 0.5 then 0 else 1 end), ir, ic, false, mt from sh)
+      select strip_id, cast(row-ir as int) as row, cast(col-ic as int) as col, coalesce(bool_or(mt), false) as mt from u group by strip_id, row, col, ir, ic having bool_or(own)"""),
 )
 def _k14n(spark, sf):
     p = px(spark, sf)
@@ -301,9 +302,9 @@ def _k19(spark, sf):
 
 @query(
     "k20_regrid",
-    with_inputs("px", f"""with sh as (select *, ceil(x0/2e0)-x0/2e0 as sx, (y0/2e0-floor(y0/2e0)) as sy from (select *, (strip_no%4)/2e0 as x0, (strip_no%3)/4e0 as y0 from px)),
-      s2 as (select *, floor(sx) as ic, sx-floor(sx) as fc, floor(sy) as ir, sy-floor(sy) as fr from sh)
-      select strip_id, cast(row as int) as row, cast(col as int) as col, {q('z')} as z from ({shift_sql('s2', 'a.ic', 'a.fc', 'a.ir', 'a.fr')})"""),
+    with_inputs("px", f"""with sh as materialized (select *, ceil(x0/2e0)-x0/2e0 as sx, (y0/2e0-floor(y0/2e0)) as sy from (select *, (strip_no%4)/2e0 as x0, (strip_no%3)/4e0 as y0 from px)),
+      s2 as materialized (select *, floor(sx) as ic, sx-floor(sx) as fc, floor(sy) as ir, sy-floor(sy) as fr from sh)
+      select strip_id, cast(row as int) as row, cast(col as int) as col, {q('z')} as z from ({shift_sql('s2', 'strip_id')})"""),
 )
 def _k20(spark, sf):
     p = px(spark, sf)
