@@ -43,7 +43,7 @@ def edges_enclose(ring_edges: Column, px: Column, py: Column) -> Column:
 def edge_crossings(ring_edges: Column, py: Column) -> Column:
     """Sorted x where prepared edges cross the horizontal line at ``py``."""
     hit = F.filter(ring_edges, lambda e: (e.ay > py) != (e.by > py))
-    return F.array_sort(
+    return F.sort_array(
         F.transform(hit, lambda e: e.ax + (py - e.ay) * (e.bx - e.ax) / (e.by - e.ay))
     )
 

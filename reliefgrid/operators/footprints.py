@@ -66,21 +66,21 @@ def spans(pairs: DataFrame, keep: Sequence[str], res: float | Column, buffer_px:
     r0 = F.greatest(F.lit(0), F.floor((top - F.array_max(ys)) / res).cast("int"))
     r1 = F.least(n_row, F.ceil((top - F.array_min(ys)) / res).cast("int"))
     d = pairs.select(*keep, pg.edges(F.col(poly)).alias("_e"), left.alias("_left"), top.alias("_top"), n_col.alias("_nc"), r0.alias("_r0"), r1.alias("_r1"))
-    band = F.explode(F.sequence(F.floor(F.col("_r0") / ROW_BAND), F.floor(F.col("_r1") / ROW_BAND)))
+    band = F.explode_outer(F.sequence(F.floor(F.col("_r0") / ROW_BAND), F.floor(F.col("_r1") / ROW_BAND)))
     d = d.filter("_r0 <= _r1").withColumn("_band", band)
     first, last = F.greatest("_r0", F.col("_band") * ROW_BAND).cast("int"), F.least("_r1", (F.col("_band") + 1) * ROW_BAND - 1).cast("int")
     d = d.select(*keep, "_e", "_left", "_top", "_nc", "_band", first.alias("_r0"), last.alias("_r1"))
     high, low = F.col("_top") - F.col("_r0") * res, F.col("_top") - F.col("_r1") * res
     meets = F.filter("_e", lambda e: (F.greatest(e.ay, e.by) > low) & (F.least(e.ay, e.by) <= high))
     # few pairs become many ranges: bands are spread first, so one large polygon is many tasks
-    d = d.withColumn("_e", meets).filter(F.size("_e") > 1).repartition(*keep, "_band")
-    d = d.select("*", F.explode(F.sequence("_r0", "_r1")).alias("row"))
-    d = d.withColumn("_x", pg.edge_crossings(F.col("_e"), F.col("_top") - F.col("row") * res)).filter(F.size("_x") > 1)
-    pieces = F.transform(
-        F.sequence(F.lit(0), F.size("_x") - 2, F.lit(2)),
-        lambda i: F.struct(F.get("_x", i).alias("a"), F.get("_x", i + 1).alias("b")),
-    )
-    d = d.select(*keep, "row", "_left", "_nc", F.explode(pieces).alias("_s"))
+    # few pairs become many ranges: bands are spread first, so one large polygon is many tasks
+    d = d.withColumn("_e", meets).repartition(*keep, "_band")
+    d = d.select("*", F.explode_outer(F.sequence("_r0", "_r1")).alias("row"))
+    # crossings come before the pieces they pair up to, so that a row's are computed once
+    d = d.withColumn("_x", pg.edge_crossings(F.col("_e"), F.col("_top") - F.col("row") * res))
+    d = d.select(*keep, "row", "_left", "_nc", "_x", F.explode_outer(F.sequence(F.lit(0), F.greatest(F.size("_e") - 2, F.lit(0)), F.lit(2))).alias("_i"))
+    d = d.select(*keep, "row", "_left", "_nc", F.struct(F.get("_x", F.col("_i")).alias("a"), F.get("_x", F.col("_i") + 1).alias("b")).alias("_s"))
+    d = d.filter(F.col("_s.b").isNotNull())
     # one spare column on both sides, then the exact centre test
     a = F.greatest(F.lit(0), F.floor((F.col("_s.a") - F.col("_left")) / res).cast("int"))
     b = F.least(F.col("_nc"), F.ceil((F.col("_s.b") - F.col("_left")) / res).cast("int"))

@@ -61,10 +61,11 @@ def parse_strip_scenes(reports: DataFrame) -> DataFrame:
     A line that isn't a name and four words has an empty name and NULLs.
     """
     at = lambda text, n: F.substring(text, n, F.length(text))
-    d = reports.filter(F.contains("value", F.lit(TABLE_TITLE))).select("path", at(F.col("value"), F.locate(TABLE_TITLE, "value")).alias("_text"))
+    has = F.contains("value", F.lit(TABLE_TITLE))
+    d = reports.select("path", F.when(has, at(F.col("value"), F.locate(TABLE_TITLE, "value"))).alias("_text"))
     body = at(F.col("_text"), F.length(F.substring_index("_text", "\n", 2)) + 2)
     table = F.split(body, r"\n\s*\n", 2)[0]
-    lines = d.select("path", F.posexplode(F.split(table, "\n")).alias("i", "line")).filter("line rlike '\\\\S'")
+    lines = d.select("path", F.posexplode_outer(F.split(table, "\n")).alias("i", "line")).filter("line rlike '\\\\S'")
     whole = F.when(F.col("line").rlike(SCENE_LINE), F.split("line", " "))
     lines = lines.select("path", (F.col("i") + 1).alias("seq"), whole.alias("_w"))
     num = lambda n: F.get("_w", F.lit(n)).try_cast("double")
