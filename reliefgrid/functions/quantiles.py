@@ -4,7 +4,7 @@ The built-in exact ``percentile``/``median`` keeps every distinct value of a gro
 one aggregation buffer; a group with a third of all pixels would not fit.  Here every
 wanted rank has a value range.  A round cuts each range into BINS bins, counts them, and
 the bin that holds the rank becomes its range, drawn in to the smallest and largest value
-in it, until both are equal.  Groups of all sizes, and all ranks, share the rounds; only
+in it, until the rank is the first or last of its range or both are equal.  Groups of all sizes, and all ranks, share the rounds; only
 counts of bins are shuffled.  Bins of equal width take turns with bins by magnitude.
 """
 
@@ -33,27 +33,34 @@ def _bin(v: Column, lo: Column, hi: Column, by_root: bool) -> Column:
 
 
 def _narrowed(v: DataFrame, ranges: DataFrame, keys: list[str], by_root: bool) -> DataFrame:
-    """(keys, lo, hi, below, ranks): each range replaced by those of its bins that hold a rank."""
+    """(keys, lo, hi, count, below, ranks): each range replaced by those of its bins that hold a rank."""
     of = [*keys, "_lo", "_hi"]
     inside = v.join(ranges.select(*of), keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
     bins = inside.groupBy(*of, _bin(F.col("_v"), F.col("_lo"), F.col("_hi"), by_root).alias("_bin")).agg(
         F.count("*").alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max")
     )
     upto = F.sum("_c").over(Window.partitionBy(*of).orderBy("_bin"))  # at most BINS rows of a range
-    placed = bins.withColumn("_upto", upto).join(ranges, of).withColumn("_end", F.col("_below") + F.col("_upto"))
+    placed = bins.withColumn("_upto", upto).join(ranges.drop("_count"), of).withColumn("_end", F.col("_below") + F.col("_upto"))
     held = placed.withColumn("_ranks", F.filter("_ranks", lambda r: (r <= F.col("_end")) & (r > F.col("_end") - F.col("_c"))))
     return held.filter(F.size("_ranks") > 0).select(
-        *keys, F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), (F.col("_end") - F.col("_c")).alias("_below"), "_ranks"
+        *keys, F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), F.col("_c").alias("_count"), (F.col("_end") - F.col("_c")).alias("_below"), "_ranks"
     )
 
 
+def _known(rank: Column) -> Column:
+    """The value of a rank that its range tells; null if it may lie inside."""
+    at = rank - F.col("_below")
+    return F.when(at == 1, F.col("_lo")).when((at == F.col("_count")) | (F.col("_lo") == F.col("_hi")), F.col("_hi"))
+
+
 def group_quantiles(
-    df: DataFrame, keys: Sequence[str], value: Column, probs: dict[str, float]
+    df: DataFrame, keys: Sequence[str], value: Column, probs: dict[str, float], written: bool = False
 ) -> DataFrame:
     """``keys, n, <name>...`` with sample k placed at (k - 1/2)/n and linear between.
 
     At probability 0.5 this is the ordinary median.  NULL and NaN values are skipped;
-    rows with a NULL key belong to no group.
+    rows with a NULL key belong to no group.  ``written``: df is read from files, so
+    that each round can read it again.
     """
     from ..session import cut
 
@@ -61,17 +68,18 @@ def group_quantiles(
     named = list(keys)
     keys = named or ["_all"]
     v = df.select(*(named or [whole]), value.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    v = cut(v)
+    v = v if written else cut(v)
     # adding zero makes one value of 0.0 and -0.0, which compare as equal
     v = v.select(*keys, (F.col("_v") + F.lit(0.0)).alias("_v"))
     place = {name: F.greatest(F.lit(1.0), F.least(F.col("_n").cast("double"), F.col("_n") * float(p) + 0.5)) for name, p in probs.items()}
     wanted = F.array_distinct(F.array(*(f(x).cast("long") for x in place.values() for f in (F.floor, F.ceil))))
     sizes = cut(v.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
-    ranges = sizes.select(*keys, "_lo", "_hi", F.lit(0).cast("long").alias("_below"), wanted.alias("_ranks"))
+    ranges = sizes.select(*keys, "_lo", "_hi", F.col("_n").alias("_count"), F.lit(0).cast("long").alias("_below"), wanted.alias("_ranks"))
     found = []
     while True:
-        found.append(ranges.filter("_lo = _hi").select(*keys, F.explode("_ranks").alias("_rank"), F.col("_lo").alias("_v")))
-        open_ = ranges.filter("_lo < _hi")
+        told = ranges.select("*", F.explode("_ranks").alias("_rank")).select(*keys, "_rank", _known(F.col("_rank")).alias("_v"))
+        found.append(told.filter("_v is not null"))
+        open_ = ranges.withColumn("_ranks", F.filter("_ranks", lambda r: _known(r).isNull())).filter(F.size("_ranks") > 0)
         if open_.isEmpty():
             break
         ranges = cut(_narrowed(v, open_, keys, len(found) % 2 == 0))
@@ -87,5 +95,5 @@ def group_quantiles(
     return sizes.join(values, keys).select(*named, F.col("_n").alias("n"), *[value_of(place[name]).alias(name) for name in probs])
 
 
-def group_median(df: DataFrame, keys: Sequence[str], value: Column, name: str = "median") -> DataFrame:
-    return group_quantiles(df, keys, value, {name: 0.5}).drop("n")
+def group_median(df: DataFrame, keys: Sequence[str], value: Column, name: str = "median", written: bool = False) -> DataFrame:
+    return group_quantiles(df, keys, value, {name: 0.5}, written).drop("n")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import along_col, along_row, blocked, core, with_halo
@@ -21,6 +21,47 @@ def tile_cells(tiles: DataFrame, res: float, buffer_px: int = 100) -> DataFrame:
     return tiles.select("tile_id", cells.alias("cells"))
 
 
+def _first_row_col(res: float, pad: float) -> tuple[Column, Column]:
+    return F.round(-(F.col("y1") + pad) / res).cast("int"), F.round((F.col("x0") - pad) / res).cast("int")
+
+
+def tile_bounds(tiles: DataFrame, res: float, buffer_px: int = 100) -> DataFrame:
+    """(tile_id, r0, r1, c0, c1): first and last row and column of each widened tile.
+
+    Rows and columns count from the origin of the map, as all tiles' cells must where neighbours meet.
+    """
+    r0, c0 = _first_row_col(res, buffer_px * res)
+    last = [_last_index(a, res, buffer_px * res) for a in "yx"]
+    return tiles.select("tile_id", r0.alias("r0"), (r0 + last[0]).alias("r1"), c0.alias("c0"), (c0 + last[1]).alias("c1"))
+
+
+def on_common_lattice(px: DataFrame, tiles: DataFrame, res: float) -> DataFrame:
+    """Cells counted from each tile's corner, as ``strips_in_tiles`` gives them, counted from the origin of the map.
+
+    ``tiles`` has the same bounds that the cells were read with.
+    """
+    r0, c0 = _first_row_col(res, 0.0)
+    corner = tiles.select("tile_id", r0.alias("_r0"), c0.alias("_c0"))
+    return px.join(corner, "tile_id").withColumns({"row": F.col("row") + F.col("_r0"), "col": F.col("col") + F.col("_c0")}).drop("_r0", "_c0")
+
+
+def gaps(px: DataFrame, keys: Sequence[str], bounds: DataFrame) -> DataFrame:
+    """The complement of ``px`` in lattices, as runs: keys, row, c_from, c_to (columns, both included).
+
+    ``bounds``: keys, r0, r1, c0, c1; the cells of ``px`` lie inside.  Only cells that
+    exist are sorted, per row; a row without any is one run.
+    """
+    keys = list(keys)
+    of_row = Window.partitionBy(*keys, "row").orderBy("col")
+    d = px.select(*keys, "row", "col").join(bounds, keys)
+    start = F.when(F.lag("col").over(of_row).isNull(), F.col("c0"))
+    after = F.coalesce(F.lead("col").over(of_row), F.col("c1") + 1)
+    runs = F.array(F.struct(start.alias("c_from"), (F.col("col") - 1).alias("c_to")), F.struct((F.col("col") + 1).alias("c_from"), (after - 1).alias("c_to")))
+    between = d.select(*keys, "row", runs.alias("_runs")).select(*keys, "row", F.explode("_runs").alias("_run")).select(*keys, "row", "_run.c_from", "_run.c_to").filter("c_from <= c_to")
+    rows = bounds.filter("r0 <= r1 and c0 <= c1").select(*keys, F.explode(F.sequence("r0", "r1")).alias("row"), F.col("c0").alias("c_from"), F.col("c1").alias("c_to"))
+    return between.unionByName(rows.join(px.select(*keys, "row").distinct(), [*keys, "row"], "left_anti"))
+
+
 def tile_lattice(tiles: DataFrame, res: float, buffer_px: int = 100) -> DataFrame:
     """One row per cell of every tile: x ascending with col, y descending with row.
 

@@ -56,15 +56,15 @@ def least_squares(df: DataFrame, keys: Sequence[str], sx: str = "sx", sy: str =
     return s.select(*keys, F.col("_s1").cast("long").alias("n"), *[e.alias(n) for n, e in q.items()])
 
 
-def spread(df: DataFrame, keys: Sequence[str], v: str = "dz") -> DataFrame:
+def spread(df: DataFrame, keys: Sequence[str], v: str = "dz", written: bool = False) -> DataFrame:
     """Exact median and n-1 standard deviation per group."""
     std = df.groupBy(*keys).agg(F.stddev_samp(v).alias("std"))
-    return group_median(df, keys, F.col(v)).join(std, list(keys))
+    return group_median(df, keys, F.col(v), written=written).join(std, list(keys))
 
 
-def inliers(df: DataFrame, keys: Sequence[str], v: str = "dz", strict: bool = False) -> DataFrame:
+def inliers(df: DataFrame, keys: Sequence[str], v: str = "dz", strict: bool = False, written: bool = False) -> DataFrame:
     """Rows within one standard deviation of the group median."""
-    d = df.join(spread(df, keys, v), list(keys))
+    d = df.join(spread(df, keys, v, written), list(keys))
     off = F.abs(F.col(v) - F.col("median"))
     return d.filter(off < F.col("std") if strict else off <= F.col("std")).drop("median", "std")
 
@@ -133,10 +133,10 @@ def coregister(ref: DataFrame, flt: DataFrame, keys: Sequence[str], res: float)
     while active:
         it += 1
         dz = cut(trial_differences(ref, flt, state, keys, res))
-        good = cut(inliers(dz, keys).filter("sx is not null and sy is not null"))
+        good = cut(inliers(dz, keys, written=True).filter("sx is not null and sy is not null"))
         fit = good.groupBy(*keys).agg(rmse(F.col("dz")).alias("d1"), *normal_sums(F.col("sx"), F.col("sy"), F.col("dz")))
         if it == 1:
-            med = group_median(good, keys, F.col("dz"), "m1")
+            med = group_median(good, keys, F.col("dz"), "m1", written=True)
             about = good.join(med, keys).groupBy(*keys).agg(rmse(F.col("dz") - F.col("m1")).alias("r1"), F.first("m1").alias("m1"))
             fit = fit.join(about, keys)
         have = dz.groupBy(*keys).agg(F.count("*").alias("_cells"))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliefgrid.rounds import Rounds
+from reliefgrid.rounds import Journal, Rounds, shared_folder
 
 
 def get_session(app: str = "reliefgrid", master: str | None = None, **conf) -> SparkSession:
@@ -30,16 +31,26 @@ def get_session(app: str = "reliefgrid", master: str | None = None, **conf) -> S
 _ROUNDS: dict[str, Rounds] = {}
 
 
+def _rounds_of(spark: SparkSession) -> Rounds:
+    app = spark.sparkContext.applicationId
+    if app not in _ROUNDS:
+        _ROUNDS[app] = Rounds(spark, "rounds")
+    return _ROUNDS[app]
+
+
+def journal(spark: SparkSession, job: str, name: str | None = None, **settings) -> Journal:
+    """The journal of the job called ``name``; without a name a new one among the application's round tables."""
+    if name is None:
+        return Journal(spark, f"{_rounds_of(spark).base}/{job}-{uuid.uuid4().hex}", settings)
+    return Journal(spark, f"{shared_folder(spark)}/{job}-{name}", settings)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: what follows starts at files.
 
     The tables of an application lie in one folder, which ``clear_rounds`` deletes.
     """
-    spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    if app not in _ROUNDS:
-        _ROUNDS[app] = Rounds(spark, "rounds")
-    rounds = _ROUNDS[app]
+    rounds = _rounds_of(df.sparkSession)
     typed = df.withColumns({f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if f.dataType.typeName() == "void"})
     return rounds.put(typed, f"cut{rounds.count}")
 
