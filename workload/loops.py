@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from reliefgrid.operators import hulls, masks as mk, merge as mg, select as sel, solve
+from reliefgrid.operators.lattice import tile_bounds
 from reliefgrid.plans import mosaic as pm, registration as pr, strips as ps
+from reliefgrid.sources.rasters import export_tiles
 
-from .inputs import Inputs, qc
+from .inputs import Inputs, qc, with_inputs
 from .joins import gp, layers, smooth, strip_points
 from .registry import query
 
@@ -138,12 +140,39 @@ def _scene_boxes(spark, sf):
     return s.select("strip_id", F.col("seq").cast("int").alias("seq"), x.alias("xmin"), (x + 12).alias("xmax"), y.alias("ymin"), (y + 10).alias("ymax"))
 
 
-@query("o1_scene_order")
+# The state of a strip is one row: scenes left, box grown so far, and the scene of the round.
+SCENE_ORDER = """with recursive box as (
+     select strip_id, cast(seq as int) as seq, seq*1e1 + rmse*4 as x0, seq*1e1 + rmse*4 + 12 as x1, seq*4e0 + dy*8 as y0, seq*4e0 + dy*8 + 10 as y1
+     from strip_scene),
+   walk as (
+     select strip_id, list({'seq': seq, 'x0': x0, 'x1': x1, 'y0': y0, 'y1': y1}) as scenes, 0 as segment, 0 as position, cast(null as int) as seq,
+            cast(null as double) as u0, cast(null as double) as u1, cast(null as double) as v0, cast(null as double) as v1
+     from box group by strip_id
+     union all
+     select strip_id, list_filter(scenes, lambda s: s.seq <> p.seq), segment + fresh, case when fresh = 1 then 1 else position + 1 end, p.seq,
+            case when fresh = 1 then p.x0 else least(u0, p.x0) end, case when fresh = 1 then p.x1 else greatest(u1, p.x1) end,
+            case when fresh = 1 then p.y0 else least(v0, p.y0) end, case when fresh = 1 then p.y1 else greatest(v1, p.y1) end
+     from (
+       select *, case when near is null then 1 else 0 end as fresh, coalesce(near.s, lowest.s) as p
+       from (
+         select *,
+           list_sort(list_transform(
+             list_filter(scenes, lambda s: u0 is not null and least(u1, s.x1) > greatest(u0, s.x0) and least(v1, s.y1) > greatest(v0, s.y0)),
+             lambda s: {'k': -(least(u1, s.x1) - greatest(u0, s.x0)) * (least(v1, s.y1) - greatest(v0, s.y0)), 'q': s.seq, 's': s}))[1] as near,
+           list_sort(list_transform(scenes, lambda s: {
+             'k': case when list_max(list_transform(scenes, lambda t: t.x1)) - list_min(list_transform(scenes, lambda t: t.x0))
+                         >= list_max(list_transform(scenes, lambda t: t.y1)) - list_min(list_transform(scenes, lambda t: t.y0)) then s.x0 else s.y0 end,
+             'q': s.seq, 's': s}))[1] as lowest
+         from walk where len(scenes) > 0) a) b)
+   select strip_id, seq, segment, position from walk where seq is not null"""
+
+
+@query("o1_scene_order", with_inputs("strip_scene", SCENE_ORDER + " and segment = 1"))
 def _o1(spark, sf):
     return sel.order_scenes(_scene_boxes(spark, sf), segments=False)
 
 
-@query("o6_segment_numbers")
+@query("o6_segment_numbers", with_inputs("strip_scene", SCENE_ORDER))
 def _o6(spark, sf):
     return sel.order_scenes(_scene_boxes(spark, sf), segments=True)
 
@@ -281,6 +310,23 @@ def _b7a(spark, sf):
     return pm.build_tiles(px, s, RES, "warp")[0]
 
 
+TILE_LATTICE = """with kept as (select * from tile_px where ortho % 5 <> 0),
+   t as (select distinct tile_id, tile_row, tile_col from kept),
+   cells as (select tile_id, cast(tile_row*60 + 3 + a.r as int) as row, cast(tile_col*24 - 3 + b.c as int) as col from t, range(104) a(r), range(49) b(c))
+   select tile_id, row, col, cast(coalesce(z, -9999) as float) as z, coalesce(cast(mt as int), 0) as mt, coalesce(ortho, 0) as ortho, coalesce(dy, 0) as dy
+   from cells left join kept using (tile_id, row, col)"""
+
+
+@query("b10_tile_lattice", with_inputs("tile_px", TILE_LATTICE))
+def _b10l(spark, sf):
+    """Tiles exported on the lattices of their own bounds, which start below the first rows and end beyond the last."""
+    t = get(spark, sf, "tile_px").filter("ortho % 5 <> 0")
+    top, left = F.col("tile_row") * 60 + 3, F.col("tile_col") * 24 - 3
+    own = _tile_table(t).withColumns({"x0": left * 8.0, "x1": (left + 48) * 8.0, "y0": -(top + 103) * 8.0, "y1": -top * 8.0})
+    d = export_tiles(t.select("tile_id", "row", "col", "z", "mt", "ortho", "dy"), None, 2, tile_bounds(own, 8.0, 2), dense=True)
+    return d.select("tile_id", "row", "col", "z", *[F.col(c).cast("int").alias(c) for c in ("mt", "ortho", "dy")])
+
+
 @query("b10_build_mosaic")
 def _b10(spark, sf):
     px, s = _tile_build(spark, sf)
