@@ -39,7 +39,18 @@ def scenes(spark, sf):
 # ---- kernels and masks ------------------------------------------------------------
 
 
-@query("k17_grow_to_fixpoint")
+# cells reached from a seed through allowed cells, in steps within an 11 x 11 window
+GROWTH = """with recursive may as (select strip_id, row, col from px where abs(z - 100) > 2.2),
+   reached as (
+     select strip_id, row, col from px where z > 103.2
+     union
+     select m.strip_id, m.row, m.col
+     from (select strip_id, row + d.k - 5 as row, col from reached, range(11) d(k)) r
+     join may m on m.strip_id = r.strip_id and m.row = r.row and m.col between r.col - 5 and r.col + 5)
+   select strip_id, row, col, r.strip_id is not null as grown from px left join reached r using (strip_id, row, col)"""
+
+
+@query("k17_grow_to_fixpoint", with_inputs("px", GROWTH))
 def _k17(spark, sf):
     p = get(spark, sf, "px")
     d = mk.grow_to_fixpoint(p, K, F.col("z") > 103.2, F.abs(F.col("z") - 100) > 2.2, 11)
