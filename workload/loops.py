@@ -11,6 +11,7 @@ from reliefgrid.sources.rasters import export_tiles
 
 from .inputs import Inputs, qc, with_inputs
 from .joins import gp, layers, smooth, strip_points
+from .kernels import two_pass
 from .registry import query
 
 K = ["strip_id"]
@@ -62,7 +63,27 @@ def _k18(spark, sf):
     return mg.fill_voids(get(spark, sf, "px"), K, "z").withColumn("z", qc(F.col("z"), 64))
 
 
-@query("k2_density_mask")
+def large_sql(src: str, mask: str, least: int, name: str) -> str:
+    """CTEs: the rows of ``src`` with ``name``, true in 8-connected areas of ``mask`` of ``least`` cells or more."""
+    n = name
+    return f"""{n}_m as materialized (select strip_id, row, col, col - row_number() over (partition by strip_id, row order by col) as g from {src} where {mask}),
+   {n}_r as materialized (select *, row_number() over (order by strip_id, row, c0) as id from (select strip_id, row, min(col) as c0, max(col) as c1 from {n}_m group by strip_id, row, g)),
+   {n}_e as materialized (select a.id as u, b.id as v from {n}_r a join {n}_r b on a.strip_id = b.strip_id and abs(a.row - b.row) = 1 and a.c0 <= b.c1 + 1 and b.c0 - 1 <= a.c1),
+   {n}_w(id, lab) as (select id, id from {n}_r union select e.v, w.lab from {n}_w w join {n}_e e on e.u = w.id where e.v > w.lab),
+   {n}_l as (select id, min(lab) as lab from {n}_w group by id),
+   {n}_c as (select strip_id, row, c0, c1, sum(c1 - c0 + 1) over (partition by lab) as cells from {n}_r join {n}_l using (id)),
+   {n} as materialized (select p.*, coalesce(c.cells >= {least}, false) as {n}
+     from {src} p left join {n}_c c on c.strip_id = p.strip_id and c.row = p.row and p.col between c.c0 and c.c1)"""
+
+
+DENSE = f"""with recursive b as (select strip_id, row, col, case when z > 100 then 1 else 0 end as m1 from px),
+   {two_pass('b', 'm1', 5, 's')},
+   {large_sql('s', 's_sum/25e0 >= 0.5', 20, 'dense')},
+   {large_sql('dense', 'not dense', 40, 'gap')}
+   select strip_id, row, col, not gap and bool_or(s_sum/25e0 >= 0.5) over (partition by strip_id) as good from gap"""
+
+
+@query("k2_density_mask", with_inputs("px", DENSE))
 def _k2(spark, sf):
     d = mk.density_mask(get(spark, sf, "px"), K, F.col("z") > 100, 5, 0.5, 20, 40)
     return d.select(*K, "row", "col", "good")
