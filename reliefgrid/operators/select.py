@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import polygon as pg
 from ..functions.quantiles import group_quantiles
 from ..session import cut
+from .lattice import tile_cells, tile_lattice
 
 
 # ---- scrubbing --------------------------------------------------------------
@@ -106,25 +107,28 @@ def covered_rectangle(covered: DataFrame) -> DataFrame:
     )
 
 
-def percent_filled(lattice: DataFrame, covered: DataFrame) -> DataFrame:
-    """100 x covered / total cells per tile."""
-    c = covered.select("tile_id", "row", "col", F.lit(1).alias("_has")).distinct()
-    return (
-        lattice.join(c, ["tile_id", "row", "col"], "left")
-        .groupBy("tile_id")
-        .agg(
-            F.count("*").alias("cells"),
-            F.count("_has").alias("filled"),
-            (100.0 * F.count("_has") / F.count("*")).alias("percent_filled"),
-        )
+def percent_filled(sizes: DataFrame, covered: DataFrame) -> DataFrame:
+    """100 x covered / total cells per tile.
+
+    ``sizes``: tile_id and cells, as ``lattice.tile_cells`` counts them from the tiles'
+    bounds; ``covered`` holds cells of these lattices, repeats included.  Only covered cells are rows.
+    """
+    c = covered.select("tile_id", "row", "col").distinct().groupBy("tile_id").agg(F.count("*").alias("_n"))
+    filled = F.coalesce("_n", F.lit(0))
+    return sizes.select("tile_id", "cells").join(c, "tile_id", "left").select(
+        "tile_id", "cells", filled.alias("filled"), (100.0 * filled / F.col("cells")).alias("percent_filled")
     )
 
 
-def water_cells(lattice: DataFrame, land: DataFrame, min_percent: float = 0.2) -> DataFrame:
-    """Cells outside every coastline polygon, where they exceed the share that counts."""
-    off = lattice.join(land.select("tile_id", "row", "col"), ["tile_id", "row", "col"], "left_anti")
-    share = percent_filled(lattice, off).filter(F.col("percent_filled") > min_percent)
-    return off.join(share.select("tile_id"), "tile_id", "left_semi").select("tile_id", "row", "col")
+def water_cells(tiles: DataFrame, land: DataFrame, res: float, buffer_px: int = 100, min_percent: float = 0.2) -> DataFrame:
+    """Cells outside every coastline polygon, where they exceed the share that counts.
+
+    The share follows from counts; only the lattices of tiles beyond it are made.
+    """
+    share = percent_filled(tile_cells(tiles, res, buffer_px), land)
+    wet = share.filter(100.0 * (F.col("cells") - F.col("filled")) / F.col("cells") > min_percent).select("tile_id")
+    cells = tile_lattice(tiles.join(wet, "tile_id", "left_semi"), res, buffer_px).select("tile_id", "row", "col")
+    return cells.join(land.select("tile_id", "row", "col"), ["tile_id", "row", "col"], "left_anti")
 
 
 def drop_complete_tiles(tiles: DataFrame, filled: DataFrame) -> DataFrame:
@@ -226,13 +230,13 @@ def cluster_starts(merges: DataFrame) -> DataFrame:
     return merges.groupBy("tile_id").agg(F.count_if(zero).alias("clusters"))
 
 
-def replay_reviews(lattice: DataFrame, cover: DataFrame, decisions: DataFrame, masked: DataFrame) -> DataFrame:
+def replay_reviews(sizes: DataFrame, cover: DataFrame, decisions: DataFrame, masked: DataFrame) -> DataFrame:
     """Coverage per tile after recorded decisions: flags 1-3 add (3 minus its masks), 4-5 drop."""
     ok = decisions.filter(F.col("flag").between(1, 3)).select("strip_id", "flag")
     c = cover.join(ok, "strip_id")
     hit = masked.select("tile_id", "strip_id", "row", "col", F.lit(True).alias("_m"))
     c = c.join(hit, ["tile_id", "strip_id", "row", "col"], "left").filter((F.col("flag") != 3) | F.col("_m").isNull())
-    return percent_filled(lattice, c)
+    return percent_filled(sizes, c)
 
 
 # ---- scene order ------------------------------------------------------------

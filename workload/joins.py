@@ -84,8 +84,8 @@ def _j5(spark, sf):
 _LATTICE = "lat as (select tile_id, cast(r as int) as row, cast(c as int) as col from tiles, range(41) a(r), range(51) b(c))"
 
 
-def lattice(spark, sf):
-    return lt.tile_lattice(get(spark, sf, "tiles"), RES, 0).select("tile_id", "row", "col")
+def sizes(spark, sf):
+    return lt.tile_cells(get(spark, sf, "tiles"), RES, 0)
 
 
 @query(
@@ -104,7 +104,7 @@ def _a3(spark, sf):
       select tile_id, count(*) as cells, count(h) as filled, 1e2*count(h)/count(*) as percent_filled from lat left join done using (tile_id, row, col) group by 1"""),
 )
 def _a4(spark, sf):
-    return sel.percent_filled(lattice(spark, sf), cover(spark, sf).filter("qc = 1 and rmse < 0.5"))
+    return sel.percent_filled(sizes(spark, sf), cover(spark, sf).filter("qc = 1 and rmse < 0.5"))
 
 
 @query(
@@ -116,7 +116,7 @@ def _a4(spark, sf):
 )
 def _a4w(spark, sf):
     land = cover(spark, sf).filter("rmse < 0.25").select("tile_id", "row", "col")
-    return sel.water_cells(lattice(spark, sf), land)
+    return sel.water_cells(get(spark, sf, "tiles"), land, RES, 0)
 
 
 @query(
@@ -134,7 +134,7 @@ def _a5(spark, sf):
       select tile_id from tiles where tile_id not in (select tile_id from s where filled = cells)"""),
 )
 def _p16(spark, sf):
-    f = sel.percent_filled(lattice(spark, sf), cover(spark, sf).filter("qc <= 2"))
+    f = sel.percent_filled(sizes(spark, sf), cover(spark, sf).filter("qc <= 2"))
     return sel.drop_complete_tiles(get(spark, sf, "tiles"), f).select("tile_id")
 
 
@@ -146,7 +146,7 @@ def _p16(spark, sf):
 def _b9(spark, sf):
     f = get(spark, sf, "footprint").filter("rmse < 0.5").select("strip_id", F.col("qc").alias("flag"))
     c = cover(spark, sf).select("tile_id", "strip_id", "row", "col")
-    return sel.replay_reviews(lattice(spark, sf), c, f, mask_cover(spark, sf))
+    return sel.replay_reviews(sizes(spark, sf), c, f, mask_cover(spark, sf))
 
 
 @query(
