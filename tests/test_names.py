@@ -7,7 +7,7 @@ from check import rows_of
 from workload import load
 
 SAME = ["k21_edge_ramp", "j17_tile_pair_overlap", "a15_boundary_profile", "b10_tile_lattice"]
-APART = ["r8_apply_offsets", "a12_combine_clusters"]  # their SQL mixes the tiles of a name; with names of full length it gives each tile's own result
+APART = ["r8_apply_offsets", "a12_combine_clusters", "b5_merge_tile_edges"]  # their SQL mixes the tiles of a name; with names of full length it gives each tile's own result
 
 
 @pytest.fixture(scope="module")
