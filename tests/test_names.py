@@ -43,3 +43,9 @@ def test_tiles_of_one_name_agree_with_sql(spark, folder, name):
 def test_tiles_of_one_name_stay_apart(spark, folder, name):
     got, want = results(spark, folder, name, True)
     assert got == want
+
+
+def test_levelled_tiles_stay_apart(spark, folder):
+    d = load()[0]["b6_level_boundaries"](spark, folder)
+    assert d.groupBy("tile_id").count().count() == 12
+    assert d.groupBy("tile_id", "row", "col").count().filter("count > 1").isEmpty()
