@@ -49,3 +49,8 @@ def test_levelled_tiles_stay_apart(spark, folder):
     d = load()[0]["b6_level_boundaries"](spark, folder)
     assert d.groupBy("tile_id").count().count() == 12
     assert d.groupBy("tile_id", "row", "col").count().filter("count > 1").isEmpty()
+
+
+def test_aligned_tiles_stay_apart(spark, folder):
+    rows = load()[0]["r6_align_tiles"](spark, folder).collect()
+    assert sorted(r["tile_id"] for r in rows) == sorted(f"{s:02d}_01" for s in (9, 10, 11, 99, 100, 101))
