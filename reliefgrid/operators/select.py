@@ -214,11 +214,18 @@ def cluster_of_merges(merges: DataFrame) -> DataFrame:
     return merges.withColumn("cluster", F.when(F.col("anchored"), 1).otherwise(1 + starts).cast("int"))
 
 
-def cluster_cells(cover: DataFrame, merges: DataFrame) -> DataFrame:
-    """Each covered cell takes the cluster of the first strip that covers it."""
+def cluster_cells(cover: DataFrame, merges: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """Each covered cell takes the cluster of the first strip that covers it.
+
+    ``of`` (strip_id, outline_id) tells that ``cover`` has the cells of outlines, which strips share.
+    """
     lab = cluster_of_merges(merges).select("tile_id", "strip_id", "seq", "cluster")
+    unit = "strip_id"
+    if of is not None:
+        unit = "outline_id"
+        lab = lab.join(of, "strip_id").groupBy("tile_id", unit).agg(F.min("seq").alias("seq"), F.min_by("cluster", "seq").alias("cluster"))
     return (
-        cover.join(lab, ["tile_id", "strip_id"])
+        cover.join(lab, ["tile_id", unit])
         .groupBy("tile_id", "row", "col")
         .agg(F.min_by("cluster", "seq").alias("cluster"))
     )
