@@ -59,3 +59,24 @@ def test_window_of_months_is_that_of_points(spark):
     keys = ["strip_id", "month_range", "month"]
     want = by_point.withColumn("month", F.month("t")).groupBy(*keys).count()
     assert sorted(map(tuple, by_month.select(*keys, "n").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_sparse_ids_make_few_ranges(spark):
+    d = spark.range(3000).select((F.col("id") % 2).alias("k"), (F.col("id") * 100_000_007 - 50_000_000_000).alias("i"))
+    got = pt.sequence_number(d, ["k"], "i")
+    rows = got.orderBy("k", "i").collect()
+    assert [r["seq"] for r in rows] == [*range(1, 1501)] * 2 and {r["group_rows"] for r in rows} == {1500}
+    # the ranks before a range come from a table of at most a row per key and partition
+    d = d.withColumn("i", F.col("i").cast("long"))
+    seen = pt.cut
+
+    def counted(frame):
+        kept = seen(frame)
+        assert kept.select("k", "_rng").distinct().count() <= 2 * 4
+        return kept
+
+    pt.cut = counted
+    try:
+        pt.sequence_number(d, ["k"], "i").count()
+    finally:
+        pt.cut = seen
