@@ -163,3 +163,30 @@ def test_registered_tiles_use_every_control_point(spark, monkeypatch):
     monkeypatch.setattr(pr, "register_to_points", lambda px, pts, *a: used.append(pts.count()) or fit(px, pts, *a))
     assert loops._r5(spark, "").count() == 1600
     assert used == [900]
+
+
+def counted_puts(monkeypatch):
+    from reliefgrid.rounds import Rounds
+
+    made, put = [], Rounds.put
+    monkeypatch.setattr(Rounds, "put", lambda self, df, label: made.append(label) or put(self, df, label))
+    return made
+
+
+def test_a_round_of_small_pairs_writes_one_table_and_agrees_with_the_counting_rounds(spark, monkeypatch):
+    rough = lambda r, c: 3.0 + ((7 * r + 13 * c) % 17) / 64.0
+    ref = raster(spark, surface).unionByName(raster(spark, surface, 30, 50, key="b"))
+    flt = raster(spark, lambda r, c: surface(r + 0.5, c - 1.0) + rough(r, c)).unionByName(raster(spark, lambda r, c: surface(r, c) + rough(r, c), 30, 50, key="b"))
+    made = counted_puts(monkeypatch)
+    got = sorted(map(tuple, solve.coregister(ref, flt, ["k"], 2.0).collect()))
+    assert len(made) <= 3 + max(r[-1] for r in got)  # both rasters, the state, and one table a round
+    monkeypatch.setattr(solve, "GROUP_CELLS", 0)
+    want = sorted(map(tuple, solve.coregister(ref, flt, ["k"], 2.0).collect()))
+    assert [(r[0], *r[5:]) for r in got] == [(r[0], *r[5:]) for r in want]
+    assert np.allclose([r[1:5] for r in got], [r[1:5] for r in want], atol=1e-8)
+
+
+def test_medians_by_one_sort_skip_null_and_nan(spark):
+    rows = [("a", v) for v in (3.0, 1.0, None, float("nan"), 2.0)] + [("b", 1.0), ("b", 4.0), ("c", None)]
+    d = solve.with_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", "m")
+    assert {(r.k, r.m) for r in d.collect()} == {("a", 2.0), ("b", 2.5), ("c", None)}
