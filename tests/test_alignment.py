@@ -190,3 +190,19 @@ def test_medians_by_one_sort_skip_null_and_nan(spark):
     rows = [("a", v) for v in (3.0, 1.0, None, float("nan"), 2.0)] + [("b", 1.0), ("b", 4.0), ("c", None)]
     d = solve.with_median(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", "m")
     assert {(r.k, r.m) for r in d.collect()} == {("a", 2.0), ("b", 2.5), ("c", None)}
+
+
+def test_waves_along_a_row_of_tiles_write_only_what_they_reach(spark, monkeypatch):
+    from reliefgrid.plans import registration as pr
+
+    tile = lambda n, dz: raster(spark, lambda r, c: surface(r, c + 30 * n) + dz, key=f"t{n}").withColumn("col", F.col("col") + 30 * n).withColumnRenamed("k", "tile_id").withColumnRenamed("m", "mt")
+    more = lambda d: d.withColumns({"cluster": F.lit(2), "ortho": F.lit(1), "dy": F.lit(1)})
+    open_px = more(tile(1, 1.0).unionByName(tile(2, 3.0)).unionByName(tile(4, 9.0)))
+    tiles = spark.createDataFrame([(f"t{n}", 0, n) for n in range(5)], "tile_id string, tile_row int, tile_col int")
+    made = counted_puts(monkeypatch)
+    reg, off = pr.spread_alignment(open_px, more(tile(0, 0.0)), tiles, 2.0)
+    got = {r.tile_id: r for r in off.collect()}
+    assert set(got) == {"t1", "t2"}  # t3 has no cells, so t4 is never reached
+    assert got["t1"].dz == pytest.approx(1.0, abs=0.05) and got["t2"].dz == pytest.approx(3.0, abs=0.05)
+    assert {r.tile_id: r["count"] for r in reg.groupBy("tile_id").count().collect()} == {"t0": 1600, "t1": 1600, "t2": 1600}
+    assert len(made) <= 3 + 2 * 15  # every wave writes a bounded number of tables
