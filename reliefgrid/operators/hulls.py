@@ -12,6 +12,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -160,26 +162,102 @@ def simplify_ring(ring: list, tol_sq: float | None = None, keep_share: float | N
     return [*kept, kept[0]]
 
 
+def _offsets_sq(p: np.ndarray, v: np.ndarray, q: np.ndarray, clamp: bool = True) -> np.ndarray:
+    """``_offset_sq`` of many vertices: rows of (x, y)."""
+    e, d = q - p, v - p
+    length = e[..., 0] * e[..., 0] + e[..., 1] * e[..., 1]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        t = (d[..., 0] * e[..., 0] + d[..., 1] * e[..., 1]) / length
+        if clamp:
+            t = np.minimum(1.0, np.maximum(0.0, t))
+        off = (p + t[..., None] * e) - v
+        out = off[..., 0] * off[..., 0] + off[..., 1] * off[..., 1]
+    return np.where(length == 0, d[..., 0] * d[..., 0] + d[..., 1] * d[..., 1] if clamp else np.nan, out)
+
+
+def simplify_rings(pts: np.ndarray, tol_sq: float | None = None, keep_share: float | None = None) -> np.ndarray:
+    """``simplify_ring`` for rings of the same number of vertices, one vertex of each per step: a mask of the vertices kept.
+
+    ``pts``: (rings, vertices, 2), without the closing vertex; at least four vertices.
+    """
+    m, n = pts.shape[:2]
+    kept = np.ones((m, n), bool)
+    floor = 3
+    if keep_share is not None:
+        target = math.floor(n * keep_share + 0.5)
+        if target == n:
+            return kept
+        floor = max(3, target)
+    if tol_sq is None and keep_share is None:
+        gap = np.roll(pts, -1, axis=1) - pts
+        tol = np.hypot(gap[..., 0], gap[..., 1]).min(axis=1) / 2
+    else:
+        tol = np.full(m, tol_sq if tol_sq is not None else keep_share)
+    ahead = np.tile(np.roll(np.arange(n), -1), (m, 1))
+    behind = np.tile(np.roll(np.arange(n), 1), (m, 1))
+    carried = np.zeros((m, n))
+    # first scores measure to the whole line, later ones to the segment; infinite: removed, or without a score
+    score = _offsets_sq(np.roll(pts, 1, axis=1), pts, np.roll(pts, -1, axis=1), clamp=False)
+    score[np.isnan(score)] = np.inf
+    rings = np.arange(m)
+    for _ in range(n - floor):
+        i = score[rings].argmin(axis=1)
+        best = score[rings, i]
+        if keep_share is not None:
+            go = best < np.inf
+            while (low := go & ~(best < tol[rings])).any():
+                tol[rings[low]] *= math.sqrt(1.5)
+        else:
+            go = best < tol[rings]
+        rings, i, best = rings[go], i[go], best[go]
+        if not len(rings):
+            break
+        debt = carried[rings, i] + np.sqrt(best)
+        a, b = behind[rings, i], ahead[rings, i]
+        kept[rings, i], score[rings, i] = False, np.inf
+        ahead[rings, a], behind[rings, b] = b, a
+        for j in (a, b):
+            carried[rings, j] = debt
+            off = _offsets_sq(pts[rings, behind[rings, j]], pts[rings, j], pts[rings, ahead[rings, j]])
+            fresh = np.sqrt(off) + debt
+            score[rings, j] = fresh * fresh
+    return kept
+
+
 def simplify_footprints(
     footprints: DataFrame, poly: str = "poly", tol_sq: float | None = None, keep_share: float | None = None
 ) -> DataFrame:
-    """Every ring of the table simplified; batches of rings, one ring per row."""
+    """Every ring of the table simplified; the rings of a batch with equal numbers of vertices at once."""
     if tol_sq is not None and tol_sq <= 0:
         raise ValueError("tolerance must be positive")
     if keep_share is not None and not 0 < keep_share < 1:
         raise ValueError("share of vertices must lie between 0 and 1")
     schema = footprints.schema
 
-    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            rings = []
-            for ring in pdf[poly]:
-                r = simplify_ring([(v["x"], v["y"]) for v in ring], tol_sq, keep_share)
-                rings.append([{"x": x, "y": y} for x, y in r])
-            pdf[poly] = rings
-            yield pdf
-
-    return footprints.mapInPandas(batches, schema)
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            at = batch.schema.get_field_index(poly)
+            rings = batch.column(at)
+            vertices = rings.flatten()
+            xy = np.column_stack([vertices.field(c).to_numpy(zero_copy_only=False) for c in ("x", "y")])
+            sizes = pc.fill_null(pc.list_value_length(rings), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            start = np.concatenate([[0], np.cumsum(sizes)])
+            kept = np.ones(len(xy), bool)
+            for n in np.unique(sizes[sizes > 4]):
+                which = start[:-1][sizes == n]
+                rows = which[:, None] + np.arange(n - 1)
+                kept[rows] = simplify_rings(xy[rows], tol_sq, keep_share)
+                # the ring is closed by the first vertex kept
+                first = rows[np.arange(len(rows)), kept[rows].argmax(axis=1)]
+                xy[which + n - 1] = xy[first]
+            ends = np.concatenate([[0], np.cumsum(kept)])[start].astype(np.int32)
+            kind = rings.type.value_type
+            values = pa.StructArray.from_arrays([pa.array(xy[kept, k], kind.field(k).type) for k in range(2)], fields=[kind.field(k) for k in range(2)])
+            gone = pc.is_null(rings).to_numpy(zero_copy_only=False)
+            new = pa.ListArray.from_arrays(pa.array(ends), values, type=rings.type, mask=pa.array(gone) if gone.any() else None)
+            yield pa.RecordBatch.from_arrays([new if k == at else c for k, c in enumerate(batch.columns)], schema=batch.schema)
+
+    return footprints.mapInArrow(batches, schema)
 
 
 def outline(px: DataFrame, keys: Sequence[str], res: float, z: str = "z") -> DataFrame:

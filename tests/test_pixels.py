@@ -185,6 +185,24 @@ def test_simplify_ring():
     assert hulls.simplify_ring(ring[:3] + ring[:1], tol_sq=1e9) == ring[:3] + ring[:1]
 
 
+def test_rings_of_a_batch_are_simplified_at_once_as_each_alone(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rings = []
+    for n in [3, 4, 5, 8, 8, 8, 33, 33, 60] * 4:
+        at = np.sort(rng.uniform(0, 2 * np.pi, n))
+        pts = [(float(x), float(y)) for x, y in np.round(np.column_stack([np.cos(at), np.sin(at)]) * rng.uniform(50, 60, (n, 1)) * 4) / 4]
+        rings.append([*pts, pts[0]])
+    want = {kw: [hulls.simplify_ring(r, **dict([kw])) for r in rings] for kw in (("tol_sq", 9.0), ("keep_share", 0.4))}
+    plain = [hulls.simplify_ring(r) for r in rings]
+    monkeypatch.setattr(hulls, "simplify_ring", None)  # not called ring by ring
+    rows = [(i, [{"x": x, "y": y} for x, y in r]) for i, r in enumerate(rings)] + [(len(rings), None)]
+    df = spark.createDataFrame(rows, "k int, poly array<struct<x:double,y:double>>")
+    for name, kw in (*((w, dict([k])) for k, w in want.items()), (plain, {})):
+        got = {r.k: r.poly if r.poly is None else [(v.x, v.y) for v in r.poly] for r in hulls.simplify_footprints(df, **kw).collect()}
+        assert got == {**dict(enumerate(name)), len(rings): None}
+
+
+
 def test_edge_merge_makes_tiles_equal_on_the_overlap(spark, grid):
     frames = []
     for name, row, col, v in (("00_00", 0, 0, 1.0), ("00_01", 0, 1, 2.0), ("01_00", 1, 0, 4.0)):
