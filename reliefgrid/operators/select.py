@@ -249,6 +249,41 @@ def replay_reviews(sizes: DataFrame, cover: DataFrame, decisions: DataFrame, mas
 # ---- scene order ------------------------------------------------------------
 
 
+ROUNDS_OF_A_JOB = 8  # scenes that a strip takes between two tables
+
+
+def _take_scene(d: DataFrame, segments: bool) -> DataFrame:
+    """Every strip takes its next open scene; the strip's state (``_u..``) is on each of its rows.
+
+    One window by strip serves a round, so rounds in a row need no further shuffle or sort.
+    """
+    box = ["xmin", "xmax", "ymin", "ymax"]
+    mine = Window.partitionBy("strip_id")
+    is_open, begun = F.col("_open"), F.col("_usegment") > 0
+    scene = F.struct("_id", "seq", *box)
+    first = lambda ok, *key: F.min_by(scene, F.when(ok, F.struct(*key, "seq", "_id"))).over(mine)
+    most, least = (lambda c, f=f: f(F.when(is_open, F.col(c))).over(mine) for f in (F.max, F.min))
+    area = F.when(begun, pg.box_overlap(*[F.col(f"_u{c}") for c in box], *[F.col(c) for c in box]))
+    d = d.withColumn("_area", area)
+    d = d.withColumns({
+        "_wide": (most("xmax") - least("xmin")) >= (most("ymax") - least("ymin")),
+        "_near": first(is_open & (F.col("_area") > 0), (-F.col("_area")).alias("a")),
+        "_x": first(is_open, "xmin"), "_y": first(is_open, "ymin"),
+    })
+    d = d.withColumns({"_fresh": F.col("_near").isNull(), "_got": F.coalesce("_near", F.when(F.col("_wide"), F.col("_x")).otherwise(F.col("_y")))})
+    got, fresh = F.col("_got"), F.col("_fresh")
+    goes_on = F.lit(True) if segments else ~(begun & fresh)
+    segment = F.when(fresh, F.col("_usegment") + 1).otherwise(F.col("_usegment"))
+    position = F.when(fresh, 1).otherwise(F.col("_uposition") + 1)
+    picked = is_open & goes_on & (F.col("_id") == got["_id"])
+    grown = {f"_u{c}": F.when(fresh, got[c]).otherwise((F.least if "min" in c else F.greatest)(got[c], F.col(f"_u{c}"))) for c in box}
+    d = d.withColumns({
+        "segment": F.when(picked, segment).otherwise(F.col("segment")), "position": F.when(picked, position).otherwise(F.col("position")),
+        "_usegment": segment, "_uposition": position, **grown, "_open": is_open & goes_on & ~F.col("seq").eqNullSafe(got["seq"]),
+    })
+    return d.drop("_area", "_wide", "_near", "_x", "_y", "_fresh", "_got")
+
+
 def order_scenes(scenes: DataFrame, segments: bool = True) -> DataFrame:
     """Order scenes of every strip by overlap with the growing footprint.
 
@@ -258,56 +293,21 @@ def order_scenes(scenes: DataFrame, segments: bool = True) -> DataFrame:
     Returns strip_id, seq, segment, position.
     """
     box = ["xmin", "xmax", "ymin", "ymax"]
-    left = cut(scenes.select("strip_id", "seq", *box))
-    state, chosen = None, []
-    n, rnd = left.count(), 0
-    while n:
-        rnd += 1
-        ext = left.groupBy("strip_id").agg(
-            ((F.max("xmax") - F.min("xmin")) >= (F.max("ymax") - F.min("ymin"))).alias("_wide")
-        )
-        d = left.join(ext, "strip_id")
-        start_key = F.struct(F.when(F.col("_wide"), F.col("xmin")).otherwise(F.col("ymin")), F.col("seq"))
-        if state is None:
-            d = d.withColumn("_a", F.lit(None).cast("double")).withColumn("segment", F.lit(0)).withColumn("position", F.lit(0))
-            for c in box:
-                d = d.withColumn(f"_u{c}", F.lit(None).cast("double"))
-        else:
-            d = d.join(state, "strip_id", "left")
-            area = pg.box_overlap(*[F.col(f"_u{c}") for c in box], *[F.col(c) for c in box])
-            d = d.withColumn("_a", area)
-        fields = F.struct("seq", *box, "segment", "position", *[f"_u{c}" for c in box], F.col("_a").alias("_area"))
-        pick = d.groupBy("strip_id").agg(
-            F.min_by(fields, F.when(F.col("_a") > 0, F.struct(-F.col("_a"), F.col("seq")))).alias("_next"),
-            F.min_by(fields, start_key).alias("_start"),
-        )
-        if not segments and state is not None:
-            pick = pick.filter(F.col("_next").isNotNull())
-        fresh = F.col("_next").isNull()
-        got = F.coalesce("_next", "_start")
-        grown = [
-            (
-                F.when(fresh, got[c]).otherwise(F.least(got[c], got[f"_u{c}"]) if "min" in c else F.greatest(got[c], got[f"_u{c}"]))
-            ).alias(f"_u{c}")
-            for c in box
-        ]
-        picked = cut(
-            pick.select(
-                "strip_id",
-                got["seq"].alias("seq"),
-                F.when(fresh, got["segment"] + 1).otherwise(got["segment"]).alias("segment"),
-                F.when(fresh, 1).otherwise(got["position"] + 1).alias("position"),
-                *grown,
-            )
-        )
-        chosen.append(picked.select("strip_id", "seq", "segment", "position"))
-        state = picked.drop("seq")
-        rest = left.join(picked.select("strip_id", "seq"), ["strip_id", "seq"], "left_anti")
-        if not segments:
-            rest = rest.join(picked.select("strip_id"), "strip_id", "left_semi")
-        left = cut(rest)
-        n = left.count()
-    out = chosen[0]
-    for c in chosen[1:]:
-        out = out.unionByName(c)
-    return out
+    nul = F.lit(None)
+    # constants join the rows after the shuffle that brings strips together
+    left = scenes.filter("strip_id is not null").select("strip_id", "seq", *box).repartition("strip_id")
+    left = left.select(
+        "strip_id", "seq", *box, F.monotonically_increasing_id().alias("_id"), F.lit(True).alias("_open"),
+        *[nul.cast("int").alias(c) for c in ("segment", "position")], *[F.lit(0).alias(c) for c in ("_usegment", "_uposition")],
+        *[nul.cast("double").alias(f"_u{c}") for c in box],
+    )
+    out = None
+    while True:
+        for _ in range(ROUNDS_OF_A_JOB):
+            left = _take_scene(left, segments)
+        left = cut(left.filter("_open or segment is not null"))
+        chosen = left.filter("segment is not null").select("strip_id", "seq", "segment", "position")
+        out = chosen if out is None else out.unionByName(chosen)
+        left = left.filter("_open")
+        if left.isEmpty():
+            return out

@@ -146,6 +146,28 @@ def test_scene_order_matches_the_greedy_rule(spark):
     assert first == {(a, b, p) for a, b, g, p in want if g == 1}
 
 
+def test_scene_order_writes_one_table_for_many_rounds(spark, monkeypatch):
+    from reliefgrid import session
+
+    rng = np.random.default_rng(6)
+    rows, want = [], set()
+    for s in range(5):
+        corners = [rng.integers(0, 60, 2) for _ in range(3 + s)]
+        boxes = {i: (float(x), float(x + 12), float(y), float(y + 12)) for i, (x, y) in enumerate(corners)}
+        rows += [(f"s{s}", i, *b) for i, b in boxes.items()]
+        want |= {(f"s{s}", *o) for o in greedy(boxes)}
+    d = spark.createDataFrame([*rows, (None, 0, 0.0, 1.0, 0.0, 1.0)], "strip_id string, seq int, xmin double, xmax double, ymin double, ymax double")
+
+    def tables_and_rows():
+        before = session._rounds_of(spark).count
+        out = sel.order_scenes(d)
+        return session._rounds_of(spark).count - before, {(r.strip_id, r.seq, r.segment, r.position) for r in out.collect()}
+
+    assert tables_and_rows() == (1, want)
+    monkeypatch.setattr(sel, "ROUNDS_OF_A_JOB", 3)
+    assert tables_and_rows() == (3, want)
+
+
 def test_registered_tiles_use_every_control_point(spark, monkeypatch):
     from pyspark.sql import functions as F
 
