@@ -81,10 +81,9 @@ def fixed(v: Column | str, digits: int) -> Column:
     return F.format_string(f"%.{digits}f", F.bround(v, digits))
 
 
-def _alignment(*names_: str) -> Column:
+def _alignment(name: Column | str, r: Column | str, *d: Column | str) -> Column:
     """``name rmse dz dx dy`` with two and four decimals."""
-    name, r, *d = names_
-    return F.concat_ws(" ", F.col(name), fixed(r, 2), *[fixed(c, 4) for c in d])
+    return F.concat_ws(" ", F.col(name) if isinstance(name, str) else name, fixed(r, 2), *[fixed(c, 4) for c in d])
 
 
 def _vector() -> Column:
@@ -100,14 +99,33 @@ def _gather(lines: DataFrame, key: str, order: str, line: str) -> DataFrame:
     )
 
 
+def _scene_line(seq: Column, scene_id: Column, text: Column) -> Column:
+    found = F.coalesce(text, F.concat(names.sibling(scene_id, "meta.txt"), F.lit(" not found")))
+    return F.concat(F.format_string("scene %d name=", seq.cast("int")), scene_id, F.lit("\n"), found, F.lit("\n "))
+
+
 def scene_meta_lines(scenes: DataFrame, scene_meta: DataFrame) -> DataFrame:
     """Each scene's own report, or a note that it was not found."""
     d = scenes.join(scene_meta.select("scene_id", F.col("value").alias("_text")), "scene_id", "left")
-    found = F.coalesce(F.col("_text"), F.concat(names.sibling(F.col("scene_id"), "meta.txt"), F.lit(" not found")))
-    return d.select(
-        "strip_id", "seq",
-        F.concat(F.format_string("scene %d name=", F.col("seq").cast("int")), F.col("scene_id"), F.lit("\n"), found, F.lit("\n ")).alias("line"),
+    return d.select("strip_id", "seq", _scene_line(F.col("seq"), F.col("scene_id"), F.col("_text")).alias("line"))
+
+
+def _both_bodies(scenes: DataFrame, scene_meta: DataFrame) -> DataFrame:
+    """strip_id, ``_body`` and ``_scenes``: the alignment table and the scene reports.
+
+    Scenes are gathered once for both, and texts are put together after the shuffle.
+    """
+    # reports of one scene side by side, so that a scene has one row in the table whatever their number
+    texts = scene_meta.groupBy("scene_id").agg(F.collect_list(F.struct(F.col("value").alias("text"))).alias("_texts"))
+    one = F.struct("seq", "scene_id", "rmse", "dz", "dx", "dy", "_texts")
+    d = scenes.join(texts, "scene_id", "left").groupBy("strip_id").agg(F.collect_list(one).alias("_all"))
+    line = lambda s: F.struct(s["seq"].alias("seq"), _alignment(*(s[c] for c in ("scene_id", "rmse", "dz", "dx", "dy"))).alias("line"))
+    none = F.array(F.struct(F.lit(None).cast("string").alias("text")))
+    report = lambda s: F.transform(
+        F.coalesce(s["_texts"], none), lambda t: F.struct(s["seq"].alias("seq"), _scene_line(s["seq"], s["scene_id"], t["text"]).alias("line"))
     )
+    joined = lambda lines: F.array_join(F.transform(F.array_sort(lines), lambda s: s["line"]), "\n")
+    return d.select("strip_id", joined(F.transform("_all", line)).alias("_body"), joined(F.flatten(F.transform("_all", report))).alias("_scenes"))
 
 
 # The words of all report lines below; readers look for them.
@@ -118,11 +136,10 @@ def write_strip_meta(footprints: DataFrame, scenes: DataFrame, scene_meta: DataF
 
     ``footprints``: strip_id, created, projection, poly.
     """
-    rows = scenes.select(
-        "strip_id", "seq",
-        _alignment("scene_id", "rmse", "dz", "dx", "dy").alias("line"),
-    )
-    table = _gather(rows, "strip_id", "seq", "line")
+    if scene_meta is None:
+        table = _gather(scenes.select("strip_id", "seq", _alignment("scene_id", "rmse", "dz", "dx", "dy").alias("line")), "strip_id", "seq", "line")
+    else:
+        table = _both_bodies(scenes, scene_meta)
     verts = lambda axis: F.array_join(F.transform("poly", lambda v: F.format_string("%d", v[axis].cast("long"))), " ")
     head = F.concat_ws(
         "\n",
@@ -140,11 +157,10 @@ def write_strip_meta(footprints: DataFrame, scenes: DataFrame, scene_meta: DataF
         F.lit("Scene Metadata "),
         F.lit(""),
     )
-    d = footprints.join(table, "strip_id", "left").select("strip_id", head.alias("value"))
+    d = footprints.join(table, "strip_id", "left")
     if scene_meta is None:
-        return d
-    tail = _gather(scene_meta_lines(scenes, scene_meta), "strip_id", "seq", "line")
-    return d.join(tail, "strip_id", "left").select("strip_id", F.concat("value", F.lit("\n"), F.coalesce("_body", F.lit(""))).alias("value"))
+        return d.select("strip_id", head.alias("value"))
+    return d.select("strip_id", F.concat(head, F.lit("\n"), F.coalesce("_scenes", F.lit(""))).alias("value"))
 
 
 # ---- scene key=value --------------------------------------------------------

@@ -35,6 +35,23 @@ def test_report_files(spark, tmp_path):
     assert [x.scene_id for x in rp.parse_strip_scenes(r).orderBy("seq").collect()] == ["one_dem.tif", "two_dem.tif"]
 
 
+def test_a_strip_report_gathers_its_scenes_once(spark):
+    f = spark.createDataFrame([("a", "01-Jan-2001", "p", [(0.0, 0.0), (5.0, 0.0)]), ("b", "02-Jan-2001", "p", [(1.0, 1.0)])], "strip_id string, created string, projection string, poly array<struct<x:double,y:double>>")
+    kind = "strip_id string, seq int, scene_id string, rmse double, dz double, dx double, dy double"
+    s = spark.createDataFrame([("a", 2, "two_dem.tif", 0.125, 1.0, -2.5, 0.00005), ("a", 1, "one_dem.tif", 0.0, 0.0, 0.0, 0.0), ("a", 3, "odd_dem.tif", 0.5, 0.0, 0.0, 0.0)], kind)
+    meta = spark.createDataFrame([("one_dem.tif", "x"), ("one_dem.tif", "y"), ("odd_dem.tif", None)], "scene_id string, value string")
+    d = rp.write_strip_meta(f, s, meta)
+    got = {r.strip_id: r.value for r in d.collect()}
+    assert got["a"].split("scene, rmse, dz, dx, dy\n")[1] == (
+        "one_dem.tif 0.00 0.0000 0.0000 0.0000\ntwo_dem.tif 0.12 1.0000 -2.5000 0.0000\nodd_dem.tif 0.50 0.0000 0.0000 0.0000\n\nScene Metadata \n\n"
+        "scene 1 name=one_dem.tif\nx\n \nscene 1 name=one_dem.tif\ny\n \n"
+        "scene 2 name=two_dem.tif\ntwo_meta.txt not found\n \nscene 3 name=odd_dem.tif\nodd_meta.txt not found\n "
+    )
+    assert got["b"].endswith("scene, rmse, dz, dx, dy\n\n\nScene Metadata \n\n")
+    plan = d._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list(struct(seq") == 1
+
+
 def test_errors_are_raised(spark):
     d = spark.createDataFrame([("t", 1), ("t", 2), ("t", 3)], "tile_id string, seq int")
     ok = inv.trim_restart(d, d.filter("seq <= 2"))
