@@ -88,3 +88,27 @@ def test_a_large_polygon_is_many_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(d) > 1 and sum(r["count"] for r in d) >= 249000
+
+
+def test_settings_bound_what_a_task_holds(spark):
+    """A table of cells that is small only as files isn't broadcast, and shuffles have parts to spare."""
+    from pyspark.sql import functions as F
+
+    from reliefgrid import session
+    from workload.inputs import Inputs
+
+    fresh = spark.newSession()
+    for name in session.BOUNDED:
+        fresh.conf.unset(name)
+    Inputs(fresh, "")
+    cells = session.cut(spark.range(400_000).select(F.lit("s").alias("k"), F.col("id").cast("int").alias("row"), (F.col("id") % 7).cast("double").alias("z")))
+    path = cells.inputFiles()[0].rsplit("/", 1)[0]
+    one, two = (fresh.read.parquet(path) for _ in range(2))
+    joined = one.join(two.withColumnRenamed("z", "g"), ["k", "row"], "left")
+    assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in joined._jdf.queryExecution().executedPlan().toString()
+    assert int(fresh.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 200
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "7")
+    session.bounded_tasks(own)
+    assert own.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "7"
