@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reliefgrid.functions.quantiles import group_quantiles
-from reliefgrid.operators import points as pt, select as sel, solve
+from reliefgrid.operators import pairs, points as pt, select as sel, solve
 
 def surface(r, c):
     return 100 + (r * r + 2.0 * c * c - r * c) / 64.0
@@ -228,3 +228,26 @@ def test_waves_along_a_row_of_tiles_write_only_what_they_reach(spark, monkeypatc
     assert got["t1"].dz == pytest.approx(1.0, abs=0.05) and got["t2"].dz == pytest.approx(3.0, abs=0.05)
     assert {r.tile_id: r["count"] for r in reg.groupBy("tile_id").count().collect()} == {"t0": 1600, "t1": 1600, "t2": 1600}
     assert len(made) <= 3 + 2 * 15  # every wave writes a bounded number of tables
+
+
+def test_blocks_of_a_pair_give_the_differences_of_the_cells(spark):
+    rng = np.random.default_rng(3)
+    rows = [
+        (k, int(r), int(c), None if rng.random() < 0.1 else float("nan") if rng.random() < 0.002 else float(rng.random()), None if rng.random() < 0.05 else bool(rng.random() < 0.9), side)
+        for k in "abcd" for side in ("ref", "flt") for r in range(-20, 20) for c in range(240, 275) if rng.random() < 0.95 and (k, side) not in (("c", "ref"), ("d", "flt"))
+    ]
+    d = spark.createDataFrame(rows + rows[:50], "k string, row int, col int, z double, m boolean, side string")
+    ref, flt = (d.filter(F.col("side") == side).drop("side") for side in ("ref", "flt"))
+    trial = spark.createDataFrame(pd.DataFrame({"k": list("abcd"), "pz": [0.0, 0.5, 0.0, 0.0], "px": [0.0, 14.75, 1.0, 1.0], "py": [0.0, -7.0, 1.0, 1.0]}))
+    blocks = pairs.pair_blocks(ref, flt, ["k"], 1.0, solve.MAX_HORIZONTAL)
+    assert {r.k for r in blocks.filter("_flt").collect()} == set("abc")
+    told = lambda t: sorted(tuple("-" if v is None else repr(v) for v in (r.k, r.dz, r.sx, r.sy)) for r in t.select("k", "dz", "sx", "sy").collect())
+    got = told(pairs.block_differences(blocks, trial, ["k"], 1.0, solve.MAX_HORIZONTAL))
+    assert got and got == told(solve.trial_differences(ref, flt, trial, ["k"], 1.0))
+
+
+def test_an_alignment_reads_both_rasters_once(spark, monkeypatch):
+    made = counted_puts(monkeypatch)
+    flt = raster(spark, lambda r, c: surface(r + 0.5, c - 1.0))
+    got = solve.coregister(raster(spark, surface), flt, ["k"], 2.0).collect()
+    assert len(made) <= 2 + got[0].rounds  # the blocks, the state, and one table a round
