@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.kernels import erode
+from ..operators.kernels import erode_each
 from ..operators.lattice import crop_to_data
 from ..operators.merge import blend, feather_weights, two_layers
 from ..operators.resample import resample_bands
@@ -56,8 +56,7 @@ def join_scene(strip: DataFrame, scene: DataFrame, res: float, min_cells: int =
         F.when(kept1, F.coalesce("ortho1", F.lit(0))).otherwise(0).alias("ortho"),
     )
     new = resample_bands(moving, k, ok.select(*k, "dz", "dx", "dy"), res)
-    new = erode(new, k, F.col("z").isNotNull(), TRIM, "_in")
-    new = erode(new, k, F.col("ortho") != 0, TRIM, "_oin")
+    new = erode_each(new, k, {"_in": F.col("z").isNotNull(), "_oin": F.col("ortho") != 0}, TRIM)
     new = new.select(
         *k, "row", "col", F.when(F.col("_in"), F.col("z")).alias("z1"), (F.col("mt") & F.col("_in")).alias("mt1"),
         F.when(F.col("_oin"), F.col("ortho").cast("int")).otherwise(0).alias("ortho1"), F.lit(0).alias("dy1"),
