@@ -51,3 +51,13 @@ def test_feather_weights_label_both_sides_at_once(spark, monkeypatch):
     assert len(calls) == 1
     assert at["a", 5, 250] == (1.0, False) and at["a", 5, 288] == (0.0, False)
     assert all(0 <= v <= 1 for v, _ in at.values()) and any(0 < v < 1 for v, _ in at.values())
+
+
+def test_a_pass_reads_each_neighbour_once(spark):
+    from reliefgrid.operators import resample
+
+    d = cells(spark).select("k", "row", "col", F.col("v").cast("double").alias("z"), F.lit(1).alias("mt"), F.lit(2.0).alias("ortho"))
+    shifts = spark.createDataFrame([("a", 0.0, 0.5, -0.25)], "k string, dz double, dx double, dy double")
+    moved = resample.shift_resample(d, ["k"], shifts, 1.0, {"z": "linear", "mt": "nearest", "ortho": "cubic"})
+    plan = moved._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("windowspecdefinition") <= 4 * 16  # 8 neighbours and positions an axis, each with its window's own definitions
