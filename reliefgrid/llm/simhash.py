@@ -86,7 +86,8 @@ def links(fps: DataFrame, bits: int = 2) -> DataFrame:
     once = F.when(F.col("own_a") == F.col("own_b"), F.col("cell") == F.col("own_a")).otherwise(
         ~((F.col("cell") == F.col("own_a")) & (F.col("own_b") < F.col("own_a")) | (F.col("cell") == F.col("own_b")) & (F.col("own_a") < F.col("own_b")))
     )
-    met = a.join(b, "cell").where((F.col("a") < F.col("b")) & once)
+    # Spark sizes the copies like the fingerprints they come from, and would broadcast them; both sides are shuffled.
+    met = a.hint("merge").join(b.hint("merge"), "cell").where((F.col("a") < F.col("b")) & once)
     return met.where(F.expr(f"bit_count(a ^ b) <= {bits}")).select("a", "b")
 
 

@@ -137,6 +137,19 @@ def test_simhash_links_are_all_within_two_bits(spark, rounds):
     assert sorted(set(got)) == want
 
 
+def test_simhash_copies_at_cells_are_never_broadcast(spark):
+    from reliefgrid.llm import simhash
+
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "10m")
+        plan = simhash.links(spark.range(9).withColumnRenamed("id", "fp"))._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_simhash_of_nothing(empty, rounds):
     from reliefgrid.llm import simhash
 
