@@ -35,6 +35,8 @@ from reliefgrid.rounds import Rounds
 
 #: Text bytes of a block.
 BLOCK_BYTES = 8 << 20
+#: A block is a row of megabytes. Parquet would look at a row group's size after 100 rows and read a group's rows at once; so each block is a group.
+ALONE = {"parquet.block.size": str(1 << 20), "parquet.page.size.row.check.min": "1"}
 #: Terms of the queries that are searched for at a time.
 CHUNK_TERMS = 200_000
 #: A-Z become lower case; digits, letters and all beyond ASCII make terms; the rest separates.
@@ -271,7 +273,7 @@ def rank(docs: DataFrame, items: DataFrame, rounds: Rounds, k: int = 50) -> Data
     one item; those of one id and other texts are ranked each on its own. Repeated rows
     of documents are ranked each. Empty tables give no rows. Other columns aren't read.
     """
-    blocks = rounds.put(index(docs), "index")
+    blocks = rounds.put(index(docs), "index", ALONE)
     asked = rounds.put(queries(items), "queries")
     sums = rounds.put(_sums(blocks), "sums").agg(F.sum("documents"), F.sum("length"), F.count("*")).first()
     documents, length, n_blocks = (int(v or 0) for v in sums)
@@ -288,7 +290,7 @@ def rank(docs: DataFrame, items: DataFrame, rounds: Rounds, k: int = 50) -> Data
         own = asked.where(F.pmod("key", F.lit(chunks)) == chunk)
         told = df.join(own.select(F.explode("terms").alias("terms")).distinct(), "terms", "left_semi").orderBy("terms").collect()
         model = Model(own.orderBy("key").collect(), {r["terms"]: r["df"] for r in told}, documents, length)
-        ready = rounds.put(impacts(blocks, model), "impacts")
+        ready = rounds.put(impacts(blocks, model), "impacts", ALONE)
         some = ready.where(F.pmod(F.xxhash64("doc_ids"), F.lit(max(1, math.isqrt(n_blocks)))) == 0)
         floors = ranking(search(some, model, k, {}), k).groupBy("key").agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") == k)
         known = {r["key"]: r["least"] for r in floors.collect()}

@@ -35,11 +35,11 @@ class Rounds:
         self._paths: dict[str, str] = {}
         self.count = 0
 
-    def put(self, df: DataFrame, label: str) -> DataFrame:
-        """Write ``df`` under ``label``; an earlier table of that label goes once this one is whole."""
+    def put(self, df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
+        """Write ``df`` under ``label``, with the writer's ``options``; an earlier table of that label goes once this one is whole."""
         self.count += 1
         path = f"{self.base}/{label}-{self.count}"
-        df.write.parquet(path)
+        df.write.options(**(options or {})).parquet(path)
         if old := self._paths.get(label):
             delete(self.spark, old)
         self._paths[label] = path

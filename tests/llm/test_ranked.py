@@ -91,3 +91,17 @@ def test_skipping(words):
     lists = rare + common
     bound = ranked.bounds([1000] * 12 + [3, 4], [0] * 11 + [1003, 7])
     assert ranked.best(lists, bound, 2000, 5, 900)[2] < 100
+
+
+def test_blocks_are_read_one_at_a_time(spark, rounds, monkeypatch):
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(ranked, "BLOCK_BYTES", 1 << 18)
+    rng = random.Random(6)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(110_000)) for _ in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    asked = spark.createDataFrame([(i, t[:100]) for i, t in enumerate(texts)], "item_id long, text string")
+    own = rounds()
+    assert ranked.rank(docs, asked, own, 1).count() == len(texts)
+    found = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in own.again("index").inputFiles()]
+    assert sum(m.num_rows for m in found) == len(texts) and all(m.num_rows == m.num_row_groups for m in found)
