@@ -92,6 +92,33 @@ def test_held_out_lines(lines):
     assert personal.added(field, clean, [personal.base_spans(t) for t in clean]) == [[[], [], [], []]] * len(clean)
 
 
+def test_every_token_of_a_text_is_tagged(lines):
+    prose = "they walked along the river and talked of old friends "
+    field = personal.learn(lines + [(prose, [[], [], [], []])] * 20)
+    text, spans = personal.marked(f"{prose}\nwrite to [email anna.berg at mail.example.com] before noon {prose}")
+    assert personal.added(field, [text], [personal.base_spans(text)]) == [spans]
+    # numbers so dense that their surroundings meet for longer than the longest window
+    line = "the score was 3 to 1 after 90 minutes and\n"
+    for shift in range(0, 12, 3):
+        n = (personal.LONGEST - 20) // len(line)
+        before = line * n + "x" * (personal.LONGEST - 16 - n * len(line) + shift) + " "
+        text, spans = personal.marked(f"{before}tel [phone 0231 555 7713] please\n{line}")
+        assert spans[3][0] in personal.added(field, [text], [personal.base_spans(text)])[0][3]
+
+
+def test_looks_are_the_features(lines):
+    field = personal.learn(lines)
+    rng = random.Random(9)
+    parts = ["1.2.3.4", "+49 ", "(030) 555-77", "a@b.c", " ", "\n", "-", ".", "at", " AT ", "dot", "Version ", "255", "256", "É", "ß", "ǅ", "²x", "½", "\u212a", "to\u212aen", "٣", "_", "/", "東京", "License", "4716 3208 9361 0054", "x" * 5, "9" * 24, "\x7f", "\x1c", "İp", "@"]
+    some = ["", " ", "one", *(t for t, _ in lines)] + ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 40))) for _ in range(800)]
+    begins, ends, rows = personal.Looks(field).read(some)
+    for text, a, b, own in zip(some, begins, ends, rows, strict=True):
+        cut = personal.tokens(text)
+        assert list(zip(a.tolist(), b.tolist())) == cut, text
+        assert not cut or np.allclose(own, field.rows(personal.features(text, cut))), text
+    assert [len(x) for x in personal.Looks(field).read(["", " "])[0]] == [0, 0] and personal.Looks(field).read([]) is not None
+
+
 def test_find(spark, documents, empty, lines):
     field = personal.learn(lines)
     own = [r["text"] for r in documents.collect()] + [*TEXTS, "tel 0231 555 7713 and me@host.example.com", None]
