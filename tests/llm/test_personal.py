@@ -83,6 +83,21 @@ def test_gradient_and_viterbi(monkeypatch):
     assert [tuple(t) for t in personal.decode(field, [rows[k, :n] for k, n in enumerate(lengths)])] == best
 
 
+def test_parts_are_decoded_like_the_whole(monkeypatch):
+    rng = np.random.default_rng(1)
+    again, batches = [], personal._batches
+    monkeypatch.setattr(personal, "_batches", lambda field, rows: (again.append(len(rows)), batches(field, rows))[1])
+    for _ in range(30):
+        field = personal.Field({}, np.zeros((1, 9)), rng.normal(size=(9, 9)) * 3 + personal._allowed()[0], rng.normal(size=9))
+        rows = [rng.normal(size=(int(rng.integers(0, 60)), 9)) * rng.choice([0.3, 1, 3]) for _ in range(20)]
+        monkeypatch.setattr(personal, "PART", 1000)
+        whole = personal.decode(field, rows)
+        monkeypatch.setattr(personal, "PART", 7)
+        monkeypatch.setattr(personal, "RIM", 3)
+        assert all(np.array_equal(a, b) for a, b in zip(personal.decode(field, rows), whole, strict=True))
+    assert 0 < sum(again[3::4]) < 20 * 30  # some are decoded again, not all
+
+
 def test_held_out_lines(lines):
     field = personal.learn(lines)
     for line in ("tel 0231 555 7713 please", "we know that [phone (555) 123-4567] is his", "ask [email eva (at) host.example.com] now", "pay with [card 4716 3208.9361 0054] here"):
